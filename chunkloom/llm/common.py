@@ -45,6 +45,15 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(docs: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """All columns of ``docs`` (but those named) as one struct, out of the way of an operator's own column names."""
+    return F.struct(*[quoted(c) for c in docs.columns if c not in but])
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; null ids count as remainder -1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(-1))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS, Batches, materialize, small_side, texts
+from .common import WS, Batches, materialize, small_side, texts, whole_row
 
 PRIME = 2**31 - 1
 BASES = (1_103_515_245, 1_812_433_253, 742_938_285)
@@ -87,11 +87,15 @@ def _continuation_bytes(data: bytes) -> int:
     return int(np.count_nonzero((np.frombuffer(data, np.uint8) & 0xC0) == 0x80))
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, sha, number and content of each piece of the text without white space."""
-    bare = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), f"[{WS}]+", "")
+def _chunks(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """Number and content of each piece, without white space, of the texts that ``members`` (id, sha, key) names."""
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    bare = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), f"[{WS}]+", "")
+    found = held.join(members, held.doc_id.eqNullSafe(members.id)).select("doc_id", "sha", *KEY, bare.alias("bare"))
+    # an id may repeat with another text
+    found = found.where(F.sha2("bare", 256) == F.col("sha"))
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.length("bare") - 1, F.lit(0)), F.lit(COMPARE_CHARS)), lambda i: F.substring(F.col("bare"), i + 1, F.lit(COMPARE_CHARS)))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), bare.alias("bare")).select("doc_id", F.sha2("bare", 256).alias("text_sha256"), F.posexplode(cut).alias("piece_no", "piece"))
+    return found.select("doc_id", F.col("sha").alias("text_sha256"), *KEY, F.posexplode(cut).alias("piece_no", "piece"))
 
 
 def _same(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
@@ -124,10 +128,7 @@ def classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
         members = materialize(members, "dedup-members")
         n = members.count()
         ids = members.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), *KEY)
-        pieces = _chunks(docs)
-        cast = small_side(ids, n, 120)
-        pieces = pieces.join(cast, pieces.doc_id.eqNullSafe(cast.id) & (pieces.text_sha256 == cast.sha)).select("doc_id", "text_sha256", *KEY, "piece_no", "piece")
-        pieces = materialize(pieces, "dedup-pieces")
+        pieces = materialize(_chunks(docs, small_side(ids, n, 120)), "dedup-pieces")
         firsts = marked.where("text_sha256 = head_sha").select(*KEY, F.col("first_id"), F.col("head_sha"))
         f = small_side(firsts, n, 120)
         head = pieces.join(f, _same(pieces, f, KEY) & pieces.doc_id.eqNullSafe(f.first_id) & (pieces.text_sha256 == f.head_sha)).select(*(pieces[k].alias(f"_{k}") for k in KEY), pieces.piece_no.alias("_no"), pieces.piece.alias("_piece"))
@@ -189,15 +190,17 @@ def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """
     per_id = materialize(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("long")).alias("k")), "dedup-ids")
     counted = per_id.agg(F.count(F.when(F.col("k") < F.col("n"), 1)).alias("lose"), F.count(F.when((F.col("k") > 0) & (F.col("k") < F.col("n")), 1)).alias("mixed")).first()
-    losers = small_side(per_id.where("k < n").select(F.col("doc_id").alias("_id")), counted["lose"], 16)
-    out = docs.join(losers, docs.doc_id.eqNullSafe(losers._id), "left_anti")
+    packed = docs.select(F.col("doc_id").cast("long").alias("id"), whole_row(docs).alias("row"))
+    losers = small_side(per_id.where("k < n").select(F.col("doc_id").alias("loser")), counted["lose"], 16)
+    out = packed.join(losers, F.col("id").eqNullSafe(F.col("loser")), "left_anti")
     if counted["mixed"]:
-        kept = rows.where("kept").join(per_id.where("k > 0 and k < n").select(F.col("doc_id").alias("_m")), F.col("doc_id").eqNullSafe(F.col("_m"))).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_chars").alias("_n"))
-        bare = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), f"[{WS}]+", "")
-        tried = docs.withColumns({"_s": F.sha2(bare, 256), "_c": F.length(F.coalesce(F.col("text"), F.lit("")))})
-        chosen = tried.join(kept, tried.doc_id.eqNullSafe(kept._id) & (F.col("_s") == F.col("_sha")) & (F.col("_c") == F.col("_n"))).dropDuplicates(["doc_id", "_s", "_c"])
-        out = out.unionByName(chosen.select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return out
+        torn = per_id.where("k > 0 and k < n").select(F.col("doc_id").alias("torn"))
+        kept = rows.where("kept").join(torn, F.col("doc_id").eqNullSafe(F.col("torn"))).select("torn", F.col("text_sha256").alias("sha"), F.col("n_chars").alias("chars"))
+        text = F.coalesce(F.col("row")["text"].cast("string"), F.lit(""))
+        tried = packed.select("id", "row", F.sha2(F.regexp_replace(text, f"[{WS}]+", ""), 256).alias("own_sha"), F.length(text).alias("own_chars"))
+        chosen = tried.join(kept, F.col("id").eqNullSafe(F.col("torn")) & (F.col("own_sha") == F.col("sha")) & (F.col("own_chars") == F.col("chars"))).dropDuplicates(["id", "sha", "chars"])
+        out = out.unionByName(chosen.select("id", "row"))
+    return out.select("row.*")
 
 
 ORACLE_SQL = r"""

@@ -7,9 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side
+from .common import materialize, small_side, whole_row
 
 SEED = "mix-1"
+#: A larger rate is drawn as the sum of several draws of equal rates below this (sums of Poisson draws are Poisson
+#: draws), so the table of a source has a bounded length however often its rows repeat.
+DRAW_RATE = 32.0
+MADE = ("copy_no", "mix_key")
 
 
 def uniform(seed: str, *parts: Column) -> Column:
@@ -19,7 +23,7 @@ def uniform(seed: str, *parts: Column) -> Column:
 
 
 def poisson_steps(rate: Column) -> Column:
-    """The Poisson distribution function at 0, 1, ... as an array, as far as it differs from 1."""
+    """The Poisson distribution function at 0, 1, ... as an array, as far as it differs from 1; ``rate`` is bounded."""
     last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
     start = F.struct((-rate).alias("lp"), F.exp(-rate).alias("c"), F.array(F.exp(-rate)).alias("out"))
 
@@ -33,12 +37,12 @@ def poisson_steps(rate: Column) -> Column:
 
 
 def target_rates(docs: DataFrame, weights: Mapping[str | None, float] | None, power: float, total: int | None) -> tuple[DataFrame, int]:
-    """(source, n, rate, steps) for each source, and their number.
+    """(source, rate, draws, steps) for each source, and their number.
 
     ``weights`` names the share of each source (others get none); without it shares go as the source's row count to
     ``power``.  ``total`` is the expected number of rows that come out; as many as go in by default.
     """
-    counts = materialize(docs.groupBy("source").count().withColumnRenamed("count", "n"), "mix-counts")
+    counts = materialize(docs.groupBy(F.col("source").cast("string").alias("source")).count().withColumnRenamed("count", "n"), "mix-counts")
     if weights is None:
         weight = F.when(F.col("n") > 0, F.pow(F.col("n").cast("double"), F.lit(power)))
     else:
@@ -48,8 +52,9 @@ def target_rates(docs: DataFrame, weights: Mapping[str | None, float] | None, po
     weighed = counts.withColumn("w", weight)
     sums = weighed.agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("sources")).first()
     budget, whole = float(total if total is not None else sums["n"] or 0), sums["w"] or 1.0
-    rate = F.lit(budget) * (F.col("w") / F.lit(whole)) / F.col("n")
-    return weighed.withColumn("rate", rate).withColumn("steps", poisson_steps(F.col("rate"))).select("source", "rate", "steps"), sums["sources"]
+    rated = weighed.withColumn("rate", F.lit(budget) * (F.col("w") / F.lit(whole)) / F.col("n"))
+    drawn = rated.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / DRAW_RATE)).cast("long"))
+    return drawn.withColumn("steps", poisson_steps(F.col("rate") / F.col("draws"))).select("source", "rate", "draws", "steps"), sums["sources"]
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, power: float = 0.5, total: int | None = None, seed: str = SEED) -> DataFrame:
@@ -57,18 +62,31 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, powe
 
     The draw inverts the Poisson distribution of the source's rate at a number hashed from seed and doc_id, so it is the same on every run
     and row: rows that repeat an id share one draw.  Null sources are a source of their own;
-    a null id draws as the text "null" does.  Rows with a draw of 0 do not come out.
+    a null id draws as the text "null" does.  Rows with a draw of 0 do not come out.  Columns named copy_no or
+    mix_key in ``docs`` give way.  An empty table gives an empty result.
     """
     rates, n = target_rates(docs, weights, power, total)
-    rates = small_side(rates.select(F.col("source").alias("_source"), "rate", "steps"), n, 2000)
-    drawn = docs.join(rates, docs.source.eqNullSafe(F.col("_source")))
-    u = uniform(seed, F.col("doc_id"))
-    drawn = drawn.withColumn("_u", u).withColumn("_times", F.size(F.filter("steps", lambda c: c <= F.col("_u"))))
-    copies = drawn.where("_times > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times").cast("long"))))
-    keyed = copies.withColumn("mix_key", uniform(seed + "/order", F.col("doc_id"), F.col("copy_no")))
+    rates = small_side(rates.select(F.col("source").alias("of_source"), "draws", "steps"), n, 2000)
+    packed = docs.select(F.col("source").cast("string").alias("source"), F.col("doc_id").cast("string").alias("id"), whole_row(docs, MADE).alias("row"))
+    drawn = packed.join(rates, F.col("source").eqNullSafe(F.col("of_source")))
+
+    def drawn_once(draw):
+        u = uniform(seed, F.col("id"), draw)
+        return F.size(F.filter("steps", lambda c: c <= u)).cast("long")
+
+    times = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("draws")), F.lit(0).cast("long"), lambda n, draw: n + drawn_once(draw))
+    counted = drawn.select("id", "row", times.alias("times")).where("times > 0")
+    copies = counted.select("id", "row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy_no"))
+    keyed = copies.select("row", "copy_no", uniform(seed + "/order", F.col("id"), F.col("copy_no")).alias("mix_key"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shuffled = keyed.repartition(parts, F.hash("mix_key")).sortWithinPartitions("mix_key")
-    return shuffled.select(*[F.col(f"`{c}`") for c in docs.columns], "copy_no", "mix_key")
+    return shuffled.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in MADE], "copy_no", "mix_key")
+
+
+def mixed_rows(docs: DataFrame, **how) -> DataFrame:
+    """What ``mix`` gives, with the columns of ``docs`` alone."""
+    mixed = mix(docs.select(whole_row(docs).alias("row"), "doc_id", "source"), **how)
+    return mixed.select("row.*")
 
 
 def _u(seed: str, parts: str) -> str:
@@ -78,11 +96,13 @@ def _u(seed: str, parts: str) -> str:
 ORACLE_SQL = f"""
 WITH RECURSIVE n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 r AS (SELECT source, (SELECT sum(n) FROM n)::DOUBLE * (pow(n::DOUBLE, 0.5) / (SELECT sum(pow(n::DOUBLE, 0.5)) FROM n)) / n AS rate FROM n),
-s AS (SELECT source, rate, 0 AS k, -rate AS lp, exp(-rate) AS c FROM r
+q AS (SELECT source, greatest(1, ceil(rate / {DRAW_RATE}))::BIGINT AS draws, rate / greatest(1, ceil(rate / {DRAW_RATE})) AS rate FROM r),
+s AS (SELECT source, rate, 0 AS k, -rate AS lp, exp(-rate) AS c FROM q
       UNION ALL
       SELECT source, rate, k + 1, lp + ln(rate / (k + 1)), c + exp(lp + ln(rate / (k + 1))) FROM s WHERE k < ceil(rate + 12 * sqrt(rate) + 40)),
-u AS (SELECT *, {_u(SEED, "doc_id::VARCHAR")} AS u FROM documents),
-t AS (SELECT u.*, (SELECT count(*) FROM s WHERE s.source IS NOT DISTINCT FROM u.source AND s.c <= u.u) AS times FROM u),
-e AS (SELECT doc_id, source, text, unnest(range(1, times + 1)) AS copy_no FROM t)
+d AS (SELECT doc_id, source, text, unnest(range(1, draws + 1)) AS draw FROM documents JOIN q USING (source)),
+u AS (SELECT *, {_u(SEED, "doc_id::VARCHAR || ':' || draw::VARCHAR")} AS u FROM d),
+t AS (SELECT doc_id, source, text, sum((SELECT count(*) FROM s WHERE s.source = u.source AND s.c <= u.u)) AS times FROM u GROUP BY ALL),
+e AS (SELECT doc_id, source, text, unnest(range(1, times::BIGINT + 1)) AS copy_no FROM t)
 SELECT doc_id, source, text, copy_no, round({_u(SEED + "/order", "doc_id::VARCHAR || ':' || copy_no::VARCHAR")}, 9) AS mix_key FROM e
 """

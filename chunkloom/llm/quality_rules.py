@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS
+from .common import WS, whole_row
 
 # Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -102,9 +102,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """``docs`` with metrics, ``base_failed``, ``failed_rules`` (names, in table order) and ``kept``.
 
-    Every input row gives one output row, repeated rows too.  A null text fails for want of words.
+    Every input row gives one output row, repeated rows too.  A null text fails for want of words.  Columns that
+    ``docs`` already has by the name of a metric or verdict give way to it.
     """
-    # columns that a caller's table already has by a metric's name give way to the metrics
     measured = measure(docs, text)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     failed = F.array_compact(F.array(*[F.when(~rule.holds(), F.lit(rule.name)) for rule in rules])) if rules else F.expr("cast(array() as array<string>)")
@@ -113,8 +113,10 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") ->
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs`` alone."""
-    packed = docs.select(F.col(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    return judge(packed, rules).where("kept").select("_row.*")
+    packed = docs.select(F.col(text).alias("text"), whole_row(docs).alias("_row"))
+    judged = judge(packed, rules)
+    # a filter on ``kept`` would be pushed below the projections, which copies their expressions into it again and again
+    return judged.select(F.explode(F.when(F.col("kept"), F.array("_row"))).alias("_row")).select("_row.*")
 
 
 def _sql_list(words: Sequence[str]) -> str:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, materialize, small_side, texts
+from .common import Batches, materialize, small_side, texts, whole_row
 from .components import components
 
 # Fixed value: the generator polynomial of the [23, 12] Golay code.
@@ -169,12 +169,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     # rows that repeat an id count as one document: it stays if one of its fingerprints' components bears its id
     per_id = materialize(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")), "simhash-ids")
     counted = per_id.agg(F.count(F.when(~F.col("kept"), 1)).alias("lose"), F.count(F.when(F.col("kept") & (F.col("n") > 1), 1)).alias("repeated")).first()
-    losers = small_side(per_id.where("not kept").select(F.col("doc_id").alias("_id")), counted["lose"], 16)
-    out = docs.join(losers, docs.doc_id.eqNullSafe(losers._id), "left_anti")
+    packed = docs.select(F.col("doc_id").cast("long").alias("id"), whole_row(docs).alias("row"))
+    losers = small_side(per_id.where("not kept").select(F.col("doc_id").alias("loser")), counted["lose"], 16)
+    out = packed.join(losers, F.col("id").eqNullSafe(F.col("loser")), "left_anti")
     if counted["repeated"]:
-        twice = per_id.where("kept and n > 1").select(F.col("doc_id").alias("_id"))
-        single = out.join(twice, out.doc_id.eqNullSafe(twice._id), "left_anti")
-        out = single.unionByName(out.join(twice, out.doc_id.eqNullSafe(twice._id), "left_semi").dropDuplicates(["doc_id"]))
-    return out
-
-
+        named = small_side(per_id.where("kept and n > 1").select(F.col("doc_id").alias("again")), counted["repeated"], 16)
+        single = out.join(named, F.col("id").eqNullSafe(F.col("again")), "left_anti")
+        out = single.unionByName(out.join(named, F.col("id").eqNullSafe(F.col("again")), "left_semi").dropDuplicates(["id"]))
+    return out.select("row.*")
