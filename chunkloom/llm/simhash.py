@@ -1,10 +1,12 @@
 """SimHash near-dedup with Golay-code keys.
 
 The perfect binary Golay code maps each 23-bit word to the one codeword within three bits.  A 64-bit
-fingerprint is cut into segments of 23, 23 and 18 bits.  If two fingerprints differ in four bits or
-fewer, some two of the three segments differ in two bits or fewer together.  So both reach a
-common word pair by flipping at most one bit each, and that pair's codeword indices are a key
-of both: every fingerprint takes the indices of its own segments and of those with one bit flipped.
+fingerprint is cut into three segments of at most 22 bits, each shortened Golay words.  If two fingerprints differ in four bits or
+fewer, some two of the three segments (i, j) differ in two bits or fewer together.  Keys of a pair of segments are the codeword
+index of segment i, or of it with one bit flipped, next to segment j as it is; and the index of segment i as it is, next to
+segment j with one bit flipped.  Two errors in i meet in the word between, and so do two in j; with one in each, the
+one fingerprint flips the bit in i and the other that in j.  Most words have six codewords in reach of a flip, not 22, so
+a fingerprint has about 80 keys, of 33 bits or more.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from .components import components
 
 # Fixed value: the generator polynomial of the [23, 12] Golay code.
 GENERATOR = 0xC75
-SEGMENTS = ((0, 23), (23, 23), (46, 18))
-PAIRS = ((0, 1), (0, 2), (1, 2))
+SEGMENTS = ((0, 22), (22, 21), (43, 21))
+PAIRS = ((0, 1), (1, 2), (2, 0))
 MAX_BITS = 4
 SHINGLE_WORDS = 4
 SEED = 42
@@ -60,16 +62,17 @@ def golay_index(words: np.ndarray) -> np.ndarray:
 
 def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of unsigned 64-bit fingerprints: (row numbers, keys), each key once a row."""
-    index, flipped = [], []
+    words, near = [], []
     for start, width in SEGMENTS:
         word = ((prints >> np.uint64(start)) & np.uint64((1 << width) - 1)).astype(np.uint32)
-        index.append(golay_index(word).astype(np.int64))
-        flipped.append(golay_index(word[:, None] ^ (np.uint32(1) << np.arange(width, dtype=np.uint32))).astype(np.int64))
+        flips = np.concatenate([[0], np.uint32(1) << np.arange(width, dtype=np.uint32)]).astype(np.uint32)
+        words.append((word[:, None] ^ flips).astype(np.int64))
+        near.append(golay_index(word[:, None] ^ flips).astype(np.int64))
     columns = []
     for number, (i, j) in enumerate(PAIRS):
-        own = index[i] << 12 | index[j]
-        near = np.concatenate([own[:, None], flipped[i] << 12 | index[j][:, None], index[i][:, None] << 12 | flipped[j]], axis=1)
-        columns.append(near | number << 24)
+        width = SEGMENTS[j][1]
+        columns.append(number << 40 | near[i] << width | words[j][:, :1])
+        columns.append(number << 40 | near[i][:, :1] << width | words[j][:, 1:])
     keys = np.sort(np.concatenate(columns, axis=1), axis=1)
     new = np.ones(keys.shape, bool)
     new[:, 1:] = keys[:, 1:] != keys[:, :-1]
@@ -132,10 +135,11 @@ def linked(prints: DataFrame) -> DataFrame:
     keyed = _keyed(prints)
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("fp").alias("h"), F.col("fp").alias("pivot"))).alias("p")).where("n > 1")
     buckets = materialize(buckets.select("key", "n", "p.pivot"), "simhash-buckets")
-    stars = keyed.join(buckets.select("key", "pivot"), "key").where((F.col("fp") != F.col("pivot")) & near("fp", "pivot"))
+    n_buckets = buckets.count()
+    stars = keyed.join(small_side(buckets.select("key", "pivot"), n_buckets, 24), "key").where((F.col("fp") != F.col("pivot")) & near("fp", "pivot"))
     first = materialize(components(stars.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))), "simhash-first")
     # a key of two is settled by its pivot
-    members = keyed.join(buckets.where("n > 2").select("key", "pivot"), "key")
+    members = keyed.join(small_side(buckets.where("n > 2").select("key", "pivot"), n_buckets, 24), "key")
     own, of_pivot = first.select(F.col("node").alias("fp"), F.col("root").alias("own")), first.select(F.col("node").alias("pivot"), F.col("root").alias("of_pivot"))
     members = members.join(own, "fp", "left").join(of_pivot, "pivot", "left")
     members = materialize(members.select("key", "fp", F.coalesce("own", "fp").alias("root"), F.coalesce("of_pivot", "pivot").alias("pivot_root")), "simhash-members")
