@@ -180,16 +180,16 @@ def chunk_payloads(spark, folder):
 
 @query
 def chunk_upsert(spark, folder):
-    """Documents replace what an earlier run kept under their id; the key is the id's tens."""
-    docs = table(spark, folder, "documents")
-    old = docs.where("doc_id < 500").select((F.floor(F.col("doc_id") / 10)).alias("chunk_id"), F.lit("old").alias("payload")).distinct()
-    new = docs.where("doc_id >= 200").select((F.floor(F.col("doc_id") / 10)).alias("chunk_id"), F.col("doc_id").cast("string").alias("payload"), "doc_id")
+    """Labels replace what documents left under their key, ten ids to a key; of several labels the last id counts."""
+    key = F.floor(F.col("doc_id") / 10).alias("chunk_id")
+    old = table(spark, folder, "documents").select(key, F.lit("old").alias("payload")).distinct()
+    new = table(spark, folder, "labels").select(key, F.col("doc_id").cast("string").alias("payload"), "doc_id")
     return upsert(old, new, order=["doc_id"])
 
 
 @query
 def chunk_lookup(spark, folder):
-    return lookup(chunk_pages(_documents(spark, folder), CONFIG), "EDU:7:0-3").select("chunk_id", "normalized_text")
+    return lookup(chunk_pages(_documents(spark, folder), CONFIG), "EDU:7:0-5").select("chunk_id", "normalized_text")
 
 
 @query

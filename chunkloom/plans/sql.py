@@ -120,7 +120,8 @@ SELECT a.doc_id, coalesce(prefix, '') AS prefix, length(CASE WHEN prefix IS NULL
     "chunk_texts": f"WITH RECURSIVE {_chunks(SIZE)} SELECT doc_id::VARCHAR AS page_id, chunk_no::INT AS chunk_no, text AS normalized_text, length(text)::INT AS text_length, '#:~:text=' || {_quote(_trim('substr(text, 1, 80)'))} AS navigation_url, text AS embedding_text FROM c",
     "chunk_bounds": f"WITH RECURSIVE {_chunks(512)} SELECT doc_id::VARCHAR AS page_id, chunk_no::INT AS chunk_no, length(text)::INT AS text_length, n AS n_tokens FROM c",
     "chunk_count": f"WITH RECURSIVE {_chunks(SIZE)} SELECT count(*) AS n_chunks FROM c",
-    "chunk_upsert": "WITH old AS (SELECT DISTINCT doc_id // 10 AS chunk_id FROM documents WHERE doc_id < 500), new AS (SELECT doc_id // 10 AS chunk_id, max(doc_id)::VARCHAR AS payload FROM documents WHERE doc_id >= 200 GROUP BY 1) SELECT chunk_id, payload FROM new UNION ALL SELECT chunk_id, 'old' FROM old WHERE chunk_id NOT IN (SELECT chunk_id FROM new)",
+    "chunk_lookup": f"WITH RECURSIVE {_chunks(512)} SELECT 'EDU:7:0-5' AS chunk_id, text AS normalized_text FROM c WHERE doc_id = 7 AND chunk_no = 0",
+    "chunk_upsert": "WITH new AS (SELECT doc_id // 10 AS chunk_id, max(doc_id)::VARCHAR AS payload FROM labels GROUP BY 1) SELECT chunk_id, payload FROM new UNION ALL SELECT DISTINCT doc_id // 10, 'old' FROM documents WHERE doc_id // 10 NOT IN (SELECT chunk_id FROM new)",
     "explicit_ids": "SELECT page_id::VARCHAR AS page_id, url FROM pages JOIN (VALUES (3), (5), (3), (8)) AS v(i) ON page_id = i",
     "run_statistics": f"WITH RECURSIVE {_chunks(SIZE)} SELECT (SELECT count(*) FROM documents) AS pages, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l)) AS pages_empty, 0::BIGINT AS pages_with_errors, (SELECT count(*) FROM l) AS blocks, (SELECT count(*) FROM c) AS chunks",
 }
