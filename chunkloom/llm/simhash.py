@@ -118,7 +118,9 @@ def _keyed(prints: DataFrame) -> DataFrame:
                 at, keys = golay_keys(fp.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[at])], names=["key", "fp"])
 
-    return prints.select("fp").mapInArrow(rows, "key long, fp long")
+    # a fingerprint becomes some 80 rows, so a table of few bytes is dealt to all tasks first
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prints.select("fp").repartition(parts, "fp").mapInArrow(rows, "key long, fp long")
 
 
 def near(a: str, b: str):
