@@ -82,44 +82,54 @@ class Index:
             self.shingles[name] = np.unique(_shingles(words, shingle_words))
             lengths[size].append(name)
         self.windows = []
+        #: for a shingle: the windows and orders in which it gives the band value, and the templates that have it
+        self.least: dict[int, list[tuple[int, int, np.ndarray, list[str]]]] = defaultdict(list)
         for length, names in sorted(lengths.items()):
             stride = max(1, length // 4)
             # the window nearest to a passage misses half a stride of it at most
             shared = max(1.0, containment * length - stride / 2) if length > 1 else 1.0
-            bands = bands_for(shared / (2 * length - shared))
-            orders = permutations(bands)
-            values: list[dict[int, list[str]]] = [defaultdict(list) for _ in range(bands)]
-            for name in names:
-                for band in range(bands):
-                    values[band][int(self._order(self.shingles[name], orders, band).min())].append(name)
-            self.windows.append((length, stride, orders, values))
+            orders = permutations(bands_for(shared / (2 * length - shared)))
+            self.windows.append((length, stride))
+            for order in orders.T:
+                having: dict[int, list[str]] = defaultdict(list)
+                for name in names:
+                    own = self.shingles[name]
+                    having[int(own[self._order(own, order).argmin()])].append(name)
+                for shingle, named in having.items():
+                    self.least[shingle].append((length, stride, order, named))
+        self.anchors = np.array(sorted(self.least), np.uint64)
 
     @staticmethod
-    def _order(h: np.ndarray, orders: np.ndarray, band: int) -> np.ndarray:
+    def _order(h: np.ndarray, order: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            x = h * orders[0, band] + orders[1, band]
+            x = h * order[0] + order[1]
         return x ^ (x >> np.uint64(31))
 
     def candidates(self, h: np.ndarray):
-        """(template, first shingle, end) of windows that share a band value with a template."""
-        for length, stride, orders, values in self.windows:
-            starts = np.arange(0, max(len(h) - length, 0) + stride, stride)
-            starts = np.unique(np.minimum(starts, max(len(h) - length, 0)))
-            for band, known in enumerate(values):
-                x = self._order(h, orders, band)
-                low = _window_min(x, length, starts)
-                for value, names in known.items():
-                    for at in starts[low == np.uint64(value)]:
-                        for name in names:
-                            yield name, max(0, int(at) - stride), min(len(h), int(at) + length + stride)
+        """(template, first shingle, end) of windows that share a band value with a template.
+
+        An order gives different shingles different values, so a window has a template's band value if it holds the
+        shingle that gave it and none that comes before.  Only windows with such a shingle need their minimum.
+        """
+        near = np.minimum(np.searchsorted(self.anchors, h), len(self.anchors) - 1)
+        hits = np.flatnonzero(self.anchors[near] == h)
+        for shingle in np.unique(h[hits]):
+            places = hits[h[hits] == shingle]
+            for length, stride, order, names in self.least[int(shingle)]:
+                starts = _windows_with(places, length, stride, len(h))
+                held = h[starts[:, None] + np.arange(min(length, len(h)))]
+                low = self._order(held, order).min(axis=1) == self._order(np.array([shingle]), order)
+                for at in starts[low].tolist():
+                    for name in names:
+                        yield name, max(0, at - stride), min(len(h), at + length + stride)
 
     def scan(self, data: bytes | None) -> list[tuple[str, int, int, float]]:
         """(template, first word, end word, containment) of the verified passages of one text, overlapping ones merged."""
         words, found = words_of(data), defaultdict(list)
-        overlap = max((w[0] + 2 * w[1] for w in self.windows), default=0) + self.size
+        overlap = max((length + 2 * stride for length, stride in self.windows), default=0) + self.size
         for begun in range(0, len(words), BLOCK):
             h = _shingles(words[begun : begun + BLOCK + overlap], self.size)
-            if not len(h):
+            if not (len(h) and len(self.anchors)):
                 continue
             for name, a, b in set(self.candidates(h)):
                 held = np.isin(h[a:b], self.shingles[name])
@@ -139,15 +149,11 @@ class Index:
         return sorted(out)
 
 
-def _window_min(x: np.ndarray, length: int, starts: np.ndarray) -> np.ndarray:
-    """Minimum of x over [s, s + length) for each start: by doubling, then two overlapping halves."""
-    if length >= len(x):
-        return np.array([x.min()] * len(starts), np.uint64)
-    width, low = 1, x
-    while 2 * width <= length:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    return np.minimum(low[starts], low[starts + length - width])
+def _windows_with(places: np.ndarray, length: int, stride: int, n: int) -> np.ndarray:
+    """Starts of the windows over ``n`` shingles that hold one of ``places``: one each ``stride``, and the last possible one."""
+    last = max(n - length, 0)
+    starts = np.clip((places[:, None] // stride + 1 - np.arange(length // stride + 2)) * stride, 0, last)
+    return np.unique(starts[(starts <= places[:, None]) & (places[:, None] < starts + length)])
 
 
 @lru_cache(maxsize=4)

@@ -298,3 +298,14 @@ def test_colliding_fingerprints_are_told_apart(spark):
     docs = spark.createDataFrame([(i, f"text {i % 40:02d}") for i in range(120)], "doc_id long, text string")
     rows = exact_dedup.exact_groups(docs, prime=3).collect()  # three remainders a base: many collisions
     assert all(r["keep_id"] == r["doc_id"] % 40 and r["group_size"] == 3 for r in rows)
+
+
+def test_license_windows_are_those_of_the_grid_that_hold_a_place():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        length, n = int(rng.integers(1, 12)), int(rng.integers(1, 40))
+        stride = max(1, length // 4)
+        places = np.unique(rng.integers(0, n, 3))
+        last = max(n - length, 0)
+        grid = sorted({min(s, last) for s in range(0, last + stride, stride)})
+        assert license_scan._windows_with(places, length, stride, n).tolist() == [s for s in grid if any(s <= p < s + length for p in places)]
