@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WS, Batches, materialize, small_side, texts, whole_row
@@ -23,6 +23,8 @@ BASES = (1_103_515_245, 1_812_433_253, 742_938_285)
 CHUNK = 1 << 14
 #: Code points in a unit of the chunkwise comparison.
 COMPARE_CHARS = 1 << 16
+#: Rows of a group that one task compares with the group's first text; larger groups are dealt to several.
+PART_ROWS = 128
 SPACES = b" \t\n\x0b\x0c\r"
 
 
@@ -88,14 +90,15 @@ def _continuation_bytes(data: bytes) -> int:
 
 
 def _chunks(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """Number and content of each piece, without white space, of the texts that ``members`` (id, sha, key) names."""
+    """Number and content of each piece, without white space, of the texts that ``members`` (id, sha, parts, key) names, and its part of the group."""
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bare = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), f"[{WS}]+", "")
-    found = held.join(members, held.doc_id.eqNullSafe(members.id)).select("doc_id", "sha", *KEY, bare.alias("bare"))
+    found = held.join(members, held.doc_id.eqNullSafe(members.id)).select("doc_id", "sha", "parts", *KEY, bare.alias("bare"))
     # an id may repeat with another text
     found = found.where(F.sha2("bare", 256) == F.col("sha"))
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.length("bare") - 1, F.lit(0)), F.lit(COMPARE_CHARS)), lambda i: F.substring(F.col("bare"), i + 1, F.lit(COMPARE_CHARS)))
-    return found.select("doc_id", F.col("sha").alias("text_sha256"), *KEY, F.posexplode(cut).alias("piece_no", "piece"))
+    part = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
+    return found.select("doc_id", F.col("sha").alias("text_sha256"), "parts", part.alias("part"), *KEY, F.posexplode(cut).alias("piece_no", "piece"))
 
 
 def _same(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
@@ -110,11 +113,13 @@ def classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
     their group's first text.  Fingerprints that no other row has are not in it.
 
     In each round every group compares its members, piece by piece, with one of them; those that
-    differ (a collision) go on to the next round as a group of their own.
+    differ (a collision) go on to the next round as a group of their own.  A group of more than ``PART_ROWS`` rows
+    is dealt in parts, each with its own copy of the first text's pieces.
     """
     distinct = prints.groupBy(*KEY, "text_sha256").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id"))["doc_id"].alias("first_id"), F.count("*").alias("copies"))
-    groups = prints.groupBy(*KEY).count().where("count > 1").drop("count")
-    left = materialize(distinct.join(groups, KEY), "dedup-groups")
+    groups = prints.groupBy(*KEY).count().where("count > 1").select(*KEY, F.ceil(F.col("count") / PART_ROWS).alias("parts"))
+    groups = materialize(groups, "dedup-groups")
+    left = materialize(distinct.join(groups.drop("parts"), KEY), "dedup-left")
     done = None
     number = 0
     while True:
@@ -122,19 +127,20 @@ def classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
         marked = left.join(heads, KEY).withColumn("round", F.lit(number))
         if number == 0:
             # every row of a group of copies takes part, not one row for each digest
-            members = prints.join(small_side(groups, groups.count(), 40), KEY).select("doc_id", "text_sha256", *KEY).distinct()
+            members = prints.join(small_side(groups, groups.count(), 48), KEY).select("doc_id", "text_sha256", "parts", *KEY).distinct()
         else:
             members = members.join(left.select(*KEY, "text_sha256"), [*KEY, "text_sha256"], "left_semi")
         members = materialize(members, "dedup-members")
         n = members.count()
-        ids = members.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), *KEY)
+        ids = members.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), "parts", *KEY)
         pieces = materialize(_chunks(docs, small_side(ids, n, 120)), "dedup-pieces")
         firsts = marked.where("text_sha256 = head_sha").select(*KEY, F.col("first_id"), F.col("head_sha"))
         f = small_side(firsts, n, 120)
-        head = pieces.join(f, _same(pieces, f, KEY) & pieces.doc_id.eqNullSafe(f.first_id) & (pieces.text_sha256 == f.head_sha)).select(*(pieces[k].alias(f"_{k}") for k in KEY), pieces.piece_no.alias("_no"), pieces.piece.alias("_piece"))
-        head = head.dropDuplicates([f"_{k}" for k in KEY] + ["_no"])
-        compared = pieces.join(head, (pieces.n_bytes == F.col("_n_bytes")) & (pieces.h1 == F.col("_h1")) & (pieces.h2 == F.col("_h2")) & (pieces.h3 == F.col("_h3")) & (pieces.piece_no == F.col("_no")), "left")
-        verdict = compared.groupBy(*KEY, "text_sha256").agg(F.min(F.col("piece").eqNullSafe(F.col("_piece"))).alias("equal"))
+        head = pieces.join(f, _same(pieces, f, KEY) & pieces.doc_id.eqNullSafe(f.first_id) & (pieces.text_sha256 == f.head_sha))
+        head = head.select(*(pieces[k] for k in KEY), pieces.piece_no, pieces.parts, pieces.piece.alias("head_piece")).dropDuplicates([*KEY, "piece_no"])
+        head = head.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        compared = pieces.join(materialize(head, "dedup-heads"), [*KEY, "piece_no", "part"], "left")
+        verdict = compared.groupBy(*KEY, "text_sha256").agg(F.min(F.col("piece").eqNullSafe(F.col("head_piece"))).alias("equal"))
         verdict = materialize(verdict, "dedup-verdict")
         equal = verdict.where("equal").select(*KEY, "text_sha256", F.lit(number).alias("round"))
         done = equal if done is None else done.unionByName(equal)
@@ -155,22 +161,21 @@ def exact_groups(docs: DataFrame, prime: int = PRIME) -> DataFrame:
     one's id and length exactly one is kept.  An empty table gives an empty result.
     """
     prints = materialize(fingerprints(docs, prime), "dedup-prints")
-    proved = classes(docs, prints)
-    proved = materialize(proved, "dedup-classes")
+    proved = materialize(classes(docs, prints), "dedup-classes")
     n_proved = proved.count()
-    side = small_side(proved, n_proved, 130)
-    rows = prints.join(side, [*KEY, "text_sha256"], "left").withColumn("round", F.coalesce("round", F.lit(-1)))
+    # rows that repeat an id and a text are one row with a count, until the result deals them out again
+    single = prints.groupBy("doc_id", "n_chars", *KEY, "text_sha256").agg(F.count("*").alias("times"))
+    rows = single.join(small_side(proved, n_proved, 130), [*KEY, "text_sha256"], "left")
+    rows = materialize(rows.withColumn("round", F.coalesce("round", F.lit(-1))), "dedup-rounds")
     order = F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("id"))
-    best = rows.where("round >= 0").groupBy(*KEY, "round").agg(F.min(order).alias("best"), F.count("*").alias("size"))
-    rows = rows.join(small_side(best, n_proved, 100), [*KEY, "round"], "left")
-    twin = Window.partitionBy("doc_id", *KEY, "round").orderBy(F.col("n_chars").desc())
+    best = rows.where("round >= 0").groupBy(*KEY, "round").agg(F.min(order).alias("best"), F.sum("times").alias("size"))
+    rows = rows.join(small_side(materialize(best, "dedup-best"), n_proved, 100), [*KEY, "round"], "left")
     wins = F.col("best").isNull() | ((F.col("n_chars") == -F.col("best.a")) & F.col("doc_id").eqNullSafe(F.col("best.id")))
-    ranked = rows.withColumn("_twin", F.row_number().over(twin))
-    return ranked.select(
+    return rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time")).select(
         "doc_id",
         F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        (wins & (F.col("_twin") == 1)).alias("kept"),
+        (wins & (F.col("time") == 1)).alias("kept"),
         "text_sha256",
         "n_chars",
     )

@@ -294,7 +294,9 @@ def test_exact_dedup(spark, odd, none):
     assert exact_dedup.keep_first(none).count() == 0
 
 
-def test_colliding_fingerprints_are_told_apart(spark):
+@pytest.mark.parametrize("part_rows", [2, 1000])
+def test_colliding_fingerprints_are_told_apart(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(exact_dedup, "PART_ROWS", part_rows)
     docs = spark.createDataFrame([(i, f"text {i % 40:02d}") for i in range(120)], "doc_id long, text string")
     rows = exact_dedup.exact_groups(docs, prime=3).collect()  # three remainders a base: many collisions
     assert all(r["keep_id"] == r["doc_id"] % 40 and r["group_size"] == 3 for r in rows)
