@@ -13,7 +13,7 @@ from ..functions import text as T
 from ..operators.blocks import heading_hierarchy, page_blocks, parent_headings
 from ..operators.chunks import chunk_pages
 from ..sinks.core import lookup, payloads, upsert
-from ..sources.tables import html_pages, only_ids, page_info, parsed_pages, table, text_pages
+from ..sources.tables import html_pages, only_ids, page_info, parsed_pages, spread, table, text_pages
 from ..streaming.stream import run_stats
 from . import sql
 
@@ -30,12 +30,16 @@ def query(f: Query) -> Query:
     return f
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"))
+
+
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return text_pages(table(spark, folder, "documents"))
+    return text_pages(_texts(spark, folder))
 
 
 def _pages(spark: SparkSession, folder: str, config: Config = CONFIG) -> DataFrame:
-    return parsed_pages(table(spark, folder, "pages"), config)
+    return parsed_pages(spread(table(spark, folder, "pages")), config)
 
 
 @query
@@ -76,17 +80,17 @@ def parsed_block_ids(spark, folder):
 
 @query
 def token_counts(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.count_tokens(F.col("text")).alias("n_tokens"))
+    return _texts(spark, folder).select("doc_id", T.count_tokens(F.col("text")).alias("n_tokens"))
 
 
 @query
 def normalized_text(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.md5(T.normalize_space(F.col("text")).cast("binary")).alias("text_md5"))
+    return _texts(spark, folder).select("doc_id", F.md5(T.normalize_space(F.col("text")).cast("binary")).alias("text_md5"))
 
 
 @query
 def sentence_rows(spark, folder):
-    rows = table(spark, folder, "documents").select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("place", "sentence"))
+    rows = _texts(spark, folder).select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("place", "sentence"))
     return rows.select("doc_id", "place", "sentence", T.count_tokens(F.col("sentence")).alias("n_tokens"))
 
 
@@ -104,12 +108,12 @@ def greedy_bins(spark, folder):
 
 @query
 def split_text_parts(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.posexplode(bins.split_text(F.col("text"), F.lit(sql.SIZE))).alias("part", "text"))
+    return _texts(spark, folder).select("doc_id", F.posexplode(bins.split_text(F.col("text"), F.lit(sql.SIZE))).alias("part", "text"))
 
 
 @query
 def sentence_prefix(spark, folder):
-    cut = table(spark, folder, "documents").select("doc_id", bins.take_prefix(F.col("text"), F.lit(PREFIX_CAP), must_take=False).alias("p"))
+    cut = _texts(spark, folder).select("doc_id", bins.take_prefix(F.col("text"), F.lit(PREFIX_CAP), must_take=False).alias("p"))
     return cut.select("doc_id", F.col("p.prefix").alias("prefix"), F.length("p.rest").alias("rest_length"))
 
 
@@ -138,7 +142,7 @@ def embedding_rows(spark, folder):
 
 @query
 def navigation_rows(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = _texts(spark, folder).select("doc_id", "text")
     none = F.lit(None).cast("string")
     return docs.select("doc_id", T.navigation_url(F.lit("http://example.com/x"), none, none, F.col("text")).alias("navigation_url"))
 

@@ -19,6 +19,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to all cores if they come from fewer files than there are cores.
+
+    A file's row group is read by one task, so a table of few files would be parsed and cut by few tasks.  Tables of
+    many files, as large ones are, and tables that come from no file are left as they are, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 0 < len(rows.inputFiles()) < cores else rows
+
+
 def html_pages(raw: DataFrame) -> DataFrame:
     """``raw`` (page_id, url, html) as pages: the title from the HTML, the host of the url as space."""
     entity = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
