@@ -21,7 +21,7 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Listed keys: hosts (with their subdomains) or host/first-folder/ places.
+#: Listed keys: hosts (with their subdomains), host/folder/ places of any depth, or host/path pages.
 LISTED = ("cheap-pills.example.net", "tionble.example.com", "ththor.example.com/fr/", "tionsh.example.net/es/", "therat.example.net")
 #: A cascade larger than this is built and tested in parts, by hash of the key.
 PART_BYTES = 64 << 20
@@ -46,14 +46,23 @@ def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def page_keys(host: Column, path: Column) -> Column:
-    """What can be listed of a page: each suffix of its host, alone and with the path's first folder."""
-    labels = F.split(host, r"\.")
+    """What can be listed of a page: each suffix of its host, alone, with each folder the path is in (``/`` to the deepest) and with the whole path."""
+    labels, parts = F.split(host, r"\."), F.split(path, "/")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
-    folder = F.regexp_extract(path, "^(/[^/]+/)", 1)
-    keys = F.when(folder != "", F.concat(suffixes, F.transform(suffixes, lambda s: F.concat(s, folder)))).otherwise(suffixes)
+    folders = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/")))
+    prefixes = F.when(path != "", F.concat(F.array(F.lit("")), folders, F.array(path))).otherwise(F.array(F.lit("")))
+    keys = F.flatten(F.transform(prefixes, lambda p: F.transform(suffixes, lambda s: F.concat(s, p))))
     return F.when(host != "", F.array_distinct(keys)).otherwise(F.expr("cast(array() as array<string>)"))
 
 
+def check_listed(listed: DataFrame) -> None:
+    """Raise if a listed key (column ``key``) has a form that no page has: it must be a lower-case host, alone or followed by a path."""
+    key = F.col("key").cast("string")
+    wrong = listed.where(~key.rlike("^[^/?#A-Z]+(/[^?#]*)?$") | key.contains("://")).select(key).first()
+    if wrong:
+        raise ValueError(f"no page can match the listed key {wrong[0]!r}; give host, host/folder/ or host/path")
+
+
 def _mixed(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of each key for a level, from its two 64-bit hashes (columns of ``h``)."""
     with np.errstate(over="ignore"):
@@ -150,8 +159,9 @@ def with_listed(rows: DataFrame, keys: Column, listed: DataFrame, part_bytes: in
     """``rows`` with ``listed``: whether any of a row's ``keys`` is in ``listed`` (one column ``key``).
 
     The universe is every key of ``rows``, so the answers are exact.  Rows are tested in place,
-    without a join.  Empty key arrays, nulls in the list and repeated keys are fine.
+    without a join.  Empty key arrays, nulls in the list and repeated keys are fine; a key of a form that no page has raises.
     """
+    check_listed(listed)
     keyed = rows.withColumn("_keys", keys)
     own = keyed.select(F.explode("_keys").alias("key")).distinct().select("key", F.lit(True).alias("seen"), F.lit(False).alias("listed"))
     given = listed.select(F.col("key").cast("string"), F.lit(False).alias("seen"), F.lit(True).alias("listed")).where("key is not null")
