@@ -15,14 +15,20 @@ WS = r"\x20\x09-\x0D"
 #: Rows times bytes a row that a side may have to be broadcast; larger sides are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
+#: A key that more than this part of a side's rows share is joined apart from the others.
+HOT_PART = 1000
+
 _local_roots: dict[str, str] = {}
+_written: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one where the session names none (tests)."""
+    """The shared folder of ``spark.checkpoint.dir``.  A local session that names none (tests) gets a temporary one; a cluster's raises."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="spark-")
@@ -30,21 +36,51 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/chunkloom-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/chunkloom-{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, and lost executors cost nothing."""
+    """Write ``df`` to the shared folder and read it back: lineage ends there, and lost executors cost nothing.
+
+    The table stays until ``clear`` or the folder's owner removes it, since what is read from it is computed later.
+    """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """A mark for ``clear``: how many tables this process has written so far."""
+    return len(_written)
+
+
+def clear(spark: SparkSession, since: int, keep: DataFrame | None = None) -> None:
+    """Delete the tables written after the mark ``since``, but for those that ``keep`` reads: what else was computed from them must be written by now."""
+    held = {p for f in keep.inputFiles() for p in _written if f"/{p.rsplit('/', 1)[-1]}/" in f} if keep is not None else set()
+    for path in [p for p in _written[since:] if p not in held]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _written[since:] = sorted(held & set(_written[since:]))
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Mark ``df`` for broadcast only if its counted size allows it."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def join_hot(left: DataFrame, right: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """``left`` joined with ``right``, which has one row for each key and in column ``n`` how many of ``left``'s ``total`` rows have it.
+
+    Keys that more than one row in HOT_PART has are fewer than HOT_PART: they are broadcast, so that their rows stay where they
+    are.  The others are joined by a shuffle, in which no key has many rows.
+    """
+    hot = F.broadcast(right.where(F.col(n) * HOT_PART > total))
+    rest = left.join(hot.select(key), key, "left_anti").join(right.where(F.col(n) * HOT_PART <= total), key)
+    return left.join(hot, key).unionByName(rest).drop(n)
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -18,8 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import Batches, materialize, small_side, texts, whole_row
+from .common import Batches, join_hot, materialize, small_side, texts, whole_row
 from .components import components
 
 # Fixed value: the generator polynomial of the [23, 12] Golay code.
@@ -153,33 +154,47 @@ def linked(prints: DataFrame) -> DataFrame:
     return merged.join(second, "root", "left").select(F.col("node").alias("fp"), F.coalesce("final", "root").alias("root"))
 
 
+def _named(prints: DataFrame) -> DataFrame:
+    """fp, root (its component's fingerprint), component_id, n_prints and rows (how many have it) for each distinct fingerprint of ``prints`` (doc_id, fp)."""
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "simhash-distinct")
+    named = materialize(distinct.join(linked(distinct), "fp", "left"), "simhash-named")
+    alone = named.where("root is null").select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id"), F.lit(1).cast("long").alias("n_prints"), "rows")
+    several = named.where("root is not null")
+    groups = materialize(several.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_prints")), "simhash-groups")
+    found = join_hot(several.select("root", "fp", "rows"), groups.withColumn("n", F.col("n_prints")), "root", several.count())
+    return materialize(found.select(*alone.columns).unionByName(alone), "simhash-prints-named")
+
+
 def near_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable).
 
     Texts of fewer words than a shingle hash as one; texts without words, and null ones, have fingerprint
     zero and link as any other.  Repeated rows share a fingerprint.  Null ids never name a
-    component unless all its ids are null.  An empty table gives an empty result.
+    component unless all its ids are null.  Texts of any length are hashed whole, in blocks.  Other columns of ``docs`` are not
+    looked at.  An empty table gives an empty result.
     """
     prints = materialize(fingerprints(docs, shingle_words), "simhash-prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = linked(distinct)
-    named = materialize(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-named")
-    groups = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_prints"))
-    of_print = named.join(groups, "root").select("fp", "component_id", "n_prints")
-    return prints.join(of_print, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_prints")
+    found = join_hot(prints, _named(prints), "fp", prints.count(), "rows")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_prints")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row of each component whose id names it, with the columns of ``docs``."""
-    rows = materialize(near_components(docs), "simhash-rows")
-    # rows that repeat an id count as one document: it stays if one of its fingerprints' components bears its id
-    per_id = materialize(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")), "simhash-ids")
-    counted = per_id.agg(F.count(F.when(~F.col("kept"), 1)).alias("lose"), F.count(F.when(F.col("kept") & (F.col("n") > 1), 1)).alias("repeated")).first()
-    packed = docs.select(F.col("doc_id").cast("long").alias("id"), whole_row(docs).alias("row"))
-    losers = small_side(per_id.where("not kept").select(F.col("doc_id").alias("loser")), counted["lose"], 16)
-    out = packed.join(losers, F.col("id").eqNullSafe(F.col("loser")), "left_anti")
-    if counted["repeated"]:
-        named = small_side(per_id.where("kept and n > 1").select(F.col("doc_id").alias("again")), counted["repeated"], 16)
-        single = out.join(named, F.col("id").eqNullSafe(F.col("again")), "left_anti")
-        out = single.unionByName(out.join(named, F.col("id").eqNullSafe(F.col("again")), "left_semi").dropDuplicates(["id"]))
-    return out.select("row.*")
+    """Of each component of fingerprints one row, with the columns of ``docs``: that with the smallest id (null last), then the smallest hash of the text.
+
+    Rows are chosen one by one, so rows that repeat an id or have none stay or go by their own texts.  Nulls,
+    empty and long texts are as in ``near_components``; columns of ``docs`` may have any name.
+    """
+    packed = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), whole_row(docs).alias("row"))
+    packed = packed.select("id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"), "text", "row")
+
+    def rows(batches: Batches):
+        for batch in batches:
+            yield batch.append_column("fp", pa.array(np.array([simhash(x) for x in texts(batch, "text")], np.uint64).view(np.int64)))
+
+    schema = StructType([*packed.schema.fields, StructField("fp", LongType())])
+    held = materialize(packed.mapInArrow(rows, schema).withColumn("at", F.monotonically_increasing_id()), "simhash-rows")
+    named = _named(held.select(F.col("id").alias("doc_id"), "fp")).select("fp", "root", "rows")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "at")
+    placed = join_hot(held.select("at", "id", "text_hash", "fp"), named, "fp", held.count(), "rows")
+    best = materialize(placed.groupBy("root").agg(F.min(order)["at"].alias("at")), "simhash-best")
+    return held.join(small_side(best, best.count(), 16), "at", "left_semi").select("row.*")
