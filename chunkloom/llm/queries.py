@@ -25,8 +25,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = spark.createDataFrame([(x,) for x in url_filters.LISTED], "key string")
-    return url_filters.judge_urls(pages(spark, sf_dir).select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
+    rows = pages(spark, sf_dir).select("page_id", "url")
+    return url_filters.judge_urls(rows, url_filters.listed_keys(rows)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "source", "text"), mixing.TARGETS, others=1.0)
     return mixed.withColumn("mix_key", F.round("mix_key", 9))
 
 

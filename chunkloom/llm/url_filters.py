@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, materialize
+from .common import Batches, materialize, whole_row
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (
@@ -21,8 +21,10 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Listed keys: hosts (with their subdomains), host/folder/ places of any depth, or host/path pages.
-LISTED = ("cheap-pills.example.net", "tionble.example.com", "ththor.example.com/fr/", "tionsh.example.net/es/", "therat.example.net")
+#: Listed keys of the query: hosts (with their subdomains), host/folder/ places of any depth, or host/path pages.
+LISTED = ("cheap-pills.example.net", "cheap-pills.example.com", "casino-win.example.com", "free-bets.example.com", "tionble.example.com", "ththor.example.com/fr/", "tionsh.example.net/es/", "therat.example.net")
+#: Pages and first folders of ``pages`` are listed too if the MD5 of their key begins so; such a list grows with the table.
+LISTED_PAGES, LISTED_FOLDERS = "0", "00"
 #: A cascade larger than this is built and tested in parts, by hash of the key.
 PART_BYTES = 64 << 20
 MAX_LEVELS = 64
@@ -55,6 +57,16 @@ def page_keys(host: Column, path: Column) -> Column:
     return F.when(host != "", F.array_distinct(keys)).otherwise(F.expr("cast(array() as array<string>)"))
 
 
+def listed_keys(pages: DataFrame, url: str = "url") -> DataFrame:
+    """The query's list (``key``): LISTED, and the pages and first folders that LISTED_PAGES and LISTED_FOLDERS choose."""
+    host, path = host_and_path(F.col(url))
+    split = pages.select(host.alias("host"), path.alias("path")).where("host <> '' and path <> ''").distinct()
+    chosen = lambda key, begin: F.when(F.md5(key).startswith(begin), key)
+    page, folder = F.concat("host", "path"), F.concat("host", F.lit("/"), F.split("path", "/")[1], F.lit("/"))
+    keys = split.select(F.explode(F.array(chosen(page, LISTED_PAGES), F.when(F.col("path").rlike("^/[^/]+/"), chosen(folder, LISTED_FOLDERS)))).alias("key")).where("key is not null")
+    return pages.sparkSession.createDataFrame([(x,) for x in LISTED], "key string").unionByName(keys.distinct())
+
+
 def check_listed(listed: DataFrame) -> None:
     """Raise if a listed key (column ``key``) has a form that no page has: it must be a lower-case host, alone or followed by a path."""
     key = F.col("key").cast("string")
@@ -162,7 +174,8 @@ def with_listed(rows: DataFrame, keys: Column, listed: DataFrame, part_bytes: in
     without a join.  Empty key arrays, nulls in the list and repeated keys are fine; a key of a form that no page has raises.
     """
     check_listed(listed)
-    keyed = rows.withColumn("_keys", keys)
+    packed = rows.select(whole_row(rows).alias("row"), keys.alias("_keys"))
+    keyed = packed
     own = keyed.select(F.explode("_keys").alias("key")).distinct().select("key", F.lit(True).alias("seen"), F.lit(False).alias("listed"))
     given = listed.select(F.col("key").cast("string"), F.lit(False).alias("seen"), F.lit(True).alias("listed")).where("key is not null")
     hashed = own.unionByName(given).groupBy("key").agg(F.max("seen").alias("seen"), F.max("listed").alias("listed")).where("seen")
@@ -189,13 +202,15 @@ def with_listed(rows: DataFrame, keys: Column, listed: DataFrame, part_bytes: in
         keyed = keyed.mapInArrow(test, keyed.schema)
         if parts > 1:
             keyed = materialize(keyed, "url-part")
-    return keyed.drop("_h1", "_h2")
+    return keyed.select(*[F.col("row")[c].alias(c) for c in rows.columns if c != "listed"], "listed")
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url: str = "url") -> DataFrame:
     """Add host, path, rule, listed and verdict to ``pages``: the rule's verdict, else block if listed, else allow.
 
-    Null urls and those without ``://`` have an empty host and path, fit no rule and are allowed.
+    Null urls and those without ``://`` have an empty host and path, fit no rule and are allowed.  Repeated rows are judged
+    alike; urls may be of any length; an empty table gives an empty result.  Columns of ``pages`` that have the names of the five
+    give way; others may have any name.
     """
     host, path = host_and_path(F.col(url))
     split = pages.drop("host", "path", "rule", "listed", "verdict").withColumns({"host": host, "path": path})
@@ -208,16 +223,22 @@ def _oracle() -> str:
     rules = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r))
     fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in rules]
     case = lambda values: "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, v in zip(fits, values, strict=True)) + " END"
-    listed = []
-    for key in LISTED:
-        h, _, folder = key.partition("/")
-        listed.append(f"((host = '{h}' OR ends_with(host, '.{h}'))" + (f" AND starts_with(path, '/{folder}'))" if folder else ")"))
+    given = ", ".join(f"('{key}')" for key in LISTED)
     return f"""
-WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-h AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
-             regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM r)
+WITH r AS (SELECT row_number() OVER () AS no, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT no, page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+given AS (SELECT key FROM (VALUES {given}) AS v(key)
+          UNION SELECT host || path FROM h WHERE host <> '' AND path <> '' AND starts_with(md5(host || path), '{LISTED_PAGES}')
+          UNION SELECT host || '/' || split_part(path, '/', 2) || '/' FROM h
+                WHERE host <> '' AND regexp_matches(path, '^/[^/]+/') AND starts_with(md5(host || '/' || split_part(path, '/', 2) || '/'), '{LISTED_FOLDERS}')),
+p AS (SELECT no, string_split(host, '.') AS labels, string_split(path, '/') AS parts, path FROM h WHERE host <> ''),
+s AS (SELECT no, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS suffix,
+             CASE WHEN path = '' THEN [''] ELSE list_concat(['', path], list_transform(range(1, greatest(len(parts), 2)), lambda i: array_to_string(parts[:i], '/') || '/')) END AS prefixes FROM p),
+k AS (SELECT no, suffix || unnest(prefixes) AS key FROM s),
+hit AS (SELECT DISTINCT no FROM k SEMI JOIN given USING (key))
 SELECT page_id, host, path, {case([h + p for _, h, p in rules])} AS rule,
-       coalesce({case([v for v, _, _ in rules])}, CASE WHEN {' OR '.join(listed)} THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce({case([v for v, _, _ in rules])}, CASE WHEN no IN (SELECT no FROM hit) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h
 """
 

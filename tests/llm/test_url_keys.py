@@ -24,3 +24,16 @@ def test_keys_that_no_page_has_raise(spark, key):
     rows = spark.createDataFrame([(1, "http://h.com/a/")], "page_id long, url string")
     with pytest.raises(ValueError):
         url_filters.judge_urls(rows, spark.createDataFrame([(key,), (None,), ("h.com",)], "key string"))
+
+
+def test_columns_that_clash_and_repeated_rows(spark):
+    rows = spark.createDataFrame([(1, "http://a.com/x", "u", "v", "k", "h", "i", "r")] * 2 + [(2, None, *["z"] * 6)], "page_id long, url string, host string, verdict string, _keys string, _h1 string, listed string, row string")
+    found = url_filters.judge_urls(rows, spark.createDataFrame([("a.com",)], "key string"), rules=())
+    assert set(found.columns) == {"page_id", "url", "_keys", "_h1", "row", "host", "path", "rule", "listed", "verdict"}
+    assert sorted((r["page_id"], r["verdict"], r["_keys"], r["row"]) for r in found.collect()) == [(1, "block", "k", "r")] * 2 + [(2, "allow", "z", "z")]
+
+
+def test_the_list_grows_with_the_table(spark):
+    rows = [(n, f"http://h{n % 50}.com/f{n % 400}/p{n}") for n in range(4000)]
+    listed = [url_filters.listed_keys(spark.createDataFrame(rows[:n], "page_id long, url string")).count() - len(url_filters.LISTED) for n in (400, 4000)]
+    assert 10 < listed[0] < 60 and 150 < listed[1] < 400
