@@ -55,36 +55,36 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A word is a run of other than ASCII white space.  A null or empty text has no words, no lines and
     ratios of 0.  Texts of any length stay within their row: 3-word windows are sorted inside it, so
-    no shuffle happens.
+    no shuffle happens.  Columns of ``docs`` that bear the name of a metric, or begin with ``__rules_``, give way.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(f"[^{WS}]"))
-    start = docs.withColumns({"_words": F.array_remove(F.split(whole, f"[{WS}]+"), ""), "_lines": lines})
+    start = docs.withColumns({"__rules_words": F.array_remove(F.split(whole, f"[{WS}]+"), ""), "__rules_lines": lines})
     counted = start.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.aggregate("_words", F.lit(0).cast("long"), lambda n, w: n + F.length(w)),
+            "n_words": F.size("__rules_words").cast("long"),
+            "word_chars": F.aggregate("__rules_words", F.lit(0).cast("long"), lambda n, w: n + F.length(w)),
             "n_symbols": F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("long"),
             "n_capitals": F.regexp_count(whole, F.lit("[A-Z]")).cast("long"),
-            "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION))).isin(STOP_WORDS))).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_windows": F.when(
-                F.size("_words") >= 3,
+            "n_stop_words": F.size(F.filter("__rules_words", lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION))).isin(STOP_WORDS))).cast("long"),
+            "n_lines": F.size("__rules_lines").cast("long"),
+            "n_dup_lines": (F.size("__rules_lines") - F.size(F.array_distinct("__rules_lines"))).cast("long"),
+            "__rules_windows": F.when(
+                F.size("__rules_words") >= 3,
                 F.sort_array(
                     F.transform(
-                        F.slice("_words", 1, F.size("_words") - 2),
-                        lambda w, i: F.struct(F.concat_ws(" ", w, F.get("_words", i + 1), F.get("_words", i + 2)).alias("w"), i.alias("i")),
+                        F.slice("__rules_words", 1, F.size("__rules_words") - 2),
+                        lambda w, i: F.struct(F.concat_ws(" ", w, F.get("__rules_words", i + 1), F.get("__rules_words", i + 2)).alias("w"), i.alias("i")),
                     )
                 ),
             ).otherwise(F.expr("cast(array() as array<struct<w:string,i:int>>)")),
         }
     )
     # sorted windows with an equal neighbour occur twice or more; their places, in text order
-    same = lambda x, i, step: x["w"].eqNullSafe(F.get("_windows", i + step)["w"])
-    places = counted.withColumn("_at", F.array_sort(F.transform(F.filter("_windows", lambda x, i: same(x, i, -1) | same(x, i, 1)), lambda x: x["i"])))
+    same = lambda x, i, step: x["w"].eqNullSafe(F.get("__rules_windows", i + step)["w"])
+    places = counted.withColumn("__rules_at", F.array_sort(F.transform(F.filter("__rules_windows", lambda x, i: same(x, i, -1) | same(x, i, 1)), lambda x: x["i"])))
     # each place covers three words, less those that the place before has covered
-    covered = F.transform("_at", lambda p, i: F.least(F.lit(3), p - F.coalesce(F.get("_at", i - 1), F.lit(-3))))
+    covered = F.transform("__rules_at", lambda p, i: F.least(F.lit(3), p - F.coalesce(F.get("__rules_at", i - 1), F.lit(-3))))
     full = places.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0).cast("long"), lambda n, x: n + x))
     share = lambda part, of: F.when(F.col(of) > 0, F.col(part) / F.col(of)).otherwise(0.0)
     return full.withColumns(
@@ -96,7 +96,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "dup_line_ratio": share("n_dup_lines", "n_lines"),
             "repeat_ratio": share("n_repeat_words", "n_words"),
         }
-    ).drop("_words", "_lines", "_windows", "_at")
+    ).drop("__rules_words", "__rules_lines", "__rules_windows", "__rules_at")
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
