@@ -14,24 +14,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches
-
-# Public license notices.
-TEMPLATES = {
-    "Apache-2.0 (short)": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
-    "CC-BY-NC-4.0 (short)": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0 (short)": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "GPL-3.0 (short)": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
-    "MIT (short)": "Released under the MIT License.",
-    "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-}
+from .common import BROADCAST_BYTES, Batches
+from .license_texts import TEMPLATES
+
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
 #: A matching passage is missed with this probability at most.
 MISS = 1e-4
+#: Windows of one template that are at most this many of its lengths apart count as one passage, if none holds enough alone: what
+#: is inserted in a notice may be so long.
+GAP_LENGTHS = 1
 BLOCK = 1 << 16
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -123,20 +115,31 @@ class Index:
                     for name in names:
                         yield name, max(0, at - stride), min(len(h), at + length + stride)
 
+    def verified(self, name: str, h: np.ndarray, a: int, b: int) -> tuple[int, int, float] | None:
+        """First and end word of the template's shingles within [a, b), and their share of the template, if it suffices."""
+        at = np.flatnonzero(np.isin(h[a:b], self.shingles[name]))
+        if not len(at):
+            return None
+        share = len(np.unique(h[a:b][at])) / len(self.shingles[name])
+        return (a + int(at[0]), a + int(at[-1]) + self.size, share) if share >= self.containment else None
+
     def scan(self, data: bytes | None) -> list[tuple[str, int, int, float]]:
         """(template, first word, end word, containment) of the verified passages of one text, overlapping ones merged."""
         words, found = words_of(data), defaultdict(list)
-        overlap = max((length + 2 * stride for length, stride in self.windows), default=0) + self.size
+        overlap = (2 + 2 * GAP_LENGTHS) * max((length for length, _ in self.windows), default=0) + self.size
         for begun in range(0, len(words), BLOCK):
             h = _shingles(words[begun : begun + BLOCK + overlap], self.size)
             if not (len(h) and len(self.anchors)):
                 continue
-            for name, a, b in set(self.candidates(h)):
-                held = np.isin(h[a:b], self.shingles[name])
-                at = np.flatnonzero(held)
-                share = len(np.unique(h[a:b][held])) / len(self.shingles[name])
-                if share >= self.containment:
-                    found[name].append((begun + a + int(at[0]), begun + a + int(at[-1]) + self.size, share))
+            windows = defaultdict(list)
+            for name, a, b in sorted(set(self.candidates(h))):
+                windows[name].append((a, b))
+            for name, own in windows.items():
+                for chain in _chains(own, GAP_LENGTHS * len(self.shingles[name])):
+                    hits = [hit for a, b in chain if (hit := self.verified(name, h, a, b))]
+                    if not hits and len(chain) > 1 and (hit := self.verified(name, h, chain[0][0], max(b for _, b in chain))):
+                        hits = [hit]
+                    found[name] += [(begun + a, begun + b, share) for a, b, share in hits]
         out = []
         for name, passages in found.items():
             merged: list[list] = []
@@ -149,6 +152,20 @@ class Index:
         return sorted(out)
 
 
+def _chains(windows: list[tuple[int, int]], gap: int) -> list[list[tuple[int, int]]]:
+    """Runs of ``windows`` (sorted) of which each begins at most ``gap`` after the end of those before it."""
+    out: list[list[tuple[int, int]]] = []
+    end = 0
+    for a, b in windows:
+        if out and a <= end + gap:
+            out[-1].append((a, b))
+        else:
+            out.append([(a, b)])
+            end = b
+        end = max(end, b)
+    return out
+
+
 def _windows_with(places: np.ndarray, length: int, stride: int, n: int) -> np.ndarray:
     """Starts of the windows over ``n`` shingles that hold one of ``places``: one each ``stride``, and the last possible one."""
     last = max(n - length, 0)
@@ -161,12 +178,19 @@ def _index(templates: tuple[tuple[str, str], ...], shingle_words: int, containme
     return Index(dict(templates), shingle_words, containment)
 
 
-def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, shingle_words: int = SHINGLE_WORDS, containment: float = CONTAINMENT) -> DataFrame:
-    """One row for each verified passage: doc_id, license, first_word, end_word, containment.
+def scan(docs: DataFrame, templates: Mapping[str, str] | DataFrame = TEMPLATES, shingle_words: int = SHINGLE_WORDS, containment: float = CONTAINMENT) -> DataFrame:
+    """One row for each verified passage: doc_id, license, first_word, end_word, containment (of the best window verified).
 
-    Words are runs of letters and digits (and any non-ASCII character), lower-cased A-Z.  The templates are a parameter and go with the task; documents stay
-    where they are.  Null, empty and clean texts give no row; repeated rows give theirs again.
+    Words are runs of letters and digits (and any non-ASCII character), lower-cased A-Z.  ``templates`` are names and texts, or a table
+    (name, text) of them of BROADCAST_BYTES at most; they go with the task, and documents stay where they are.
+    Null, empty and clean texts give no row; repeated rows give theirs again; texts of any length are scanned whole, in
+    blocks that overlap; other columns are not looked at; an empty table gives an empty result.
     """
+    if isinstance(templates, DataFrame):
+        size = templates.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        if size > BROADCAST_BYTES:
+            raise ValueError(f"the templates take {size} bytes, more than {BROADCAST_BYTES}")
+        templates = {r["name"]: r["text"] for r in templates.select("name", "text").collect()}
     given = tuple(templates.items())
 
     def rows(batches: Batches):
