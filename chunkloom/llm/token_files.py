@@ -2,19 +2,25 @@
 
 Layout of a shard (little-endian): 4 bytes magic, u32 version, 32 bytes SHA-256 of the dictionary, u32 number of
 documents n, then n index entries (i64 doc_id, u8 id is null, u64 offset of the frame, u32 its length, u64 ids in
-it, u8 bytes an id takes), then the frames.  A reader finds one document by its entry alone.
+it, u8 bytes an id takes), then the frames.  A reader finds one document by its entry, seeks to its frame and reads nothing else of the others.
 
-Shards are rows of a Parquet table in the shared folder (part, shard, docs, ids, data): Spark's writer commits them,
-whatever store the folder is in, so a lost executor or a task run twice leaves no stray file.
+Shards are cells of a Parquet table in the shared folder (part, shard, first_id, last_id, docs, ids, data): Spark's writer commits
+them, whatever store the folder is in, so a lost executor or a task run twice leaves no stray file.  A cell is small, and ids
+ascend, so the table's statistics leave a single document's cell to read.  ``export`` writes the cells as files of their own.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
+import os
 import struct
+import uuid
+import warnings
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import BinaryIO
 
 import numpy as np
 import public_tokenizers
@@ -31,10 +37,11 @@ HEAD = struct.Struct("<4sI32sI")
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("size", "<u4"), ("ids", "<u8"), ("width", "u1")])
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-SHARD_BYTES = 4 << 20
+#: Bytes of frames in a shard, and in a row group of the table of shards, about.
+SHARD_BYTES, GROUP_BYTES = 1 << 20, 4 << 20
 LEVEL = 3
 #: The dictionary is fitted on about this many documents, of at most so many code points each; every document is compressed with it.
-DICT_DOCS, DICT_CHARS, DICT_BYTES = 2000, 4000, 64 << 10
+DICT_DOCS, DICT_CHARS, DICT_BYTES, DICT_LEAST = 2000, 4000, 64 << 10, 8
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 1_500_000
 
@@ -42,19 +49,25 @@ CACHE_WORDS = 1_500_000
 class WordEncoder:
     """Ids of a text as the tokenizer gives them, remembered word by word.
 
-    Tokenizers of the kind used here drop white space and never join pieces across it, so a text's ids are those
-    of its words (runs of other than ASCII white space) in turn.
+    A tokenizer that drops white space and never joins pieces across it gives a text the ids
+    of its words (runs of other than ASCII white space) in turn; any other encodes each text whole.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.known: dict[bytes, bytes] = {}
+        self.by_word = self.drops_space()
+
+    def drops_space(self) -> bool:
+        """Whether probes in which words meet in every way have the ids of their words."""
+        words = ["The", "cat", "sat,", "on", "a", "a", "1", "000", "été", "漢字", "x_y", "—", "...", "don't", "The"]
+        probes = [gap.join(words) for gap in (" ", "  ", "\n", " \t\r\n ")] + [" " + words[0] + " "]
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        return all(ids(p) == [i for w in p.split() for i in ids(w)] for p in probes)
 
     def learn(self, words: list[bytes]) -> None:
         if len(self.known) > CACHE_WORDS:
@@ -67,6 +80,8 @@ class WordEncoder:
 
     def encode(self, data: bytes, end: bytes) -> bytes:
         """The serialized ids and the end id."""
+        if not self.by_word:
+            return np.array(self.tokenizer.encode(data.decode(), add_special_tokens=False).ids, np.uint32 if self.wide else np.uint16).tobytes() + end
         words = data.split()
         new = [w for w in set(words) if w not in self.known]
         if new:
@@ -93,7 +108,11 @@ def encode_all(batch_texts: list[bytes | None], path: str, end_id: int = END_ID)
 
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
-    """A dictionary for short documents, fitted on a bounded sample of serialized id arrays; empty if there is too little to fit on."""
+    """A dictionary for short documents, fitted on a bounded sample of serialized id arrays.
+
+    zstandard cannot fit one to a handful of samples: with fewer than DICT_LEAST of them, or where it
+    refuses, there is none, with a warning, and the frames stand without it.
+    """
     n = docs.count()
     limit = 1 << 30
     chosen = docs.where((F.length("text") <= DICT_CHARS) & (F.pmod(F.xxhash64("doc_id"), F.lit(limit)) < int(limit * min(1.0, DICT_DOCS / max(n, 1)))))
@@ -103,12 +122,14 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in encode_all(texts(batch, "text"), path)], pa.binary())], names=["ids"])
 
     samples = [bytes(r[0]) for r in chosen.select("text").mapInArrow(rows, "ids binary").limit(2 * DICT_DOCS).collect()]
-    if len(samples) < 50 or sum(map(len, samples)) < 16 * 1024:
-        return b""
-    try:
-        return zstandard.train_dictionary(min(DICT_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    problem = f"{len(samples)} samples"
+    if len(samples) >= DICT_LEAST:
+        try:
+            return zstandard.train_dictionary(min(DICT_BYTES, max(1024, sum(map(len, samples)) // 8)), samples).as_bytes()
+        except zstandard.ZstdError as refused:
+            problem = str(refused)
+    warnings.warn(f"no dictionary was trained: {problem}", stacklevel=2)
+    return b""
 
 
 def _dict(data: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -126,29 +147,37 @@ def pack_shard(entries: list[tuple[int | None, bytes, int, int]], digest: bytes)
 
 
 class ShardReader:
-    """Reads a shard's index, and single documents by it."""
+    """Reads a shard's index, and single documents by it, from an open file: no frame but the wanted one is read."""
 
-    def __init__(self, data: bytes, dictionary: bytes):
-        magic, version, digest, n = HEAD.unpack_from(data)
+    def __init__(self, file: BinaryIO, dictionary: bytes):
+        self.file = file
+        magic, version, digest, n = HEAD.unpack(file.read(HEAD.size))
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a token shard")
         if digest != hashlib.sha256(dictionary).digest():
             raise ValueError("the shard was written with another dictionary")
-        self.data, self.index = data, np.frombuffer(data, ENTRY, n, HEAD.size)
+        self.index = np.frombuffer(file.read(n * ENTRY.itemsize), ENTRY)
         self.start = HEAD.size + n * ENTRY.itemsize
         self.tool = zstandard.ZstdDecompressor(dict_data=_dict(dictionary))
 
     def ids(self, place: int) -> np.ndarray:
         e = self.index[place]
-        at = self.start + int(e["offset"])
-        raw = self.tool.decompress(self.data[at : at + int(e["size"])])
+        self.file.seek(self.start + int(e["offset"]))
+        raw = self.tool.decompress(self.file.read(int(e["size"])))
         return np.frombuffer(raw, "<u2" if e["width"] == 2 else "<u4").astype("<u4")
 
+    def documents(self, doc_id: int) -> list[np.ndarray]:
+        """The ids of each document of that id, found by bisection, since ids ascend."""
+        nulls = int(self.index["null"].sum())  # they come first
+        known = self.index["doc_id"][nulls:]
+        return [self.ids(nulls + i) for i in range(int(np.searchsorted(known, doc_id)), int(np.searchsorted(known, doc_id, "right")))]
+
 
 def write_shards(docs: DataFrame, where: str, tokenizer: str = TOKENIZER) -> bytes:
     """Write all of ``docs`` (doc_id, text) as shards under ``where``, ascending by doc_id, and return the dictionary.
 
-    Rows are range-partitioned by doc_id (null first); each task writes its shards one after the other and holds one.
+    Rows are range-partitioned by doc_id (null first) and, where many share one, by a hash of the text; each task writes its
+    shards one after the other and holds one.
     """
     path = public_tokenizers.path(tokenizer)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -164,8 +193,19 @@ def write_shards(docs: DataFrame, where: str, tokenizer: str = TOKENIZER) -> byt
 
         def flush():
             return pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in ((part, pa.int32()), (shard, pa.int32()), (len(entries), pa.int64()), (sum(e[2] for e in entries), pa.int64()), (pack_shard(entries, digest), pa.binary()))],
-                names=["part", "shard", "docs", "ids", "data"],
+                [
+                    pa.array([x], t)
+                    for x, t in (
+                        (part, pa.int32()),
+                        (shard, pa.int32()),
+                        (next((e[0] for e in entries if e[0] is not None), None), pa.int64()),
+                        (entries[-1][0], pa.int64()),
+                        (len(entries), pa.int64()),
+                        (sum(e[2] for e in entries), pa.int64()),
+                        (pack_shard(entries, digest), pa.binary()),
+                    )
+                ],
+                names=["part", "shard", "first_id", "last_id", "docs", "ids", "data"],
             )
 
         for batch in batches:
@@ -180,11 +220,41 @@ def write_shards(docs: DataFrame, where: str, tokenizer: str = TOKENIZER) -> byt
             yield flush()
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ordered.mapInArrow(rows, "part int, shard int, docs long, ids long, data binary").write.option("compression", "none").parquet(where)
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
+    ordered = docs.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    cells = ordered.mapInArrow(rows, "part int, shard int, first_id long, last_id long, docs long, ids long, data binary")
+    cells.write.option("compression", "none").option("parquet.block.size", GROUP_BYTES).parquet(where)
     return dictionary
 
 
+def read_document(where: str, dictionary: bytes, spark: SparkSession, doc_id: int) -> list[np.ndarray]:
+    """The ids of each document of one id.  The filter reaches the scan, whose statistics skip all row groups but those with the id."""
+    cells = spark.read.parquet(where).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("part", "shard").select("data")
+    return [ids for cell in cells.toLocalIterator() for ids in ShardReader(io.BytesIO(cell["data"]), dictionary).documents(doc_id)]
+
+
+def export(where: str, folder: str, spark: SparkSession) -> DataFrame:
+    """Write each shard as a file of its own in ``folder``, which all executors must see; returns (part, shard, path).
+
+    A file gets its name when it is whole, and a task that runs again writes the same bytes under the same name.
+    """
+
+    def rows(batches: Batches):
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            paths = []
+            for part, shard, data in zip(*(batch.column(c).to_pylist() for c in ("part", "shard", "data")), strict=True):
+                path = f"{folder}/tokens-{part:06d}-{shard:06d}.cltk"
+                unfinished = f"{path}.{uuid.uuid4().hex}"
+                with open(unfinished, "wb") as file:
+                    file.write(data)
+                os.replace(unfinished, path)
+                paths.append(path)
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("shard"), pa.array(paths, pa.string())], names=["part", "shard", "path"])
+
+    return materialize(spark.read.parquet(where).select("part", "shard", "data").mapInArrow(rows, "part int, shard int, path string"), "token-paths")
+
+
 def read_shards(docs_at: str, dictionary: bytes, spark: SparkSession, with_ids: bool = True) -> DataFrame:
     """One row per document, from the shards alone: doc_id, start, n_tokens, ids_crc32 and (with_ids) the ids themselves."""
     shards = spark.read.parquet(docs_at)
@@ -199,7 +269,7 @@ def read_shards(docs_at: str, dictionary: bytes, spark: SparkSession, with_ids:
     def rows(batches: Batches):
         for batch in batches:
             for data, start in zip(batch.column("data").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                reader = ShardReader(data, shared.value)
+                reader = ShardReader(io.BytesIO(data), shared.value)
                 ids = [reader.ids(i) for i in range(len(reader.index))]
                 sizes = np.array([len(x) for x in ids], np.int64)
                 columns = {
@@ -220,7 +290,8 @@ def read_shards(docs_at: str, dictionary: bytes, spark: SparkSession, with_ids:
 def encoded(docs: DataFrame, tokenizer: str = TOKENIZER, with_ids: bool = True) -> DataFrame:
     """Write ``docs`` as shards in the shared folder and read them back.
 
-    Null texts hold the end id alone.  Repeated ids take neighbouring places; null ids come first.
+    Null and empty texts hold the end id alone.  Repeated ids take neighbouring places, by a hash of the text; null ids come
+    first.  Texts of any length are encoded whole.  Other columns of ``docs`` are not looked at.  An empty table gives an empty result.
     """
     where = scratch_path(docs.sparkSession, "token-shards")
     dictionary = write_shards(docs, where, tokenizer)
