@@ -12,10 +12,27 @@ from pyspark.sql import functions as F
 from ..functions.text import block_id, let
 
 
-def prefix_sums(values: Column) -> Column:
-    """The sum of all earlier values, for each of an array of numbers."""
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.expr("cast(array() as array<int>)").alias("out"))
-    return F.aggregate(values, start, lambda acc, n: F.struct((acc["sum"] + n).alias("sum"), F.concat(acc["out"], F.array(acc["sum"].cast("int"))).alias("out")), lambda acc: acc["out"])
+#: Numbers that ``prefix_sums`` adds up in one fold; three layers of such runs hold 16 million.
+RUN = 256
+
+
+def prefix_sums(values: Column, layers: int = 3) -> Column:
+    """The sum of all earlier values, as longs, for each of an array of numbers.
+
+    A fold that grows an array copies it at every step, so the numbers are folded in runs of RUN, and the runs' sums in the same
+    way: work and copies grow in proportion to the array.
+    """
+    if layers == 1:
+        start = F.struct(F.lit(0).cast("long").alias("sum"), F.expr("cast(array() as array<bigint>)").alias("out"))
+        return F.aggregate(values, start, lambda acc, n: F.struct((acc["sum"] + n).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")), lambda acc: acc["out"])
+
+    def over(v: Column) -> Column:
+        starts = F.when(F.size(v) > 0, F.sequence(F.lit(0), F.size(v) - 1, F.lit(RUN))).otherwise(F.expr("cast(array() as array<int>)"))
+        runs = F.transform(starts, lambda s: prefix_sums(F.slice(v, s + 1, RUN), 1))
+        totals = F.transform(starts, lambda s: F.aggregate(F.slice(v, s + 1, RUN), F.lit(0).cast("long"), lambda acc, n: acc + n))
+        return let(prefix_sums(totals, layers - 1), lambda before: F.flatten(F.transform(runs, lambda run, k: F.transform(run, lambda x: x + F.get(before, k)))))
+
+    return let(values, over)
 
 
 def heading_level(block_type: Column) -> Column:
@@ -39,26 +56,35 @@ def headings(pieces: Column) -> Column:
     return let(marked, lambda heads: F.transform(heads, lambda h, k: F.struct(h["at"].alias("at"), h["html_id"].alias("html_id"), climb(heads, k).alias("hierarchy"))))
 
 
+def headings_before(pieces: Column) -> Column:
+    """How many headings stand before each of ``pieces``, as longs."""
+    return prefix_sums(F.transform(pieces, lambda p: heading_level(p["block_type"]).isNotNull().cast("long")))
+
+
 def page_blocks(pages: DataFrame) -> DataFrame:
     """One row per block of ``pages`` (id, pieces): index, id, block_type, text, paths, text_offset, text_length, parent_heading_id, html_id."""
-    lengths = F.transform("pieces", lambda p: F.length(p["text"]) + 1)
+    offsets = prefix_sums(F.transform("pieces", lambda p: (F.length(p["text"]) + 1).cast("long")))
     heads = F.filter(F.transform("pieces", lambda p, i: F.when(heading_level(p["block_type"]).isNotNull(), i)), lambda i: i.isNotNull())
-    held = pages.select(F.col("id").alias("page_id"), "pieces", prefix_sums(lengths).alias("offsets"), heads.alias("heads"))
-    rows = held.select("page_id", "offsets", "heads", F.posexplode("pieces").alias("index", "p"))
-    # the last heading before a block is its parent, whatever its level
-    parent = F.array_max(F.filter("heads", lambda h: h < F.col("index")))
+
+    def placed(offset: Column, before: Column, head: Column) -> Column:
+        # the last heading before a block is its parent, whatever its level
+        return F.transform("pieces", lambda p, i: F.struct(p.alias("p"), F.get(offset, i).cast("int").alias("offset"), F.get(head, (F.get(before, i) - 1).cast("int")).alias("parent")))
+
+    # a block's row holds its own numbers only: arrays of the page would be copied into each
+    each = let(offsets, lambda offset: let(headings_before(F.col("pieces")), lambda before: let(heads, lambda head: placed(offset, before, head))))
+    rows = pages.select(F.col("id").alias("page_id"), F.posexplode(each).alias("index", "b"))
     return rows.select(
         "page_id",
         "index",
         block_id(F.col("page_id"), F.col("index")).alias("id"),
-        "p.block_type",
-        "p.text",
-        "p.xpath",
-        "p.css_selector",
-        F.get("offsets", F.col("index")).alias("text_offset"),
-        F.length("p.text").alias("text_length"),
-        F.when(parent.isNotNull(), block_id(F.col("page_id"), parent)).alias("parent_heading_id"),
-        "p.html_id",
+        "b.p.block_type",
+        "b.p.text",
+        "b.p.xpath",
+        "b.p.css_selector",
+        F.col("b.offset").alias("text_offset"),
+        F.length("b.p.text").alias("text_length"),
+        F.when(F.col("b.parent").isNotNull(), block_id(F.col("page_id"), F.col("b.parent"))).alias("parent_heading_id"),
+        "b.p.html_id",
     )
 
 

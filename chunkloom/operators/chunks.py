@@ -15,7 +15,7 @@ from ..config import Config
 from ..functions.bins import bin_starts, cut_at, part_starts, split_units
 from ..functions.text import block_id, chunk_id, count_tokens, embedding_text, let, navigation_url, sentences, tag_tokens, trim_space
 from ..schema import FRAGMENT
-from .blocks import heading_level, headings, prefix_sums
+from .blocks import heading_level, headings, headings_before, prefix_sums
 
 LEAST_ROOM = 10
 
@@ -42,37 +42,40 @@ def rooms(title: Column, heads: Column, config: Config) -> Column:
 
 
 def units(pieces: Column, room: Column) -> Column:
-    """Sentences of all blocks in order: structs (p, part, t, n, cap, first, last).
+    """Sentences of all blocks in order: structs (p, part, t, n, cap, first, last, under).
 
-    ``p`` is the piece, ``part`` the block that an oversized piece was cut into; first and last tell a block's ends.
+    ``p`` is the piece, ``part`` the block that an oversized piece was cut into; first and last tell a block's ends; ``under`` is the
+    place in ``room`` of the heading that the piece stands under.
     Headings are never cut, nor is any sentence that its block's room can hold.
     """
 
-    def under(i: Column) -> Column:
-        return F.get(room, F.size(F.filter(room, lambda r: r["at"] <= i)) - 1)
-
-    def block(run: Column, i: Column, part: Column, cap: Column) -> Column:
+    def block(run: Column, i: Column, part: Column, cap: Column, under: Column) -> Column:
         return F.transform(
             run,
-            lambda u, k: F.struct(i.alias("p"), part.alias("part"), u["t"].alias("t"), u["n"].alias("n"), cap.alias("cap"), (k == 0).alias("first"), (k == F.size(run) - 1).alias("last")),
+            lambda u, k: F.struct(
+                i.alias("p"), part.alias("part"), u["t"].alias("t"), u["n"].alias("n"), cap.alias("cap"), (k == 0).alias("first"), (k == F.size(run) - 1).alias("last"), under.alias("under")
+            ),
         )
 
-    def whole(text: Column, n: Column, i: Column, cap: Column, heading: Column) -> Column:
+    def whole(text: Column, n: Column, i: Column, heading: Column, r: Column, under: Column) -> Column:
         one = F.array(F.struct(trim_space(text).alias("t"), n.alias("n")))
         cut = F.transform(sentences(text), lambda s: F.struct(s.alias("t"), count_tokens(s).alias("n")))
-        return let(F.when(heading, one).otherwise(cut), lambda run: block(run, i, F.lit(0), cap))
+        return let(F.when(heading, one).otherwise(cut), lambda run: block(run, i, F.lit(0), r["cap"], under))
 
-    def parts(text: Column, i: Column, cap: Column, block_cap: Column) -> Column:
-        return let(split_units(text, block_cap), lambda u: let(part_starts(u, block_cap), lambda s: F.flatten(F.transform(cut_at(u, s), lambda run, k: block(run, i, k, cap)))))
+    def parts(text: Column, i: Column, r: Column, under: Column) -> Column:
+        cap = r["block_cap"]
+        return let(split_units(text, cap), lambda u: let(part_starts(u, cap), lambda s: F.flatten(F.transform(cut_at(u, s), lambda run, k: block(run, i, k, r["cap"], under)))))
 
-    def of(p: Column, i: Column) -> Column:
+    def of(p: Column, i: Column, before: Column) -> Column:
         heading = heading_level(p["block_type"]).isNotNull()
+        # a piece stands under the headings before it, a heading under itself too
+        place = (F.get(before, i) + heading.cast("long")).cast("int")
         return let(
-            F.struct(under(i).alias("r"), count_tokens(p["text"]).alias("n")),
-            lambda x: F.when(heading | (x["n"] <= x["r"]["block_cap"]), whole(p["text"], x["n"], i, x["r"]["cap"], heading)).otherwise(parts(p["text"], i, x["r"]["cap"], x["r"]["block_cap"])),
+            F.struct(F.get(room, place).alias("r"), count_tokens(p["text"]).alias("n"), place.alias("under")),
+            lambda x: F.when(heading | (x["n"] <= x["r"]["block_cap"]), whole(p["text"], x["n"], i, heading, x["r"], x["under"])).otherwise(parts(p["text"], i, x["r"], x["under"])),
         )
 
-    return F.flatten(F.transform(pieces, of))
+    return let(headings_before(pieces), lambda before: F.flatten(F.transform(pieces, lambda p, i: of(p, i, before))))
 
 
 def parts_of(run: Column, pieces: Column) -> Column:
@@ -82,8 +85,9 @@ def parts_of(run: Column, pieces: Column) -> Column:
     def text(own: Column, raw: Column) -> Column:
         joined = F.array_join(F.transform(own, lambda u: u["t"]), " ")
         complete = F.get(own, F.lit(0))["first"] & F.element_at(own, -1)["last"]
+        n = F.aggregate(own, F.lit(0).cast("long"), lambda acc, u: acc + u["n"])
         # a block that is whole keeps its inner white space; a cut one is joined from its sentences
-        return let(joined, lambda j: F.when(complete & (count_tokens(raw) == count_tokens(j)), raw).otherwise(j))
+        return F.when(complete & (count_tokens(raw) == n), raw).otherwise(joined)
 
     def of(b: Column) -> Column:
         own = F.filter(run, lambda u: (u["p"] == b["p"]) & (u["part"] == b["part"]))
@@ -115,13 +119,20 @@ def packed(rows: DataFrame, config: Config) -> DataFrame:
     runs = split.withColumn("runs", let(F.col("units"), lambda u: let(bin_starts(u), lambda s: cut_at(u, s))))
 
     def chunk(run: Column) -> Column:
-        under = F.get(F.col("room"), F.size(F.filter(F.col("room"), lambda r: r["at"] <= F.get(run, F.lit(0))["p"])) - 1)
+        under = F.get(F.col("room"), F.get(run, F.lit(0))["under"])
         none = F.expr("cast(array() as array<struct<k:int,text:string>>)")
         return let(under, lambda r: F.struct(r["html_id"].alias("html_id"), r["hierarchy"].alias("hierarchy"), parts_of(run, F.col("pieces")).alias("f"), none.alias("prev"), none.alias("next")))
 
     return runs.select(*PAGE_COLUMNS, F.transform("runs", chunk).alias("held"))
 
 
+def block_splits(pages: DataFrame, config: Config) -> DataFrame:
+    """(page_id, splits): how many blocks more each of ``pages`` has because some are too long for a chunk."""
+    rows = page_rows(pages)
+    split = rows.select("page_id", units(F.col("pieces"), rooms(F.col("title"), headings(F.col("pieces")), config)).alias("units"))
+    return split.select("page_id", F.size(F.filter("units", lambda u: u["first"] & (u["part"] > 0))).cast("long").alias("splits"))
+
+
 def chunk_pages(pages: DataFrame, config: Config) -> DataFrame:
     """One row per chunk of ``pages`` (a page's columns and ``pieces``), with the columns of ``schema.CHUNK``.
 
