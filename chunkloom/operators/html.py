@@ -51,6 +51,7 @@ class Reader(HTMLParser):
         self.config, self.root, self.body = config, Element("body", {}), None
         self.open = [self.root]
         self.skipping = 0  # depth below an element that is left out
+        self.unopened: list[str] = []  # elements too deep to be opened whose ends are still to come
 
     def excluded(self, tag: str, attributes: dict[str, str]) -> bool:
         c = self.config
@@ -67,6 +68,7 @@ class Reader(HTMLParser):
                 return
             if self.open[at].tag in tags:
                 del self.open[at:]
+                self.unopened = []
                 # an open cell inside an open row ends with it
                 return self.close_through(tags, scope)
 
@@ -93,13 +95,21 @@ class Reader(HTMLParser):
             self.skipping += 1
         else:
             self.open[-1].children.append(node)
-        if len(self.open) < MAX_DEPTH or self.skipping:
+        if self.skipping or len(self.open) < MAX_DEPTH and not self.unopened:
             self.open.append(node)
+        else:
+            self.unopened.append(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.skipping and tag in self.unopened:
+            del self.unopened[len(self.unopened) - 1 - self.unopened[::-1].index(tag) :]
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag == tag:
-                self.skipping = max(0, self.skipping - (len(self.open) - at))
+                if self.skipping:
+                    self.skipping = max(0, self.skipping - (len(self.open) - at))
+                else:
+                    self.unopened = []
                 del self.open[at:]
                 return
             if self.open[at].tag in ("td", "th", "table") and tag not in ("table", "tr", "thead", "tbody", "tfoot", "td", "th"):
