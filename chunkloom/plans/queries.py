@@ -11,9 +11,9 @@ from ..config import Config
 from ..functions import bins
 from ..functions import text as T
 from ..operators.blocks import heading_hierarchy, page_blocks, parent_headings
-from ..operators.chunks import chunk_pages
-from ..sinks.core import lookup, payloads, upsert
-from ..sources.tables import html_pages, only_ids, page_info, parsed_pages, spread, table, text_pages
+from ..operators.chunks import block_splits, chunk_pages
+from ..sinks.core import chunk_of, payloads, upsert
+from ..sources.tables import conversation_pages, from_json_pages, html_pages, only_ids, page_info, parsed_pages, spread, table, text_pages
 from ..streaming.stream import run_stats
 from . import sql
 
@@ -65,7 +65,53 @@ def excluded_class_blocks(spark, folder):
 
 @query
 def empty_pages(spark, folder):
-    return _pages(spark, folder).where((F.size("pieces") == 0) & F.col("error").isNull()).select(F.col("id").alias("page_id"))
+    """Every fifth page is left with a menu and a blank paragraph, so it has no block."""
+    raw = spread(table(spark, folder, "pages"))
+    bare = raw.withColumn("html", F.when(F.col("page_id") % 5 == 0, sql.BARE_PAGE).otherwise(F.col("html")))
+    return parsed_pages(bare, CONFIG).where((F.size("pieces") == 0) & F.col("error").isNull()).select(F.col("id").alias("page_id"))
+
+
+@query
+def json_page_rows(spark, folder):
+    """Pages as a content API's JSON, every other one with its body in the stored form, every third without a space, read back."""
+    body = F.when(F.col("page_id") % 2 == 0, F.struct(F.struct(F.col("html").alias("value")).alias("view"))).otherwise(F.struct(F.struct(F.lit("").alias("value")).alias("view")))
+    stored = F.when(F.col("page_id") % 2 == 1, F.struct(F.col("html").alias("value")))
+    page = F.struct(
+        F.col("page_id").cast("string").alias("id"),
+        F.concat(F.lit("Page "), F.col("page_id")).alias("title"),
+        F.when(F.col("page_id") % 3 > 0, F.struct(F.lit("K").alias("key"), F.lit("Name").alias("name"))).alias("space"),
+        F.when(F.col("page_id") % 4 > 0, F.struct((F.col("page_id") % 7).cast("int").alias("number"), F.lit("2024-01-01").alias("when"))).alias("version"),
+        body.withField("storage", stored).alias("body"),
+        F.struct(F.concat(F.lit("/pages/"), F.col("page_id")).alias("webui")).alias("_links"),
+    )
+    raw = table(spark, folder, "pages").select(F.when(F.col("page_id") % 11 > 0, F.to_json(page)).alias("json"))
+    read = from_json_pages(raw, "http://wiki.example.com")
+    return read.select(F.col("id").alias("page_id"), "title", "space_key", "space_name", "version", "last_modified", F.md5("body_html").alias("body_md5"), "url")
+
+
+@query
+def made_page_blocks(spark, folder):
+    """A page for each region: headings of three levels, a table and nested lists of its nations."""
+    nations = table(spark, folder, "nation").select(F.col("n_regionkey").alias("r_regionkey"), F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("n")).alias("n"))
+    held = table(spark, folder, "region").join(F.broadcast(nations.groupBy("r_regionkey").agg(F.sort_array(F.collect_list("n")).alias("n"))), "r_regionkey")  # at most a few dozen nations
+    cell = lambda x: F.concat(F.lit("<tr><td>"), x["n"], F.lit("<td>"), x["k"].cast("string"))
+    item = lambda x: F.concat(F.lit("<li>"), x["n"], F.lit("<ol><li>key <b>"), x["k"].cast("string"), F.lit("</b></ol>"))
+    html = F.concat(
+        F.lit("<title>t</title><body><h1 id='top'>"),
+        "r_name",
+        F.lit("</h1><h3>Table</h3><table><thead><tr><th>Nation<th>Key</thead><tbody>"),
+        F.array_join(F.transform("n", cell), ""),
+        F.lit("</tbody></table><h2>List</h2><ul>"),
+        F.array_join(F.transform("n", item), ""),
+        F.lit("</ul>"),
+    )
+    pages = held.select(F.col("r_regionkey").cast("long").alias("page_id"), F.lit("http://x.com/y").alias("url"), html.alias("html"))
+    return heading_hierarchy(page_blocks(parsed_pages(pages, CONFIG))).withColumn("hierarchy", F.array_join("hierarchy", " > ")).drop("id", "css_selector")
+
+
+@query
+def conversation_blocks(spark, folder):
+    return page_blocks(conversation_pages(table(spark, folder, "conversations"))).select("page_id", "index", "id", "text", "xpath", "text_offset", "text_length")
 
 
 @query
@@ -117,6 +163,19 @@ def sentence_prefix(spark, folder):
     return cut.select("doc_id", F.col("p.prefix").alias("prefix"), F.length("p.rest").alias("rest_length"))
 
 
+@query
+def sentence_prefix_forced(spark, folder):
+    """The same with room for a few words, some of which are taken where not even the first sentence fits."""
+    cut = _texts(spark, folder).select("doc_id", bins.take_prefix(F.col("text"), F.lit(sql.FORCED_CAP), must_take=True).alias("p"))
+    return cut.select("doc_id", F.col("p.prefix").alias("prefix"), F.md5("p.rest").alias("rest_md5"))
+
+
+@query
+def block_split_counts(spark, folder):
+    """How many blocks more each document has because some were too long for a chunk."""
+    return block_splits(_documents(spark, folder), SMALL).where("splits > 0")
+
+
 @query
 def parent_heading_rows(spark, folder):
     return parent_headings(page_blocks(_pages(spark, folder)).drop("parent_heading_id")).select("page_id", "index", "parent_heading_id")
@@ -128,23 +187,29 @@ def hierarchy_rows(spark, folder):
     return found.select("page_id", "index", F.array_join("hierarchy", " > ").alias("hierarchy"))
 
 
+def _tagged(spark, folder):
+    """Pages with the labels of their host as headings, nearest first, on every third page none; and the start of their HTML as text."""
+    pages = html_pages(table(spark, folder, "pages"))
+    labels = F.when(F.col("id").cast("long") % 3 > 0, F.split("space_key", r"\.")).otherwise(F.expr("cast(array() as array<string>)"))
+    return pages.select(F.col("id").alias("page_id"), "title", labels.alias("headings"), F.concat(F.lit("  "), F.substring("body_html", 1, 200)).alias("text"))
+
+
 @query
 def tag_token_rows(spark, folder):
-    pages = html_pages(table(spark, folder, "pages"))
-    return pages.select(F.col("id").alias("page_id"), T.tag_tokens(F.col("title"), F.array(F.lit("Intro"), F.lit("Top"))).alias("n_tokens"))
+    return _tagged(spark, folder).select("page_id", T.tag_tokens(F.col("title"), F.col("headings")).alias("n_tokens"))
 
 
 @query
 def embedding_rows(spark, folder):
-    pages = html_pages(table(spark, folder, "pages"))
-    return pages.select(F.col("id").alias("page_id"), T.embedding_text(F.col("title"), F.array(F.lit("Intro"), F.lit("Top")), F.col("url")).alias("embedding_text"))
+    return _tagged(spark, folder).select("page_id", T.embedding_text(F.col("title"), F.col("headings"), F.col("text")).alias("embedding_text"))
 
 
 @query
 def navigation_rows(spark, folder):
-    docs = _texts(spark, folder).select("doc_id", "text")
-    none = F.lit(None).cast("string")
-    return docs.select("doc_id", T.navigation_url(F.lit("http://example.com/x"), none, none, F.col("text")).alias("navigation_url"))
+    """Links by the block's own id, by the heading's, and by the text, with empty ids among them."""
+    own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("b"), F.col("doc_id"))).when(F.col("doc_id") % 3 == 1, F.lit(""))
+    heading = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("h"), F.col("doc_id")))
+    return _texts(spark, folder).select("doc_id", T.navigation_url(F.lit("http://example.com/x"), own, heading, F.col("text")).alias("navigation_url"))
 
 
 @query
@@ -182,18 +247,35 @@ def chunk_payloads(spark, folder):
     return payloads(chunk_pages(_documents(spark, folder), CONFIG))
 
 
+@query
+def chunk_payload_fields(spark, folder):
+    """What the JSON of each chunk says of some of its fields."""
+    found = payloads(chunk_pages(_documents(spark, folder), SMALL))
+    field = lambda path: F.get_json_object("payload", path)
+    return found.select(
+        "chunk_id",
+        field("$.page_id").alias("page_id"),
+        field("$.page_version").cast("int").alias("page_version"),
+        F.md5(field("$.normalized_text")).alias("text_md5"),
+        field("$.core_block_ids[0]").alias("first_block"),
+        field("$.navigation.text_offset_start").cast("int").alias("text_offset"),
+        field("$.navigation.text_length").cast("int").alias("text_length"),
+        field("$.nearest_heading_id").alias("nearest_heading_id"),
+    )
+
+
 @query
 def chunk_upsert(spark, folder):
     """Labels replace what documents left under their key, ten ids to a key; of several labels the last id counts."""
     key = F.floor(F.col("doc_id") / 10).alias("chunk_id")
-    old = table(spark, folder, "documents").select(key, F.lit("old").alias("payload")).distinct()
-    new = table(spark, folder, "labels").select(key, F.col("doc_id").cast("string").alias("payload"), "doc_id")
+    old = table(spark, folder, "documents").groupBy(key).agg(F.concat(F.lit("old "), F.min("source")).alias("payload"))
+    new = table(spark, folder, "labels").select(key, F.concat_ws("/", "doc_id", "quality", "toxic").alias("payload"), "doc_id")
     return upsert(old, new, order=["doc_id"])
 
 
 @query
 def chunk_lookup(spark, folder):
-    return lookup(chunk_pages(_documents(spark, folder), CONFIG), "EDU:7:0-5").select("chunk_id", "normalized_text")
+    return chunk_of(text_pages(table(spark, folder, "documents")), "EDU:7:0-5", CONFIG).select("chunk_id", "normalized_text")
 
 
 @query

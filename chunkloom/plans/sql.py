@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-SIZE, WORD_CAP, PREFIX_CAP = 96, 9, 60
+SIZE, WORD_CAP, PREFIX_CAP, FORCED_CAP = 96, 9, 60, 7
+BARE_PAGE = "<html><head><title>t</title></head><body><nav><a>menu</a></nav><p> <b>&nbsp;</b></p></body></html>"
 _W = r"\t-\r\x1c-\x20\x{85}\p{Z}"
 _TOKEN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{_W}]"
 _END = rf"([.!?…]+[)\]\"''»]*)(?:[{_W}]+|$)"
@@ -34,7 +35,8 @@ b AS (SELECT page_id::VARCHAR AS page_id, {_BODY} AS body FROM pages),
 x AS (SELECT page_id, unnest(regexp_extract_all(body, '(?s)<(?:p|h1|div)\b[^>]*>(?:[^<]|</?b>)*')) AS x, generate_subscripts(regexp_extract_all(body, '(?s)<(?:p|h1|div)\b[^>]*>(?:[^<]|</?b>)*'), 1) AS pos FROM b),
 y AS (SELECT page_id, pos, regexp_extract(x, '^<([a-z0-9]+)', 1) AS block_type, x LIKE '<div class="ad"%' AS ad,
              trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g')) AS text FROM x),
-z AS (SELECT page_id, block_type, ad, text, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS index FROM y WHERE text <> '')
+y1 AS (SELECT *, row_number() OVER (PARTITION BY page_id, block_type ORDER BY pos) AS place FROM y),
+z AS (SELECT page_id, block_type, ad, text, place, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS index FROM y1 WHERE text <> '')
 """
 _HTML_BLOCKS = f"WITH {_BLOCKS}"
 _LINES = f"""
@@ -88,6 +90,47 @@ c AS (SELECT doc_id, chunk_no, string_agg(p.t[k], ' ' ORDER BY k) AS text, sum(p
 """
 
 
+def _parts(size: int) -> str:
+    """Blocks as chunks see them: b (doc_id, k: unit, i: line, part, t, n, first, last, raw), oversized lines in parts of whole sentences or runs of words."""
+    return f"""
+{_LINES},
+s0 AS (SELECT doc_id, i, text AS raw, {_tokens('text')} AS lt, {_sentences('text')} AS s FROM l),
+s AS (SELECT row_number() OVER () AS sid, doc_id, i, j, raw, lt, t, {_tokens('t')} AS n FROM (SELECT doc_id, i, raw, lt, unnest(s) AS t, generate_subscripts(s, 1) AS j FROM s0)),
+big AS (SELECT sid, t FROM s WHERE n > {size}),
+{_word_runs('big', 'sid', size)},
+v AS (SELECT doc_id, i, j, 0 AS bin, raw, lt, t, n, true AS whole FROM s WHERE n <= {size} UNION ALL SELECT doc_id, i, j, bin, raw, lt, words, wr.n, false FROM s JOIN wr USING (sid)),
+o AS (SELECT doc_id, i, list(n ORDER BY j, bin) AS n, list(whole ORDER BY j, bin) AS whole, list(t ORDER BY j, bin) AS t, any_value(raw) AS raw, any_value(lt) AS lt FROM v GROUP BY doc_id, i),
+q AS (SELECT doc_id, i, 1 AS k, 0 AS part, n[1] AS used, NOT whole[1] AS closed FROM o WHERE lt > {size}
+      UNION ALL
+      SELECT q.doc_id, q.i, k + 1,
+             CASE WHEN closed OR NOT o.whole[k + 1] OR used + o.n[k + 1] > {size} THEN part + 1 ELSE part END,
+             CASE WHEN closed OR NOT o.whole[k + 1] OR used + o.n[k + 1] > {size} THEN o.n[k + 1] ELSE used + o.n[k + 1] END, NOT o.whole[k + 1]
+      FROM q JOIN o USING (doc_id, i) WHERE k < len(o.n)),
+b0 AS (SELECT o.doc_id, o.i, q.k, q.part, o.t[q.k] AS t, o.n[q.k] AS n, raw, lt FROM q JOIN o USING (doc_id, i)
+       UNION ALL SELECT doc_id, i, unnest(range(1, len(n) + 1)) AS k, 0, unnest(t), unnest(n), raw, lt FROM o WHERE lt <= {size}),
+b AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, k) AS k, i, part, t, n::BIGINT AS n, raw, lt,
+             row_number() OVER (PARTITION BY doc_id, i, part ORDER BY k) = 1 AS first, row_number() OVER (PARTITION BY doc_id, i, part ORDER BY k DESC) = 1 AS last FROM b0)
+"""
+
+
+def _fragments(size: int) -> str:
+    """What each chunk holds of each block: g (doc_id, chunk_no, block_index, text, text_offset)."""
+    return f"""
+{_parts(size)},
+p AS (SELECT doc_id, list(n ORDER BY k) AS n FROM b GROUP BY doc_id),
+f AS (SELECT doc_id, 1 AS k, 0 AS chunk_no, n[1] AS used FROM p
+      UNION ALL
+      SELECT f.doc_id, k + 1, CASE WHEN used + p.n[k + 1] > {size} THEN chunk_no + 1 ELSE chunk_no END, CASE WHEN used + p.n[k + 1] > {size} THEN p.n[k + 1] ELSE used + p.n[k + 1] END
+      FROM f JOIN p USING (doc_id) WHERE k < len(p.n)),
+g0 AS (SELECT doc_id, chunk_no, i, part, min(k) AS k, CASE WHEN bool_or(first) AND bool_or(last) AND any_value(lt) = sum(n) THEN any_value(raw) ELSE string_agg(t, ' ' ORDER BY k) END AS text
+       FROM b JOIN f USING (doc_id, k) GROUP BY doc_id, chunk_no, i, part),
+g AS (SELECT doc_id, chunk_no, text, row_number() OVER w - 1 AS block_index, coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS text_offset
+      FROM g0 WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+h AS (SELECT doc_id, chunk_no, 'EDU:' || doc_id || ':' || min(block_index) || '-' || max(block_index) AS chunk_id, min(block_index) AS first_index, min(text_offset) AS text_offset, string_agg(text, ' ' ORDER BY block_index) AS text
+      FROM g GROUP BY doc_id, chunk_no)
+"""
+
+
 def _quote(x: str) -> str:
     return f"replace(url_encode({x}), '%2F', '/')"
 
@@ -96,7 +139,56 @@ ORACLES = {
     "page_info_rows": f"SELECT page_id, title AS page_title, host AS space_key, 1::INT AS page_version, '' AS last_modified FROM ({_PAGES})",
     "block_counts": f"{_HTML_BLOCKS} SELECT block_type, count(*) AS n_blocks, sum(length(text))::BIGINT AS n_chars FROM z GROUP BY block_type",
     "excluded_class_blocks": f"WITH {_BLOCKS} SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY index) - 1)::INT AS index, block_type, text FROM z WHERE NOT ad",
-    "empty_pages": f"{_HTML_BLOCKS} SELECT page_id::VARCHAR AS page_id FROM pages WHERE page_id::VARCHAR NOT IN (SELECT page_id FROM z)",
+    "html_blocks": f"""{_HTML_BLOCKS} SELECT page_id, index::INT AS index, 'EDU:' || page_id || '-' || index AS id, block_type, text,
+'/body[1]/' || CASE WHEN ad THEN '' ELSE 'article[1]/' END || block_type || '[' || place || ']' AS xpath,
+'body:nth-of-type(1) > ' || CASE WHEN ad THEN 'div.ad' ELSE 'article:nth-of-type(1) > ' || block_type || ':nth-of-type(' || place || ')' END AS css_selector,
+coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS text_offset, length(text)::INT AS text_length,
+last_value(CASE WHEN block_type = 'h1' THEN 'EDU:' || page_id || '-' || index END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS parent_heading_id,
+NULL::VARCHAR AS html_id FROM z WINDOW w AS (PARTITION BY page_id ORDER BY index)""",
+    "empty_pages": "SELECT page_id::VARCHAR AS page_id FROM pages WHERE page_id % 5 = 0",
+    "json_page_rows": """SELECT page_id::VARCHAR AS page_id, 'Page ' || page_id AS title, CASE WHEN page_id % 3 > 0 THEN 'K' ELSE '' END AS space_key, CASE WHEN page_id % 3 > 0 THEN 'Name' ELSE '' END AS space_name,
+CASE WHEN page_id % 4 > 0 THEN page_id % 7 ELSE 1 END::INT AS version, CASE WHEN page_id % 4 > 0 THEN '2024-01-01' ELSE '' END AS last_modified, md5(html) AS body_md5, 'http://wiki.example.com/pages/' || page_id AS url
+FROM pages WHERE page_id % 11 > 0""",
+    "made_page_blocks": """WITH n AS (SELECT n_regionkey AS r, n_nationkey AS k, n_name AS name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, count(*) OVER (PARTITION BY n_regionkey) AS c FROM nation),
+x AS (SELECT r_regionkey AS r, 0 AS index, 'h1' AS block_type, r_name AS text, '/body[1]/h1[1]' AS xpath, 'top' AS html_id FROM region WHERE r_regionkey IN (SELECT r FROM n)
+      UNION ALL SELECT DISTINCT r, 1, 'h3', 'Table', '/body[1]/h3[1]', NULL FROM n
+      UNION ALL SELECT DISTINCT r, 2, 'tr', 'Nation | Key', '/body[1]/table[1]/thead[1]/tr[1]', NULL FROM n
+      UNION ALL SELECT r, 2 + i, 'tr', name || ' | ' || k, '/body[1]/table[1]/tbody[1]/tr[' || i || ']', NULL FROM n
+      UNION ALL SELECT DISTINCT r, 3 + c, 'h2', 'List', '/body[1]/h2[1]', NULL FROM n
+      UNION ALL SELECT r, 2 + c + 2 * i, 'li', name, '/body[1]/ul[1]/li[' || i || ']', NULL FROM n
+      UNION ALL SELECT r, 3 + c + 2 * i, 'li', 'key ' || k, '/body[1]/ul[1]/li[' || i || ']/ol[1]/li[1]', NULL FROM n)
+SELECT r::VARCHAR AS page_id, x.index::INT AS index, block_type, text, xpath, html_id, length(text)::INT AS text_length,
+       coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS text_offset,
+       CASE WHEN x.index > 0 THEN 'EDU:' || r || '-' || CASE WHEN x.index > 3 + m.c THEN 3 + m.c WHEN x.index > 1 THEN 1 ELSE 0 END END AS parent_heading_id,
+       CASE WHEN x.index = 0 THEN '' WHEN x.index >= 3 + m.c THEN 'List > ' ELSE 'Table > ' END || m.top AS hierarchy
+FROM x JOIN (SELECT r_regionkey AS r, r_name AS top, count(*) AS c FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL) AS m USING (r) WINDOW w AS (PARTITION BY r ORDER BY x.index)""",
+    "conversation_blocks": """WITH t AS (SELECT conv_id, text, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations)
+SELECT conv_id::VARCHAR AS page_id, i::INT AS index, 'EDU:' || conv_id || '-' || i AS id, coalesce(text, '') AS text, concat_ws('/', '/turn', role) AS xpath,
+       coalesce(sum(length(coalesce(text, '')) + 1) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS text_offset, length(coalesce(text, ''))::INT AS text_length FROM t""",
+    "split_text_parts": f"""WITH RECURSIVE
+s0 AS (SELECT doc_id, {_sentences('text')} AS s FROM documents),
+s AS (SELECT row_number() OVER () AS sid, doc_id, j, t, {_tokens('t')} AS n FROM (SELECT doc_id, unnest(s) AS t, generate_subscripts(s, 1) AS j FROM s0)),
+big AS (SELECT sid, t FROM s WHERE n > {SIZE}),
+{_word_runs('big', 'sid', SIZE)},
+v AS (SELECT doc_id, j, 0 AS bin, t, n, true AS whole FROM s WHERE n <= {SIZE} UNION ALL SELECT doc_id, j, bin, words, wr.n, false FROM s JOIN wr USING (sid)),
+o AS (SELECT doc_id, list(n ORDER BY j, bin) AS n, list(whole ORDER BY j, bin) AS whole, list(t ORDER BY j, bin) AS t FROM v GROUP BY doc_id),
+q AS (SELECT doc_id, 1 AS k, 0 AS part, n[1] AS used, NOT whole[1] AS closed FROM o
+      UNION ALL
+      SELECT q.doc_id, k + 1,
+             CASE WHEN closed OR NOT o.whole[k + 1] OR used + o.n[k + 1] > {SIZE} THEN part + 1 ELSE part END,
+             CASE WHEN closed OR NOT o.whole[k + 1] OR used + o.n[k + 1] > {SIZE} THEN o.n[k + 1] ELSE used + o.n[k + 1] END, NOT o.whole[k + 1]
+      FROM q JOIN o USING (doc_id) WHERE k < len(o.n))
+SELECT doc_id, part::INT AS part, string_agg(o.t[k], ' ' ORDER BY k) AS text FROM q JOIN o USING (doc_id) GROUP BY doc_id, part""",
+    "sentence_prefix_forced": f"""WITH a AS (SELECT doc_id, text, {_sentences('text')} AS s, {_words('text')} AS w FROM documents),
+b AS (SELECT *, len(s) > 0 AND {_tokens("coalesce(s[1], '')")} > {FORCED_CAP} AS torn FROM a),
+c AS (SELECT doc_id, CASE WHEN torn THEN w ELSE s END AS u FROM b),
+d AS (SELECT doc_id, u, list_transform(u, lambda x: {_tokens('x')}) AS n FROM c),
+e AS (SELECT doc_id, u, greatest(1, len(list_filter(range(1, len(n) + 1), lambda i: list_sum(n[:i]) <= {FORCED_CAP}))) AS k FROM (SELECT doc_id, u, n[:20] AS n FROM d))
+SELECT doc_id, array_to_string(u[:k], ' ') AS prefix, md5(array_to_string(u[k + 1:], ' ')) AS rest_md5 FROM e""",
+    "block_split_counts": f"WITH RECURSIVE {_parts(SIZE)} SELECT doc_id::VARCHAR AS page_id, count(*) AS splits FROM b WHERE first AND part > 0 GROUP BY doc_id",
+    "chunk_fragments": f"WITH RECURSIVE {_fragments(SIZE)} SELECT chunk_id, block_index::INT AS block_index, 'EDU:' || doc_id || '-' || block_index AS block_id, g.text_offset::INT AS text_offset, length(g.text)::INT AS text_length, g.text FROM g JOIN h USING (doc_id, chunk_no)",
+    "chunk_payload_fields": f"""WITH RECURSIVE {_fragments(SIZE)} SELECT chunk_id, doc_id::VARCHAR AS page_id, 1::INT AS page_version, md5(text) AS text_md5, 'EDU:' || doc_id || '-' || first_index AS first_block,
+text_offset::INT AS text_offset, length(text)::INT AS text_length, NULL::VARCHAR AS nearest_heading_id FROM h""",
     "doc_blocks": _DOC_BLOCKS,
     "parsed_block_ids": f"WITH {_LINES} SELECT 'EDU:' || doc_id || '-' || i AS id, doc_id::VARCHAR AS page_id FROM l",
     "token_counts": f"SELECT doc_id, {_tokens('text')}::BIGINT AS n_tokens FROM documents",
@@ -114,14 +206,18 @@ d AS (SELECT doc_id, string_agg(t, ' ' ORDER BY i) FILTER (n <= {PREFIX_CAP}) AS
 SELECT a.doc_id, coalesce(prefix, '') AS prefix, length(CASE WHEN prefix IS NULL THEN a.text ELSE coalesce(rest, '') END)::INT AS rest_length FROM a LEFT JOIN d USING (doc_id)""",
     "parent_heading_rows": f"{_HTML_BLOCKS} SELECT page_id, index::INT AS index, last_value(CASE WHEN block_type = 'h1' THEN 'EDU:' || page_id || '-' || index END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS parent_heading_id FROM z",
     "hierarchy_rows": f"{_HTML_BLOCKS} SELECT page_id, index::INT AS index, coalesce(last_value(CASE WHEN block_type = 'h1' THEN text END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS hierarchy FROM z",
-    "tag_token_rows": f"SELECT page_id, (CASE WHEN title <> '' THEN {_tokens(chr(39) + '[PAGE] ' + chr(39) + ' || title')} ELSE 0 END + 6 + 3)::BIGINT AS n_tokens FROM ({_PAGES})",
-    "embedding_rows": f"SELECT page_id, CASE WHEN title <> '' THEN '[PAGE] ' || title || chr(10) ELSE '' END || '[SECTION] Intro > Top' || chr(10) || '[TEXT] ' || url AS embedding_text FROM ({_PAGES})",
-    "navigation_rows": f"SELECT doc_id, 'http://example.com/x#:~:text=' || {_quote(_trim('substr(text, 1, 80)'))} AS navigation_url FROM documents",
+    "tag_token_rows": f"""WITH t AS (SELECT page_id, title, CASE WHEN page_id::BIGINT % 3 > 0 THEN array_to_string(string_split(host, '.'), ' > ') END AS heads FROM ({_PAGES})),
+n AS (SELECT page_id, CASE WHEN title <> '' THEN {_tokens("'[PAGE] ' || title")} ELSE 0 END + CASE WHEN heads IS NOT NULL THEN {_tokens("'[SECTION] ' || heads")} ELSE 0 END AS n FROM t)
+SELECT page_id, CASE WHEN n > 0 THEN n + 3 ELSE 0 END::BIGINT AS n_tokens FROM n""",
+    "embedding_rows": f"""WITH t AS (SELECT page_id, title, CASE WHEN page_id::BIGINT % 3 > 0 THEN array_to_string(string_split(host, '.'), ' > ') END AS heads, {_trim("substr(html, 1, 200)")} AS text FROM ({_PAGES}))
+SELECT page_id, CASE WHEN title = '' AND heads IS NULL THEN text ELSE concat_ws(chr(10), CASE WHEN title <> '' THEN '[PAGE] ' || title END, '[SECTION] ' || heads, '[TEXT] ' || text) END AS embedding_text FROM t""",
+    "navigation_rows": f"""SELECT doc_id, 'http://example.com/x#' || CASE WHEN doc_id % 3 = 0 THEN 'b' || doc_id WHEN doc_id % 2 = 0 THEN 'h' || doc_id ELSE ':~:text=' || {_quote(_trim('substr(text, 1, 80)'))} END AS navigation_url FROM documents""",
     "chunk_texts": f"WITH RECURSIVE {_chunks(SIZE)} SELECT doc_id::VARCHAR AS page_id, chunk_no::INT AS chunk_no, text AS normalized_text, length(text)::INT AS text_length, '#:~:text=' || {_quote(_trim('substr(text, 1, 80)'))} AS navigation_url, text AS embedding_text FROM c",
     "chunk_bounds": f"WITH RECURSIVE {_chunks(512)} SELECT doc_id::VARCHAR AS page_id, chunk_no::INT AS chunk_no, length(text)::INT AS text_length, n AS n_tokens FROM c",
     "chunk_count": f"WITH RECURSIVE {_chunks(SIZE)} SELECT count(*) AS n_chunks FROM c",
     "chunk_lookup": f"WITH RECURSIVE {_chunks(512)} SELECT 'EDU:7:0-5' AS chunk_id, text AS normalized_text FROM c WHERE doc_id = 7 AND chunk_no = 0",
-    "chunk_upsert": "WITH new AS (SELECT doc_id // 10 AS chunk_id, max(doc_id)::VARCHAR AS payload FROM labels GROUP BY 1) SELECT chunk_id, payload FROM new UNION ALL SELECT DISTINCT doc_id // 10, 'old' FROM documents WHERE doc_id // 10 NOT IN (SELECT chunk_id FROM new)",
+    "chunk_upsert": """WITH new AS (SELECT doc_id // 10 AS chunk_id, arg_max(doc_id || '/' || quality || '/' || toxic, doc_id) AS payload FROM labels GROUP BY 1)
+SELECT chunk_id, payload FROM new UNION ALL SELECT doc_id // 10, 'old ' || min(source) FROM documents WHERE doc_id // 10 NOT IN (SELECT chunk_id FROM new) GROUP BY 1""",
     "explicit_ids": "SELECT page_id::VARCHAR AS page_id, url FROM pages JOIN (VALUES (3), (5), (3), (8)) AS v(i) ON page_id = i",
     "run_statistics": f"WITH RECURSIVE {_chunks(SIZE)} SELECT (SELECT count(*) FROM documents) AS pages, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l)) AS pages_empty, 0::BIGINT AS pages_with_errors, (SELECT count(*) FROM l) AS blocks, (SELECT count(*) FROM c) AS chunks",
 }
