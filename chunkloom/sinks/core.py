@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+from collections import Counter
 from collections.abc import Sequence
 from datetime import datetime
 from typing import Protocol
@@ -10,12 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.text import block_id
+from ..functions.text import ID_PREFIX, block_id
 from ..sources.tables import page_info
 
 
+#: Parts of a keyed table by hash of the key; a batch rewrites those that it has keys of.
+BUCKETS = 64
+
+
 class Sink(Protocol):
     path: str
+    #: Chunks, pages and blocks written so far.
+    totals: Counter
 
     def write(self, chunks: DataFrame, pages: DataFrame, blocks: DataFrame | None, batch: int) -> None: ...
 
@@ -47,6 +57,7 @@ class JsonSink:
 
     def __init__(self, config: Config, now: datetime | None = None):
         self.path = f"{config.output_dir.rstrip('/')}/{config.output_prefix}_{(now or datetime.now()):%Y%m%d_%H%M%S}"
+        self.totals = Counter()
 
     def write(self, chunks: DataFrame, pages: DataFrame, blocks: DataFrame | None, batch: int = 0) -> None:
         # a batch that is repeated after a failure replaces its own folder
@@ -56,45 +67,98 @@ class JsonSink:
         info.select(to_json(F.struct(*info.columns)).alias("value")).write.mode("overwrite").text(part("pages"))
         if blocks is not None:
             blocks.select(to_json(F.struct(*blocks.columns)).alias("value")).write.mode("overwrite").text(part("blocks"))
+            self.totals["blocks"] += blocks.count()
+        self.totals.update(chunks=chunks.count(), pages=pages.count())
 
     def close(self, metadata: DataFrame) -> None:
         metadata.select(to_json(F.struct(*metadata.columns)).alias("value")).write.mode("overwrite").text(f"{self.path}/metadata")
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str = "chunk_id", order: Sequence[str] = ()) -> DataFrame:
-    """``old`` with the rows of ``new`` in place of those with their keys; of rows of ``new`` that share a key the last by ``order`` counts."""
-    ranked = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order] or [F.lit(0)])
-    last = new.withColumn("_place", F.row_number().over(ranked)).where("_place = 1").select(*old.columns)
+def upsert(old: DataFrame, new: DataFrame, key: str = "chunk_id", order: Sequence[str] = ("_arrival",)) -> DataFrame:
+    """``old`` with the rows of ``new`` in place of those with their keys; of rows of ``new`` that share a key the last by ``order``
+    counts, by default the last in the order in which ``new`` has them."""
+    arrived = new.withColumn("_arrival", F.monotonically_increasing_id())
+    ranked = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
+    last = arrived.withColumn("_place", F.row_number().over(ranked)).where("_place = 1").select(*old.columns)
     return old.join(last, key, "left_anti").unionByName(last)
 
 
 class TableSink:
-    """A keyed table (chunk_id, payload) in Parquet versions: a batch writes the next version whole, then readers move on to it."""
+    """A keyed table (chunk_id, payload) of Parquet folders, one for each bucket of keys.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    A batch writes new folders for the buckets that it has keys of, then a manifest that names the folder of every
+    bucket; readers go by the newest manifest, so they never see half a batch.  Folders that neither it nor the one
+    before names are deleted.  One writer at a time.
+    """
 
-    def _marks(self):
-        jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.path)
-        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, path, buckets
+        self.totals = Counter()
 
-    def version(self) -> int:
-        """The newest complete version, or -1."""
-        store, path = self._marks()
-        if not store.exists(path(self.path)):
-            return -1
-        names = [x.getPath().getName() for x in store.listStatus(path(self.path))]
-        return max([int(n[2:]) for n in names if n.startswith("v=") and store.exists(path(f"{self.path}/{n}/_SUCCESS"))], default=-1)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        at = self.version() if version is None else version
-        return self.spark.createDataFrame([], "chunk_id string, payload string") if at < 0 else self.spark.read.parquet(f"{self.path}/v={at}")
+    def _store(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        return path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def versions(self) -> list[int]:
+        """Numbers of the complete manifests, ascending."""
+        store, path = self._store()
+        at = path(f"{self.path}/manifests")
+        names = [x.getPath().getName() for x in store.listStatus(at)] if store.exists(at) else []
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def manifest(self, version: int | None = None) -> dict:
+        """Buckets (their number) and folders (bucket to folder name) of the newest version, or the one given."""
+        known = self.versions()
+        if not known:
+            return {"buckets": self.buckets, "folders": {}}
+        at = f"{self.path}/manifests/{known[-1] if version is None else version}.json"
+        return json.loads("".join(r["value"] for r in self.spark.read.text(at).collect()))  # one short line
+
+    def _publish(self, manifest: dict) -> None:
+        store, path = self._store()
+        number = (self.versions() or [-1])[-1] + 1
+        unfinished = path(f"{self.path}/manifests/.{uuid.uuid4().hex}")
+        file = store.create(unfinished)
+        file.write(bytearray(json.dumps(manifest).encode()))
+        file.close()
+        if not store.rename(unfinished, path(f"{self.path}/manifests/{number}.json")):
+            raise RuntimeError(f"another writer has published version {number} of {self.path}")
+        recent = {f for v in self.versions()[-2:] for f in self.manifest(v)["folders"].values()}
+        held = path(f"{self.path}/data")
+        for x in store.listStatus(held) if store.exists(held) else []:
+            for bucket in store.listStatus(x.getPath()):
+                if (name := f"{x.getPath().getName()}/{bucket.getPath().getName()}") not in recent and bucket.isDirectory():
+                    store.delete(path(f"{self.path}/data/{name}"), True)
+
+    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        folders = [f for b, f in self.manifest(version)["folders"].items() if buckets is None or int(b) in buckets]
+        kind = "chunk_id string, payload string"
+        return self.spark.read.schema(kind).parquet(*[f"{self.path}/data/{f}" for f in folders]) if folders else self.spark.createDataFrame([], kind)
+
+    def bucket(self, key: Column, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+    def lookup(self, chunk_id: str) -> DataFrame:
+        """The row of one key: only its bucket is read, and the filter reaches the scan."""
+        n = self.manifest()["buckets"]
+        own = self.spark.range(1).select(self.bucket(F.lit(chunk_id), n)).first()[0]
+        return lookup(self.read(buckets=[own]), chunk_id)
 
     def write(self, chunks: DataFrame, pages: DataFrame, blocks: DataFrame | None = None, batch: int = 0) -> None:
-        new = payloads(chunks)
-        at = self.version()
-        upsert(self.read(at), new, order=["payload"]).write.mode("overwrite").parquet(f"{self.path}/v={at + 1}")
+        now = self.manifest()
+        new = payloads(chunks).withColumn("bucket", self.bucket(F.col("chunk_id"), now["buckets"])).persist()
+        try:
+            touched = [r[0] for r in new.select("bucket").distinct().collect()]  # as many as there are buckets at most
+            if touched:
+                folder = f"w-{uuid.uuid4().hex}"
+                merged = upsert(self.read(buckets=touched), new.drop("bucket"))
+                placed = merged.withColumn("bucket", self.bucket(F.col("chunk_id"), now["buckets"])).repartition("bucket")
+                placed.write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
+                self._publish(now | {"folders": now["folders"] | {str(b): f"{folder}/bucket={b}" for b in touched}})
+            self.totals.update(chunks=new.count(), pages=pages.count())
+        finally:
+            new.unpersist()
 
     def close(self, metadata: DataFrame) -> None:
         """The run's metadata is not part of this table."""
@@ -109,6 +173,14 @@ class Composite:
         self.sinks = list(sinks)
         self.path = " | ".join(s.path for s in sinks)
 
+    @property
+    def totals(self) -> Counter:
+        """Those of the sink that has written most of each."""
+        out: Counter = Counter()
+        for sink in self.sinks:
+            out |= sink.totals
+        return out
+
     def _each(self, do) -> None:
         failures = []
         for sink in self.sinks:
@@ -138,3 +210,12 @@ def chosen_sinks(spark: SparkSession, config: Config) -> Composite:
 def lookup(chunks: DataFrame, chunk_id: str) -> DataFrame:
     """One chunk by its id; the filter reaches a Parquet scan."""
     return chunks.where(F.col("chunk_id") == chunk_id)
+
+
+def chunk_of(pages: DataFrame, chunk_id: str, config: Config) -> DataFrame:
+    """One chunk by its id, computed from its own page alone: other pages are filtered out before they are cut."""
+    from ..operators.chunks import chunk_pages
+
+    found = re.fullmatch(rf"{ID_PREFIX}:(.*):\d+-\d+", chunk_id, re.DOTALL)
+    own = pages.where(F.col("id") == found[1]) if found else pages.where("false")
+    return lookup(chunk_pages(own, config), chunk_id)

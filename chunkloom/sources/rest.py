@@ -15,7 +15,9 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition
+
+from ..config import Config
 
 SCHEMA = "id string, json string, error string"
 Transport = Callable[[str, Mapping[str, str], float], tuple[int, bytes]]
@@ -68,9 +70,8 @@ class Client:
                 self.sleep(2**attempt)
         raise problem
 
-    def ids(self, size: int = 100) -> Iterator[str]:
-        """Ids of all pages; ends after an empty or a short listing."""
-        start = 0
+    def ids(self, size: int = 100, start: int = 0) -> Iterator[str]:
+        """Ids of all pages from the one at ``start`` on; ends after an empty or a short listing."""
         while True:
             found = self.get("/rest/api/content", type="page", limit=size, start=start, expand="space").get("results", [])
             yield from (str(x["id"]) for x in found)
@@ -93,37 +94,73 @@ class Ids(InputPartition):
     ids: list[str]
 
 
-class ContentReader(DataSourceReader):
+class Fetching:
+    """What readers of batches and of streams have in common."""
+
     def __init__(self, options: Mapping[str, str], client: Client | None = None):
         self.client = client or Client(options["url"].rstrip("/"), options.get("token", ""), float(options.get("timeout", 30)), int(options.get("retries", 3)))
         self.size = int(options.get("pagesize", 100))
         self.per_task = int(options.get("idspertask", 200))
-        self.given = [x.strip() for x in options.get("ids", "").split(",") if x.strip()]
+
+    def dealt(self, ids: list[str]) -> list[Ids]:
+        return [Ids(ids[at : at + self.per_task]) for at in range(0, len(ids), self.per_task)]
+
+    def read(self, partition):
+        for page_id in partition.ids:
+            try:
+                page = self.client.page(page_id)
+                yield page_id, None if page is None else json.dumps(page), "not found" if page is None else None
+            except (OSError, StatusError, ValueError) as problem:
+                yield page_id, None, f"{type(problem).__name__}: {problem}"
+
+
+class ContentReader(Fetching, DataSourceReader):
+    def __init__(self, options: Mapping[str, str], client: Client | None = None):
+        super().__init__(options, client)
+        #: The ids to fetch; None for all.
+        self.given: list[str] | None = [x.strip() for x in options.get("ids", "").split(",") if x.strip()] or None
 
     def pushFilters(self, filters):  # noqa: N802
-        """Equality with ids narrows what is fetched; Spark still applies every other filter."""
+        """Equality with ids narrows what is fetched, to nothing if filters contradict each other; all other filters are Spark's."""
         for f in filters:
             if isinstance(f, EqualTo) and f.attribute == ("id",):
                 wanted = [str(f.value)]
             elif isinstance(f, In) and f.attribute == ("id",):
-                wanted = [str(v) for v in f.value]
+                wanted = list(dict.fromkeys(str(v) for v in f.value))
             else:
                 yield f
                 continue
-            self.given = [x for x in self.given if x in wanted] if self.given else wanted
-            self.narrowed = True
+            self.given = wanted if self.given is None else [x for x in self.given if x in wanted]
 
     def partitions(self):
-        ids = self.given if self.given or getattr(self, "narrowed", False) else list(self.client.ids(self.size))
-        return [Ids(ids[at : at + self.per_task]) for at in range(0, len(ids), self.per_task)] or [Ids([])]
+        return self.dealt(list(self.client.ids(self.size)) if self.given is None else self.given) or [Ids([])]
 
-    def read(self, partition):
-        for page_id in partition.ids:
-            try:
-                page = self.client.page(page_id)
-                yield page_id, None if page is None else json.dumps(page), "not found" if page is None else None
-            except (OSError, StatusError, ValueError) as problem:
-                yield page_id, None, f"{type(problem).__name__}: {problem}"
+
+class ContentStreamReader(Fetching, DataSourceStreamReader):
+    """A stream of the API's pages in the order of its listing: an offset is how many of them have been dealt out.
+
+    A new batch lists on from there, so pages that are added at the end come with the next one.
+    """
+
+    def __init__(self, options: Mapping[str, str], client: Client | None = None):
+        super().__init__(options, client)
+        self.listed: list[str] = []
+        self.first = 0
+
+    def initialOffset(self):  # noqa: N802
+        return {"n": 0}
+
+    def latestOffset(self):  # noqa: N802
+        self.listed += self.client.ids(self.size, self.first + len(self.listed))
+        return {"n": self.first + len(self.listed)}
+
+    def partitions(self, start, end):
+        if start["n"] < self.first or end["n"] > self.first + len(self.listed):  # after a restart
+            self.first, self.listed = start["n"], list(self.client.ids(self.size, start["n"]))
+        return self.dealt(self.listed[start["n"] - self.first : end["n"] - self.first])
+
+    def commit(self, end):
+        self.listed, self.first = self.listed[end["n"] - self.first :], end["n"]
 
 
 class ContentApi(DataSource):
@@ -139,9 +176,24 @@ class ContentApi(DataSource):
     def reader(self, schema):
         return ContentReader(self.options)
 
+    def streamReader(self, schema):  # noqa: N802
+        return ContentStreamReader(self.options)
+
 
-def load_pages(spark: SparkSession, url: str, **options) -> DataFrame:
+def options_of(config: Config) -> dict[str, str]:
+    """The source's options as the settings have them."""
+    given = {"url": config.base_url, "token": config.token, "pageSize": config.page_size, "timeout": config.timeout_s, "retries": config.max_retries}
+    return {k: str(v) for k, v in given.items()} | ({"ids": ",".join(config.page_ids)} if config.page_ids else {})
+
+
+def load_pages(spark: SparkSession, url: str, source: type[DataSource] = ContentApi, **options) -> DataFrame:
     """Rows (id, json, error) of an API's pages; ``tables.from_json_pages`` brings them to page columns."""
-    spark.dataSource.register(ContentApi)
+    spark.dataSource.register(source)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("content_api").options(url=url, **options).load()
+    return spark.read.format(source.name()).options(url=url, **options).load()
+
+
+def stream_pages(spark: SparkSession, url: str, source: type[DataSource] = ContentApi, **options) -> DataFrame:
+    """The same rows as a stream."""
+    spark.dataSource.register(source)
+    return spark.readStream.format(source.name()).options(url=url, **options).load()

@@ -20,13 +20,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """``rows`` dealt to all cores if they come from fewer files than there are cores.
+    """``rows`` dealt to all cores if a scan gives them in fewer parts than there are cores, or in a few parts of one file.
 
-    A file's row group is read by one task, so a table of few files would be parsed and cut by few tasks.  Tables of
-    many files, as large ones are, and tables that come from no file are left as they are, without a shuffle.
+    A file's row group is read by one task, so a table of one row group would be parsed and cut by one task.  Tables of
+    many parts, as large ones are, stay as they are, without a shuffle.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if 0 < len(rows.inputFiles()) < cores else rows
+    cores, parts = rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
+    return rows.repartition(cores) if parts < cores or parts <= 16 * cores and len(rows.inputFiles()) == 1 else rows
 
 
 def html_pages(raw: DataFrame) -> DataFrame:
@@ -109,8 +109,11 @@ API_PAGE = "struct<id:string,title:string,space:struct<key:string,name:string>,v
 
 
 def from_json_pages(raw: DataFrame, base_url: str = "", column: str = "json") -> DataFrame:
-    """Pages from the JSON of a content API: missing fields get defaults, an empty rendered body falls back to the stored one."""
-    p = raw.select(F.from_json(F.col(column), API_PAGE).alias("p")).select("p.*")
+    """Pages from the JSON of a content API: missing fields get defaults, an empty rendered body falls back to the stored one.
+
+    Rows without JSON are pages that could not be fetched: they are left out, and ``fetch_failures`` has them.
+    """
+    p = raw.where(F.col(column).isNotNull()).select(F.from_json(F.col(column), API_PAGE).alias("p")).select("p.*")
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     return p.select(
         text("id").alias("id"),
@@ -124,6 +127,11 @@ def from_json_pages(raw: DataFrame, base_url: str = "", column: str = "json") ->
     )
 
 
+def fetch_failures(raw: DataFrame, column: str = "json") -> DataFrame:
+    """(id, error) of the pages that could not be fetched."""
+    return raw.where(F.col(column).isNull()).select("id", "error")
+
+
 def page_info(pages: DataFrame) -> DataFrame:
     """What is kept of a page beside its chunks."""
     return pages.select(

@@ -7,6 +7,9 @@ partitions and holds back the source (``maxFilesPerTrigger``); each batch goes t
 from __future__ import annotations
 
 import time
+from collections import Counter
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,23 +17,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config
+from ..log import logger
 from ..operators.blocks import page_blocks
 from ..operators.chunks import chunk_pages
-from ..sinks.core import Sink
-from ..sources.tables import parsed_pages, text_pages
+from ..operators.html import with_pieces
+from ..sinks.core import Sink, chosen_sinks
+from ..sources.rest import load_pages, options_of
+from ..sources.tables import fetch_failures, from_json_pages, parsed_pages, text_pages
 
-COUNTERS = ("pages", "pages_empty", "pages_with_errors", "blocks", "chunks")
+COUNTERS = ("page_ids", "pages_fetched", "pages_fetch_failed", "pages_processed", "pages_process_failed", "pages_with_errors", "pages_write_failed", "chunks_written", "blocks_written")
 
 
-def run_stats(parsed: DataFrame, chunks: DataFrame) -> DataFrame:
-    """One row of counters over parsed pages and their chunks."""
+def run_stats(parsed: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
+    """One row of counters over parsed pages and, if given, their chunks."""
     of_pages = parsed.agg(
         F.count("*").alias("pages"),
         F.count_if((F.size("pieces") == 0) & F.col("error").isNull()).alias("pages_empty"),
         F.count_if(F.col("error").isNotNull()).alias("pages_with_errors"),
         F.coalesce(F.sum(F.size("pieces")), F.lit(0)).alias("blocks"),
     )
-    return of_pages.crossJoin(chunks.agg(F.count("*").alias("chunks")))  # one row beside one row
+    return of_pages if chunks is None else of_pages.crossJoin(chunks.agg(F.count("*").alias("chunks")))  # one row beside one row
 
 
 def metadata(spark: SparkSession, config: Config, started: datetime, elapsed_ms: float, stats: DataFrame) -> DataFrame:
@@ -49,29 +55,68 @@ def metadata(spark: SparkSession, config: Config, started: datetime, elapsed_ms:
     )
 
 
-def write_pages(parsed: DataFrame, config: Config, sink: Sink, batch: int = 0) -> None:
-    """Chunk ``parsed`` pages and hand all to ``sink``.  Pages with an error are left out; those without blocks are kept."""
+def write_pages(parsed: DataFrame, config: Config, sink: Sink, batch: int = 0) -> Counter:
+    """Chunk ``parsed`` pages once, hand all to ``sink``, and count.
+
+    Pages with an error are left out; those without blocks are kept.  A write that fails is logged and counted, and the run goes on.
+    """
     good = parsed.where(F.col("error").isNull())
-    sink.write(chunk_pages(good, config), good, page_blocks(good) if config.include_blocks else None, batch)
+    chunks = chunk_pages(good, config).persist()
+    n = run_stats(parsed).first()
+    counted = Counter(dict.fromkeys(COUNTERS, 0))
+    counted.update(pages_empty=n["pages_empty"], blocks=n["blocks"], pages_processed=n["pages"], pages_process_failed=n["pages_with_errors"], pages_with_errors=n["pages_with_errors"])
+    try:
+        sink.write(chunks, good, page_blocks(good) if config.include_blocks else None, batch)
+        counted.update(chunks_written=chunks.count(), blocks_written=n["blocks"] if config.include_blocks and config.json_enabled else 0)
+    except Exception as problem:  # what could not be written is counted, and other batches go on
+        logger.error("batch %d was not written: %r", batch, problem)
+        counted.update(pages_write_failed=n["pages"] - n["pages_with_errors"])
+    finally:
+        chunks.unpersist()
+    return counted
 
 
-def run(parsed: DataFrame, config: Config, sink: Sink) -> DataFrame:
-    """All of ``parsed`` to ``sink``; returns the run's metadata."""
+def run(parsed: DataFrame, config: Config, sink: Sink, before: Mapping[str, int] | None = None) -> DataFrame:
+    """All of ``parsed`` to ``sink``; returns the run's metadata, one row.
+
+    Its counters are ``COUNTERS`` (those of fetching from ``before``; without it every page counts as fetched), pages, pages_empty, blocks and chunks.
+    """
     config.validate()
     started, begun = datetime.now(UTC), time.monotonic()
     # parsed pages serve chunks, pages and counters; Spark may spill them to disk
     held = parsed.persist()
     try:
-        write_pages(held, config, sink)
-        stats = run_stats(held, chunk_pages(held.where(F.col("error").isNull()), config))
+        stats = dict(write_pages(held, config, sink))
+        stats |= before if before is not None else {"page_ids": stats["pages_processed"], "pages_fetched": stats["pages_processed"]}
+        stats |= {"pages": stats["pages_processed"], "chunks": stats["chunks_written"]}
         spark = parsed.sparkSession
-        about = metadata(spark, config, started, 1000 * (time.monotonic() - begun), spark.createDataFrame(stats.collect(), stats.schema))  # one row
+        about = metadata(spark, config, started, 1000 * (time.monotonic() - begun), spark.createDataFrame([tuple(stats.values())], ", ".join(f"{k} long" for k in stats)))
         sink.close(about)
         return about
     finally:
         held.unpersist()
 
 
+def run_from(spark: SparkSession, config: Config, raw: DataFrame | None = None, sink: Sink | None = None) -> DataFrame:
+    """From settings to output: fetch the pages of ``config.page_ids``, or all, parse and chunk them, and write to the sinks that are enabled.
+
+    ``raw`` (id, json, error) may stand for the API.  Pages that cannot be fetched are counted, logged and left out.
+    """
+    config.validate()
+    sink = sink or chosen_sinks(spark, config)
+    # pages are fetched once, though several steps look at them
+    held = (load_pages(spark, **options_of(config)) if raw is None else raw).persist()
+    try:
+        n = held.agg(F.count("*").alias("ids"), F.count("json").alias("fetched")).first()
+        if failed := n["ids"] - n["fetched"]:
+            some = [f"{r['id']}: {r['error']}" for r in fetch_failures(held).limit(10).collect()]
+            logger.error("%d pages could not be fetched, such as %s", failed, "; ".join(some))
+        before = {"page_ids": n["ids"], "pages_fetched": n["fetched"], "pages_fetch_failed": failed}
+        return run(with_pieces(from_json_pages(held, config.base_url), config), config, sink, before)
+    finally:
+        held.unpersist()
+
+
 def page_stream(spark: SparkSession, folder: str, kind: str, files_per_trigger: int = 8) -> DataFrame:
     """A stream of the Parquet files of table ``kind`` (pages or documents) that arrive in ``folder``."""
     schema = {"pages": "page_id long, url string, html string", "documents": "doc_id long, text string, lang string, source string, n_chars long"}[kind]
@@ -79,17 +124,25 @@ def page_stream(spark: SparkSession, folder: str, kind: str, files_per_trigger:
 
 
 def parsed_stream(raw: DataFrame, kind: str, config: Config) -> DataFrame:
+    """Parsed pages of a stream of ``pages``, ``documents`` or ``api`` rows."""
+    if kind == "api":
+        return with_pieces(from_json_pages(raw, config.base_url), config)
     return parsed_pages(raw, config) if kind == "pages" else text_pages(raw)
 
 
-def start(raw: DataFrame, kind: str, config: Config, sink: Sink, checkpoint: str) -> StreamingQuery:
-    """Chunk all pages that the source has by now, batch by batch, and stop.  A batch that is repeated writes the same again."""
+def start(raw: DataFrame, kind: str, config: Config, sink: Sink, checkpoint: str, counted: Counter | None = None) -> StreamingQuery:
+    """Chunk all pages that the source has by now, batch by batch, and stop.  A batch that is repeated writes the same again.
+
+    A batch that cannot be written is logged and counted, and the stream goes on; ``counted`` receives the counters of all batches.
+    """
     parsed = parsed_stream(raw, kind, config)
 
     def each(batch: DataFrame, number: int) -> None:
         held = batch.persist()
         try:
-            write_pages(held, config, sink, number)
+            own = write_pages(held, config, sink, number)
+            if counted is not None:
+                counted.update(own)
         finally:
             held.unpersist()
 
@@ -104,4 +157,41 @@ class Timer:
         return self
 
     def __exit__(self, *_) -> None:
-        self.ms = round(1000 * (time.monotonic() - self.begun), 4)
+        self.ms = self.elapsed()
+
+    def elapsed(self) -> float:
+        """Milliseconds so far."""
+        return round(1000 * (time.monotonic() - self.begun), 4)
+
+
+class Timers:
+    """Timers by name; what ``end`` measures is logged if wanted."""
+
+    def __init__(self, show: bool = False):
+        self.show, self.running = show, {}
+
+    def start(self, name: str) -> None:
+        self.running[name] = Timer().__enter__()
+
+    def elapsed(self, name: str) -> float | None:
+        """Milliseconds since ``start``; None for a name that is not running."""
+        return self.running[name].elapsed() if name in self.running else None
+
+    def end(self, name: str) -> float | None:
+        """Milliseconds since ``start``, and stop; None for a name that is not running."""
+        ms = self.elapsed(name)
+        self.running.pop(name, None)
+        if self.show:
+            logger.info("%s: %s", name, "not started" if ms is None else f"{ms:.4f} ms")
+        return ms
+
+    @contextmanager
+    def measure(self, name: str) -> Iterator[None]:
+        self.start(name)
+        try:
+            yield
+        finally:
+            self.end(name)
+
+    def reset(self) -> None:
+        self.running.clear()

@@ -1,14 +1,18 @@
 import json
+import sys
 import tempfile
+from collections import Counter
 
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from chunkloom.config import Config, is_identifier
 from chunkloom.operators.chunks import chunk_pages
 from chunkloom.sinks.core import Composite, JsonSink, TableSink, chosen_sinks, upsert
-from chunkloom.sources.rest import Client, ContentReader, StatusError
-from chunkloom.sources.tables import from_json_pages, only_ids, text_pages
-from chunkloom.streaming.stream import page_stream, run, start
+from chunkloom.sources.rest import Client, ContentApi, ContentReader, ContentStreamReader, StatusError, load_pages, options_of, stream_pages
+from chunkloom.sources.tables import fetch_failures, from_json_pages, only_ids, text_pages
+from chunkloom.streaming.stream import COUNTERS, Timer, Timers, page_stream, run, run_from, start
 
 CONFIG = Config(chunk_size=24)
 
@@ -65,9 +69,9 @@ def test_retries():
 
 def test_json_pages(spark):
     raw = spark.createDataFrame([('{"id":"5","title":"T","space":{"key":"K"},"body":{"view":{"value":""},"storage":{"value":"S"}},"_links":{"webui":"/w"}}',), ("{}",), (None,)], "json string")
-    full, empty, null = from_json_pages(raw, "http://b").collect()
+    full, empty = from_json_pages(raw, "http://b").collect()  # the row without JSON is no page
     assert (full["body_html"], full["url"], full["space_key"], full["version"]) == ("S", "http://b/w", "K", 1)
-    assert empty["id"] == "" == null["body_html"]
+    assert empty["id"] == "" == empty["body_html"]
 
 
 def test_only_ids_keeps_duplicates(spark):
@@ -102,6 +106,9 @@ def test_upsert(spark):
     old = spark.createDataFrame([("c1", "v1"), ("c2", "v2")], kind)
     new = spark.createDataFrame([("c1", "v3"), ("c1", "v4")], kind)
     assert sorted(map(tuple, upsert(old, new, order=["payload"]).collect())) == [("c1", "v4"), ("c2", "v2")]
+    # without an order the last row counts, not the greatest
+    late = spark.createDataFrame([("c1", "v9"), ("c3", "x"), ("c1", "v4")], kind)
+    assert sorted(map(tuple, upsert(old, late).collect())) == [("c1", "v4"), ("c2", "v2"), ("c3", "x")]
 
 
 def test_composite_writes_all_and_raises_first():
@@ -145,3 +152,164 @@ def test_config(spark):
     assert is_identifier("a1_") and not is_identifier("1a") and not is_identifier("a-b")
     assert Config(token="x").display()["token"] == "set" and "secret" not in repr(Config(token="secret"))
     assert chosen_sinks(spark, Config(table_enabled=True)).path.endswith(" | output/chunks")
+
+
+PAGES = {str(i): {"id": str(i), "title": f"P{i}", "space": {"key": "K", "name": "N"}, "body": {"view": {"value": f"<h1>H{i}</h1><p>{'Some words here. ' * 12}</p>" if i % 3 else ""}}, "_links": {"webui": f"/p/{i}"}} for i in range(25)}
+
+
+def wiki(url, headers, timeout):
+    """A content API of 25 pages, of which one is gone, one is down and three hold nothing that can be read."""
+    from urllib.parse import parse_qs, urlparse
+
+    at = urlparse(url)
+    if at.path == "/rest/api/content":
+        q = {k: int(v[0]) for k, v in parse_qs(at.query).items() if k in ("start", "limit")}
+        return 200, json.dumps({"results": [{"id": i} for i in list(PAGES)[q["start"] : q["start"] + q["limit"]]]}).encode()
+    page_id = at.path.rsplit("/", 1)[1]
+    return (404, b"") if page_id in ("4", "99") else (500, b"") if page_id == "5" else (200, json.dumps(PAGES[page_id]).encode())
+
+
+class WikiApi(ContentApi):
+    @classmethod
+    def name(cls):
+        return "fake_wiki"
+
+    def reader(self, schema):
+        return ContentReader(self.options, Client("http://wiki", retries=2, transport=wiki, sleep=lambda s: None))
+
+    def streamReader(self, schema):  # noqa: N802
+        return ContentStreamReader(self.options, Client("http://wiki", retries=2, transport=wiki, sleep=lambda s: None))
+
+
+@pytest.fixture(scope="module")
+def api(spark):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import the tests
+    return WikiApi
+
+
+def wiki_config(at, **more):
+    return CONFIG.with_(base_url="http://wiki", output_dir=at, page_size=10, json_enabled=True, table_enabled=True, include_blocks=True, **more)
+
+
+def test_from_settings_to_both_sinks(spark, api):
+    config = wiki_config(folder())
+    raw = load_pages(spark, source=api, **options_of(config))
+    sink = chosen_sinks(spark, config)
+    stats = run_from(spark, config, raw, sink).first()["stats"].asDict()
+    assert set(COUNTERS) <= set(stats)
+    assert (stats["page_ids"], stats["pages_fetched"], stats["pages_fetch_failed"]) == (25, 23, 2)
+    assert (stats["pages_processed"], stats["pages_process_failed"], stats["pages_with_errors"], stats["pages_write_failed"]) == (23, 0, 0, 0)
+    assert stats["pages_empty"] == 9 and stats["blocks_written"] == 28 and stats["chunks_written"] > 14
+    written, table = sink.sinks
+    assert spark.read.text(f"{written.path}/pages").count() == 23 and spark.read.text(f"{written.path}/blocks").count() == 28
+    assert spark.read.text(f"{written.path}/chunks").count() == stats["chunks_written"] == table.read().count() == sink.totals["chunks"]
+    about = json.loads(spark.read.text(f"{written.path}/metadata").first()[0])
+    assert about["stats"]["pages_fetch_failed"] == 2 and about["chunk_size"] == 24
+    assert sorted((r["id"], r["error"]) for r in fetch_failures(raw).collect()) == [("4", "not found"), ("5", "StatusError: status 500")]
+
+
+def test_given_ids_alone_are_fetched(spark, api):
+    config = wiki_config(folder(), page_ids=("7", "8", "99"))
+    stats = run_from(spark, config, load_pages(spark, source=api, **options_of(config))).first()["stats"]
+    assert (stats["page_ids"], stats["pages_fetched"], stats["pages_fetch_failed"]) == (3, 2, 1)
+
+
+def test_filters_narrow_what_is_fetched(spark, api):
+    pages = load_pages(spark, "http://wiki", source=api)
+    assert [r["id"] for r in pages.where("id = '7'").collect()] == ["7"]
+    assert sorted(r["id"] for r in pages.where("id in ('7', '8')").where("error is null").collect()) == ["7", "8"]
+    given = load_pages(spark, "http://wiki", source=api, ids="5,7")
+    assert given.where("id = '1' and id = '2'").count() == 0 == given.where("id = '1'").count()
+    reader = ContentReader({"url": "http://x", "ids": "5"}, Client("http://x"))
+    from pyspark.sql.datasource import EqualTo
+
+    assert list(reader.pushFilters([EqualTo(("id",), "1"), EqualTo(("id",), "2")])) == [] and reader.given == []
+    assert reader.partitions()[0].ids == []
+
+
+def test_api_stream_deals_each_page_once():
+    reader = ContentStreamReader({"url": "http://x", "pagesize": "10", "idspertask": "4"}, Client("http://x", transport=wiki))
+    start, end = reader.initialOffset(), reader.latestOffset()
+    assert end == {"n": 25} and [x for p in reader.partitions(start, end) for x in p.ids] == list(PAGES)
+    reader.commit(end)
+    assert reader.latestOffset() == end and reader.partitions(end, end) == []
+    fresh = ContentStreamReader({"url": "http://x", "pagesize": "10"}, Client("http://x", transport=wiki))
+    assert [x for p in fresh.partitions({"n": 20}, {"n": 23}) for x in p.ids] == ["20", "21", "22"]
+
+
+def test_api_stream_runs(spark, api):
+    at = folder()
+    config = wiki_config(at + "/out")
+    counted = Counter()
+    sink = JsonSink(config)
+    query = start(stream_pages(spark, "http://wiki", source=api, pageSize="10"), "api", config, sink, at + "/checkpoint", counted)
+    query.awaitTermination(120)
+    assert query.exception() is None and counted["pages_processed"] == 23 == spark.read.text(f"{sink.path}/pages").count()
+
+
+def test_a_failed_write_is_counted_and_the_stream_goes_on(spark):
+    at = folder()
+    documents(spark).repartition(3).write.parquet(at + "/in")
+    config, counted = CONFIG.with_(output_dir=at + "/out"), Counter()
+    good = JsonSink(config)
+
+    class Failing:
+        path, totals = "x", Counter()
+
+        def write(self, chunks, pages, blocks, batch=0):
+            if batch == 1:
+                raise RuntimeError("disk full")
+            good.write(chunks, pages, blocks, batch)
+
+    query = start(page_stream(spark, at + "/in", "documents", 1), "documents", config, Failing(), at + "/checkpoint", counted)
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert counted["pages_processed"] == 6 and 0 < counted["pages_write_failed"] < 6
+    assert spark.read.text(f"{good.path}/pages").count() == 6 - counted["pages_write_failed"]
+
+
+def test_a_batch_rewrites_only_its_buckets(spark):
+    sink = TableSink(spark, folder() + "/t", buckets=8)
+    pages = text_pages(documents(spark, 20))
+    chunks = chunk_pages(pages, CONFIG).persist()
+    sink.write(chunks, pages)
+    before = sink.manifest()["folders"]
+    one = chunks.orderBy("chunk_id").limit(1)
+    changed = one.withColumn("normalized_text", F.lit("changed"))
+    sink.write(changed, pages)
+    after = sink.manifest()["folders"]
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert sink.read().count() == chunks.count()
+    key = one.first()["chunk_id"]
+    (row,) = sink.lookup(key).collect()
+    assert "changed" in row["payload"] and len(sink.lookup(key).inputFiles()) == 1 and sink.lookup("EDU:no:0-0").count() == 0
+    # the version before can still be read; older folders are gone
+    assert "changed" not in "".join(r["payload"] for r in sink.read(sink.versions()[0]).collect())
+    sink.write(changed, pages)
+    from pathlib import Path
+
+    folders = {f"{x.parent.name}/{x.name}" for x in Path(sink.path, "data").glob("*/bucket=*")}
+    assert folders == set(after.values()) | set(sink.manifest()["folders"].values())
+
+
+def test_command_line(spark, api, monkeypatch):
+    from chunkloom import __main__ as cli
+
+    assert cli.main({"CHUNKLOOM_CHUNK_SIZE": "0"}) == 1
+    at = folder()
+    raw = load_pages(spark, "http://wiki", source=api)
+    assert cli.main({"CHUNKLOOM_OUTPUT_DIR": at, "CHUNKLOOM_CHUNK_SIZE": "24"}, raw=raw) == 0
+    assert cli.main({"CHUNKLOOM_OUTPUT_DIR": at}, raw=raw.drop("json")) == 1
+
+
+def test_timers():
+    timers = Timers()
+    assert timers.end("x") is None is timers.elapsed("x")
+    with timers.measure("x"):
+        assert timers.elapsed("x") >= 0
+    timers.start("y")
+    timers.reset()
+    assert timers.elapsed("y") is None
+    with Timer() as t:
+        assert t.elapsed() >= 0
+    assert t.ms >= 0
