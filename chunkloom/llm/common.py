@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 #: The six ASCII white-space characters, as a regex class body (Java, RE2 and Python agree on it).
 WS = r"\x20\x09-\x0D"
-#: Rows times bytes a row that a side may have to be broadcast; larger sides are joined by a shuffle.
-BROADCAST_BYTES = 32 << 20
+#: Rows times bytes a row that a side may have to be broadcast; larger sides are joined by a shuffle.  Spark's table of
+#: such rows takes some four times as much.
+BROADCAST_BYTES = 8 << 20
 
 #: A key that more than this part of a side's rows share is joined apart from the others.
 HOT_PART = 1000
