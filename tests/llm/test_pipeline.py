@@ -102,7 +102,7 @@ def test_tables_of_earlier_stages_are_deleted(spark):
     from chunkloom.llm import common
 
     root = Path(common.scratch_root(spark).removeprefix("file:"))
-    before = set(root.iterdir())
+    before = set(root.glob("chunkloom-*"))
     packed = corpus_pipeline.run(spark, FOLDER)
-    left = {p.name.split("-")[1] for p in set(root.iterdir()) - before}
+    left = {p.name.split("-")[1] for p in set(root.glob("chunkloom-*")) - before}
     assert left == {"pipeline", "pack"} and packed.count() > 0
