@@ -19,6 +19,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.local.dir", scratch)
+        .config("spark.checkpoint.dir", f"file://{scratch}/shared")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .getOrCreate()
     )
