@@ -95,3 +95,62 @@ def test_empty_table(spark):
     empty = documents(spark, ["x"]).where(F.lit(False))
     assert chunk_pages(text_pages(empty), Config()).count() == 0
     assert chunk_pages(text_pages(empty), Config(chunk_overlap=8)).count() == 0
+
+
+def parts_by_hand(text, cap):
+    """Next-fit over sentences; a sentence too long for a part is cut into parts of words."""
+    from chunkloom.operators.overlap import sentences
+
+    out, held = [], []
+
+    def close(sep_units):
+        if sep_units:
+            out.append(" ".join(sep_units))
+
+    for s in sentences(text):
+        if simple_count(s) > cap:
+            close(held)
+            held, run = [], []
+            for w in regex.split(f"[{SPACE}]+", s):
+                if run and simple_count(" ".join([*run, w])) > cap:
+                    close(run)
+                    run = []
+                run.append(w)
+            close(run)
+        elif held and simple_count(" ".join([*held, s])) > cap:
+            close(held)
+            held = [s]
+        else:
+            held.append(s)
+    close(held)
+    return out
+
+
+def test_overlap_shows_as_much_as_fits(spark):
+    """Whole blocks of the neighbour from its near side as long as they fit, then as many parts of the next block as fit."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars < 4000")
+    rows = chunk_pages(text_pages(docs), Config(chunk_size=96, chunk_overlap=16)).orderBy("page_id", "chunk_no").collect()
+    cut_blocks = whole_blocks = 0
+    for a, b in zip(rows, rows[1:], strict=False):
+        if a["page_id"] != b["page_id"]:
+            continue
+        before = (a["highlight_metadata"]["core_fragments"][::-1], b["highlight_metadata"]["overlap_prev_fragments"][::-1], -1)
+        after = (b["highlight_metadata"]["core_fragments"], a["highlight_metadata"]["overlap_next_fragments"] or [], 1)
+        for core, shown, way in (before, after):
+            left, expected = 16, []
+            for c in core:
+                if left <= 0:
+                    break
+                n = simple_count(c["text"])
+                if n <= left:
+                    expected.append((c["block_index"], c["text"]))
+                    left, whole_blocks = left - n, whole_blocks + 1
+                    continue
+                near = parts_by_hand(c["text"], left)[::way]
+                fits = max(k for k in range(len(near) + 1) if sum(map(simple_count, near[:k])) <= left)
+                expected.append((c["block_index"], " ".join(near[:fits][::way]) or near[0][:200]))
+                cut_blocks += 1
+                break
+            if shown or way == 1:  # what comes before is left out for want of room
+                assert [(s["block_index"], s["text"]) for s in shown] == expected
+    assert whole_blocks > 100 and cut_blocks > 50
