@@ -51,14 +51,14 @@ SELECT doc_id::VARCHAR AS page_id, i::INT AS index, 'EDU:' || doc_id || '-' || i
 """
 
 
-def _word_runs(source: str, key: str, cap: int) -> str:
-    """Recursive next-fit over the words of ``source`` (key, t): rows (key, bin, words)."""
+def _word_runs(source: str, key: str, cap: object) -> str:
+    """Recursive next-fit over the words of ``source`` (key, t), ``cap`` a number or a column of it: rows (key, bin, words)."""
     return f"""
-ws AS (SELECT {key}, {_words('t')} AS w FROM {source}),
-wu AS (SELECT {key}, w, list_transform(w, lambda x: {_tokens('x')}) AS n FROM ws WHERE len(w) > 0),
+ws AS (SELECT {key}, {cap} AS cap, {_words('t')} AS w FROM {source}),
+wu AS (SELECT {key}, cap, w, list_transform(w, lambda x: {_tokens('x')}) AS n FROM ws WHERE len(w) > 0),
 wf AS (SELECT {key}, 1 AS i, 0 AS bin, n[1] AS used FROM wu
        UNION ALL
-       SELECT wf.{key}, i + 1, CASE WHEN used + wu.n[i + 1] > {cap} THEN bin + 1 ELSE bin END, CASE WHEN used + wu.n[i + 1] > {cap} THEN wu.n[i + 1] ELSE used + wu.n[i + 1] END
+       SELECT wf.{key}, i + 1, CASE WHEN used + wu.n[i + 1] > wu.cap THEN bin + 1 ELSE bin END, CASE WHEN used + wu.n[i + 1] > wu.cap THEN wu.n[i + 1] ELSE used + wu.n[i + 1] END
        FROM wf JOIN wu USING ({key}) WHERE i < len(wu.w)),
 wr AS (SELECT {key}, bin, string_agg(wu.w[i], ' ' ORDER BY i) AS words, sum(wu.n[i]) AS n FROM wf JOIN wu USING ({key}) GROUP BY {key}, bin)
 """
@@ -131,6 +131,53 @@ h AS (SELECT doc_id, chunk_no, 'EDU:' || doc_id || ':' || min(block_index) || '-
 """
 
 
+def _page_chunks(size: int) -> str:
+    """Chunks of the provided pages, whose only heading is one h1: room depends on the title's and the heading's tokens."""
+    return f"""
+{_BLOCKS},
+t AS ({_PAGES}),
+e AS (SELECT page_id, min(index) AS at, arg_min(text, index) AS head FROM z WHERE block_type = 'h1' GROUP BY page_id),
+d AS (SELECT z.page_id, z.index AS i, z.block_type, z.text AS raw, {_tokens('z.text')} AS lt, t.title, t.host, t.url, coalesce(z.index >= e.at, false) AS under, e.head,
+             '/body[1]/' || CASE WHEN ad THEN '' ELSE 'article[1]/' END || block_type || '[' || place || ']' AS xpath,
+             'body:nth-of-type(1) > ' || CASE WHEN ad THEN 'div.ad' ELSE 'article:nth-of-type(1) > ' || block_type || ':nth-of-type(' || place || ')' END AS css
+      FROM z JOIN t USING (page_id) LEFT JOIN e USING (page_id)),
+r0 AS (SELECT *, CASE WHEN title <> '' THEN {_tokens("'[PAGE] ' || title")} ELSE 0 END + CASE WHEN under THEN {_tokens("'[SECTION] ' || head")} ELSE 0 END AS tags FROM d),
+r1 AS (SELECT *, {size} - CASE WHEN tags > 0 THEN tags + 3 ELSE 0 END AS free FROM r0),
+r AS (SELECT *, CASE WHEN free > 0 THEN free ELSE greatest(10, {size // 4}) END AS cap, greatest(free, 10) AS block_cap FROM r1),
+s0 AS (SELECT *, CASE WHEN block_type = 'h1' THEN [raw] ELSE {_sentences('raw')} END AS s FROM r),
+s AS (SELECT row_number() OVER () AS sid, page_id, i, j, t, {_tokens('t')} AS n, block_type = 'h1' OR lt <= block_cap AS small, block_cap
+      FROM (SELECT page_id, i, block_type, lt, block_cap, unnest(s) AS t, generate_subscripts(s, 1) AS j FROM s0)),
+big AS (SELECT sid, t, block_cap FROM s WHERE NOT small AND n > block_cap),
+{_word_runs('big', 'sid', 'block_cap')},
+v AS (SELECT page_id, i, j, 0 AS bin, t, n, true AS whole FROM s WHERE small OR n <= block_cap UNION ALL SELECT page_id, i, j, bin, words, wr.n, false FROM s JOIN wr USING (sid)),
+o AS (SELECT page_id, i, list(n ORDER BY j, bin) AS n, list(whole ORDER BY j, bin) AS whole, list(t ORDER BY j, bin) AS t FROM v GROUP BY page_id, i),
+q AS (SELECT page_id, i, 1 AS k, 0 AS part, n[1] AS used, NOT whole[1] AS closed FROM o JOIN r USING (page_id, i) WHERE block_type <> 'h1' AND lt > block_cap
+      UNION ALL
+      SELECT q.page_id, q.i, k + 1,
+             CASE WHEN closed OR NOT o.whole[k + 1] OR used + o.n[k + 1] > r.block_cap THEN part + 1 ELSE part END,
+             CASE WHEN closed OR NOT o.whole[k + 1] OR used + o.n[k + 1] > r.block_cap THEN o.n[k + 1] ELSE used + o.n[k + 1] END, NOT o.whole[k + 1]
+      FROM q JOIN o USING (page_id, i) JOIN r USING (page_id, i) WHERE k < len(o.n)),
+b0 AS (SELECT o.page_id, o.i, q.k, q.part, o.t[q.k] AS t, o.n[q.k] AS n FROM q JOIN o USING (page_id, i)
+       UNION ALL SELECT page_id, i, unnest(range(1, len(n) + 1)) AS k, 0, unnest(t), unnest(n) FROM o JOIN r USING (page_id, i) WHERE block_type = 'h1' OR lt <= block_cap),
+units AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i, k) AS k, i, part, t, n::BIGINT AS n,
+             row_number() OVER (PARTITION BY page_id, i, part ORDER BY k) = 1 AS first, row_number() OVER (PARTITION BY page_id, i, part ORDER BY k DESC) = 1 AS last FROM b0),
+p AS (SELECT page_id, list(n ORDER BY k) AS n, list(cap ORDER BY k) AS caps FROM units JOIN r USING (page_id, i) GROUP BY page_id),
+f AS (SELECT page_id, 1 AS k, 0 AS chunk_no, n[1] AS used, caps[1] AS cap FROM p
+      UNION ALL
+      SELECT f.page_id, k + 1, CASE WHEN used + p.n[k + 1] > cap THEN chunk_no + 1 ELSE chunk_no END, CASE WHEN used + p.n[k + 1] > cap THEN p.n[k + 1] ELSE used + p.n[k + 1] END,
+             CASE WHEN used + p.n[k + 1] > cap THEN p.caps[k + 1] ELSE cap END
+      FROM f JOIN p USING (page_id) WHERE k < len(p.n)),
+g0 AS (SELECT page_id, chunk_no, i, part, min(k) AS k, CASE WHEN bool_or(first) AND bool_or(last) AND any_value(lt) = sum(n) THEN any_value(raw) ELSE string_agg(t, ' ' ORDER BY k) END AS text
+       FROM units JOIN f USING (page_id, k) JOIN r USING (page_id, i) GROUP BY page_id, chunk_no, i, part),
+g AS (SELECT page_id, chunk_no, i, k, text, row_number() OVER w - 1 AS block_index, coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS text_offset
+      FROM g0 WINDOW w AS (PARTITION BY page_id ORDER BY k)),
+h AS (SELECT page_id, chunk_no, 'EDU:' || page_id || ':' || min(block_index) || '-' || max(block_index) AS chunk_id, string_agg(block_index, ',' ORDER BY block_index) AS indices, min(i) AS i,
+             min(text_offset) AS text_offset, string_agg(text, ' ' ORDER BY block_index) AS text
+      FROM g GROUP BY page_id, chunk_no),
+c AS (SELECT h.*, title, host, url, xpath, css, CASE WHEN under THEN head ELSE '' END AS heads FROM h JOIN r USING (page_id, i))
+"""
+
+
 def _quote(x: str) -> str:
     return f"replace(url_encode({x}), '%2F', '/')"
 
@@ -186,6 +233,12 @@ d AS (SELECT doc_id, u, list_transform(u, lambda x: {_tokens('x')}) AS n FROM c)
 e AS (SELECT doc_id, u, greatest(1, len(list_filter(range(1, len(n) + 1), lambda i: list_sum(n[:i]) <= {FORCED_CAP}))) AS k FROM (SELECT doc_id, u, n[:20] AS n FROM d))
 SELECT doc_id, array_to_string(u[:k], ' ') AS prefix, md5(array_to_string(u[k + 1:], ' ')) AS rest_md5 FROM e""",
     "block_split_counts": f"WITH RECURSIVE {_parts(SIZE)} SELECT doc_id::VARCHAR AS page_id, count(*) AS splits FROM b WHERE first AND part > 0 GROUP BY doc_id",
+    "page_chunks": f"""WITH RECURSIVE {_page_chunks(SIZE)}
+SELECT chunk_id, page_id, host AS space_key, title AS page_title, 1::INT AS page_version, '' AS last_modified, indices AS block_indices, indices AS core_block_indices,
+'' AS overlap_prev_block_indices, '' AS overlap_next_block_indices, heads AS full_heading_hierarchy, heads AS text_heading_hierarchy, NULL::VARCHAR AS nearest_heading_id,
+text AS normalized_text, '' AS overlap_prev_text, '' AS overlap_next_text, text AS full_text,
+CASE WHEN title = '' AND heads = '' THEN text ELSE concat_ws(chr(10), CASE WHEN title <> '' THEN '[PAGE] ' || title END, CASE WHEN heads <> '' THEN '[SECTION] ' || heads END, '[TEXT] ' || text) END AS embedding_text,
+xpath AS xpath_start, css AS css_selector_start, text_offset::INT AS text_offset_start, length(text)::INT AS text_length, url || '#:~:text=' || {_quote(_trim('substr(text, 1, 80)'))} AS navigation_url, chunk_no::INT AS chunk_no FROM c""",
     "chunk_fragments": f"WITH RECURSIVE {_fragments(SIZE)} SELECT chunk_id, block_index::INT AS block_index, 'EDU:' || doc_id || '-' || block_index AS block_id, g.text_offset::INT AS text_offset, length(g.text)::INT AS text_length, g.text FROM g JOIN h USING (doc_id, chunk_no)",
     "chunk_payload_fields": f"""WITH RECURSIVE {_fragments(SIZE)} SELECT chunk_id, doc_id::VARCHAR AS page_id, 1::INT AS page_version, md5(text) AS text_md5, 'EDU:' || doc_id || '-' || first_index AS first_block,
 text_offset::INT AS text_offset, length(text)::INT AS text_length, NULL::VARCHAR AS nearest_heading_id FROM h""",
