@@ -17,6 +17,8 @@ from .common import Batches, remainder
 
 MODULUS, HELD_OUT = 3, 1
 BUCKETS = 1 << 15
+#: A larger model is refused, since each task holds it whole: 2,048 languages.
+MODEL_BYTES = 256 << 20
 STEPS = 100
 #: A further language must gain this much log-likelihood for each log unit of the trigrams' number.
 PENALTY = 4.0
@@ -101,8 +103,12 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int
     """Languages and their log-probabilities of buckets, from all rows of ``docs`` with a language.
 
     The model takes 4 * ``buckets`` bytes for each language: 128 KB, so 25 MB for the 200 or so languages that have corpora.
+    More languages than MODEL_BYTES holds raise: fewer ``buckets`` would change the model, so that is for the caller to choose.
     """
     rows_in = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null and text is not null")
+    n = rows_in.select("lang").distinct().count()
+    if 4 * n * buckets > MODEL_BYTES:
+        raise ValueError(f"a model of {n} languages with {buckets} buckets takes more than {MODEL_BYTES} bytes")
     def rows(batches: Batches):
         tables: dict[str, np.ndarray] = {}
         for batch in batches:

@@ -67,3 +67,12 @@ def test_ties_go_to_the_first_language(spark):
     rows = [(i, "same words in both", lang) for i, lang in enumerate(["b", "a", "c"])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r["lang_pred"] for r in language_id.predict(docs, language_id.train(docs)).collect()} == {"a"}
+
+
+def test_too_many_languages_raise(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 2 * 4 * language_id.BUCKETS)
+    rows = [(i, "some words", f"l{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="3 languages"):
+        language_id.train(docs)
+    assert len(language_id.train(docs, buckets=1 << 10)[0]) == 3
