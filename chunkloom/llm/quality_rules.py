@@ -46,8 +46,6 @@ RULES = (
     Rule("capitals", "capital_ratio", most=0.3),
     Rule("repeated_lines", "dup_line_ratio", most=0.5),
 )
-#: The rules that the base verdict consists of.
-BASE_RULES = ("enough_words", "repeated_words")
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
