@@ -13,13 +13,16 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import os
 import struct
 import uuid
 import warnings
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import BinaryIO
 
 import numpy as np
@@ -44,6 +47,8 @@ LEVEL = 3
 DICT_DOCS, DICT_CHARS, DICT_BYTES, DICT_LEAST = 2000, 4000, 64 << 10, 8
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 1_500_000
+#: Bytes of the texts whose words it learns at once.
+GROUP_TEXT = 1 << 20
 
 
 class WordEncoder:
@@ -60,7 +65,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.known: dict[bytes, bytes] = {}
-        self.by_word = self.drops_space()
+        self.by_word, self.lowers = self.drops_space(), self.lowers_case()
 
     def drops_space(self) -> bool:
         """Whether probes in which words meet in every way have the ids of their words."""
@@ -69,28 +74,35 @@ class WordEncoder:
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         return all(ids(p) == [i for w in p.split() for i in ids(w)] for p in probes)
 
+    def lowers_case(self) -> bool:
+        """Whether the tokenizer makes letters small before all but composing characters, so that A-Z may be small from the start."""
+        normalizer = json.loads(self.tokenizer.to_str()).get("normalizer") or {}
+        steps = normalizer.get("normalizers", [normalizer])
+        kinds = [s.get("type") for s in steps]
+        before = steps[: kinds.index("Lowercase")] if "Lowercase" in kinds else []
+        return "Lowercase" in kinds and all(s["type"] == "NFC" or s["type"] == "Replace" and s["pattern"] == {"Regex": "\\s+"} for s in before)
+
     def learn(self, words: list[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        kind = np.uint32 if self.wide else np.uint16
+        kind = "I" if self.wide else "H"
         for start in range(0, len(words), 20_000):
             part = words[start : start + 20_000]
             for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, kind).tobytes()
+                self.known[word] = array(kind, e.ids).tobytes()
 
-    def encode(self, data: bytes, end: bytes) -> bytes:
-        """The serialized ids and the end id."""
+    def encode(self, group: list[bytes], end: bytes) -> Iterator[bytes]:
+        """The serialized ids of each text and the end id; the words of all of them are learned at once."""
         if not self.by_word:
-            return np.array(self.tokenizer.encode(data.decode(), add_special_tokens=False).ids, np.uint32 if self.wide else np.uint16).tobytes() + end
-        words = data.split()
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            self.learn(new)
-        try:
-            return b"".join(map(self.known.__getitem__, words)) + end
-        except KeyError:  # learning has cleared words of this text
-            self.learn([w for w in set(words) if w not in self.known])
-        return b"".join(map(self.known.__getitem__, words)) + end
+            kind = "I" if self.wide else "H"
+            for data in group:
+                yield array(kind, self.tokenizer.encode(data.decode(), add_special_tokens=False).ids).tobytes() + end
+            return
+        split = [(data.lower() if self.lowers else data).split() for data in group]  # bytes.lower() maps A-Z alone
+        words = set(chain.from_iterable(split))
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        self.learn(list(words.difference(self.known)))
+        for words in split:
+            yield b"".join(map(self.known.__getitem__, words)) + end
 
 
 @lru_cache(maxsize=2)
@@ -103,8 +115,14 @@ def encode_all(batch_texts: list[bytes | None], path: str, end_id: int = END_ID)
     tool = encoder(path)
     width = 4 if tool.wide else 2
     end = end_id.to_bytes(width, "little")
+    group, size = [], 0
     for data in batch_texts:
-        yield tool.encode(data or b"", end), width
+        group.append(data or b"")
+        size += len(group[-1])
+        if size >= GROUP_TEXT:
+            yield from ((ids, width) for ids in tool.encode(group, end))
+            group, size = [], 0
+    yield from ((ids, width) for ids in tool.encode(group, end))
 
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
