@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, simhash, token_files, url_filters
+from . import exact_dedup, fill_middle, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, simhash, token_files, url_filters
 from .common import documents, pages
 
 
@@ -54,12 +54,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("n_chars")
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.restore(fill_middle.transform(documents(spark, sf_dir)))
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha("output").alias("output_sha256"), sha("text").alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_language_id, op4_url_filters, op5_simhash, op6_license_scan, op7_token_files, op8_mixing, op9_packing, op10_exact_dedup)
+    f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_language_id, op4_url_filters, op5_simhash, op6_license_scan, op7_token_files, op8_mixing, op9_packing, op10_exact_dedup, op12_fill_middle)
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op4_url_filters": url_filters.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op12_fill_middle": fill_middle.ORACLE_SQL,
 }
