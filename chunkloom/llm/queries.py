@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fill_middle, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, simhash, token_files, url_filters
+from . import bpe, exact_dedup, fill_middle, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, simhash, token_files, url_filters
 from .common import documents, pages
 
 
@@ -54,6 +54,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("n_chars")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    there_and_back = bpe.decode(bpe.encode(documents(spark, sf_dir)))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return there_and_back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha(ids).alias("ids_sha256"), sha(F.col("decoded")).alias("decoded_sha256"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.restore(fill_middle.transform(documents(spark, sf_dir)))
     sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
@@ -61,7 +68,7 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_language_id, op4_url_filters, op5_simhash, op6_license_scan, op7_token_files, op8_mixing, op9_packing, op10_exact_dedup, op12_fill_middle)
+    f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_language_id, op4_url_filters, op5_simhash, op6_license_scan, op7_token_files, op8_mixing, op9_packing, op10_exact_dedup, op11_bpe, op12_fill_middle)
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
