@@ -109,6 +109,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def utf8(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary()).cast(pa.string())
 

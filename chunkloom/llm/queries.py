@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fill_middle, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, simhash, token_files, url_filters
-from .common import documents, pages
+from . import bpe, exact_dedup, fill_middle, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, simhash, token_files, url_filters, whitening
+from .common import documents, embeddings, pages
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +67,12 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha("output").alias("output_sha256"), sha("text").alias("restored_sha256"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_language_id, op4_url_filters, op5_simhash, op6_license_scan, op7_token_files, op8_mixing, op9_packing, op10_exact_dedup, op11_bpe, op12_fill_middle)
+    f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_language_id, op4_url_filters, op5_simhash, op6_license_scan, op7_token_files, op8_mixing, op9_packing, op10_exact_dedup, op11_bpe, op12_fill_middle, op13_whitening)
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
