@@ -6,7 +6,8 @@ it, u8 bytes an id takes), then the frames.  A reader finds one document by its
 
 Shards are cells of a Parquet table in the shared folder (part, shard, first_id, last_id, docs, ids, data): Spark's writer commits
 them, whatever store the folder is in, so a lost executor or a task run twice leaves no stray file.  A cell is small, and ids
-ascend, so the table's statistics leave a single document's cell to read.  ``export`` writes the cells as files of their own.
+ascend, so the table's statistics leave a single document's cell to read.  The dictionary is a table of one row beside them, found by
+the hash that every shard holds.  ``export`` writes the cells as files of their own.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import math
 import os
+import re
 import struct
-import uuid
 import warnings
 import zlib
 from array import array
@@ -42,11 +44,15 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Bytes of frames in a shard, and in a row group of the table of shards, about.
 SHARD_BYTES, GROUP_BYTES = 1 << 20, 4 << 20
+#: Bytes of texts that a writing task is given, about.
+TASK_BYTES = 64 << 20
 LEVEL = 3
 #: The dictionary is fitted on about this many documents, of at most so many code points each; every document is compressed with it.
 DICT_DOCS, DICT_CHARS, DICT_BYTES, DICT_LEAST = 2000, 4000, 64 << 10, 8
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 1_500_000
+#: A-Z before the first byte of a character that may be a mark to be composed with it.
+MARKED = re.compile(rb"[A-Z](?:[\xcc\xcd\xd2\xd6-\xe1\xe3-\xf4]|\xe2\x83)")
 #: Bytes of the texts whose words it learns at once.
 GROUP_TEXT = 1 << 20
 
@@ -65,7 +71,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.known: dict[bytes, bytes] = {}
-        self.by_word, self.lowers = self.drops_space(), self.lowers_case()
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.encode().lower() for t in added]
+        spaceless = all(not (t.lstrip or t.rstrip) and len(t.content.split()) == 1 for t in added)
+        self.by_word, self.lowers = spaceless and self.drops_space(), self.lowers_case()
 
     def drops_space(self) -> bool:
         """Whether probes in which words meet in every way have the ids of their words."""
@@ -82,6 +91,19 @@ class WordEncoder:
         before = steps[: kinds.index("Lowercase")] if "Lowercase" in kinds else []
         return "Lowercase" in kinds and all(s["type"] == "NFC" or s["type"] == "Replace" and s["pattern"] == {"Regex": "\\s+"} for s in before)
 
+    def words(self, data: bytes) -> list[bytes]:
+        """The words of a text, with A-Z made small if that changes no id.
+
+        It would where an added token stands in other letters, since those are looked for before letters are made small, and where a mark
+        that is composed with its letter follows, since not every large letter has the composed form that its small one has.
+        """
+        if not self.lowers:
+            return data.split()
+        low = data.lower()  # bytes.lower() maps A-Z alone
+        if any(t in low for t in self.added) or not data.isascii() and MARKED.search(data):
+            return data.split()
+        return low.split()
+
     def learn(self, words: list[bytes]) -> None:
         kind = "I" if self.wide else "H"
         for start in range(0, len(words), 20_000):
@@ -96,7 +118,7 @@ class WordEncoder:
             for data in group:
                 yield array(kind, self.tokenizer.encode(data.decode(), add_special_tokens=False).ids).tobytes() + end
             return
-        split = [(data.lower() if self.lowers else data).split() for data in group]  # bytes.lower() maps A-Z alone
+        split = [self.words(data) for data in group]
         words = set(chain.from_iterable(split))
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
@@ -125,13 +147,12 @@ def encode_all(batch_texts: list[bytes | None], path: str, end_id: int = END_ID)
     yield from ((ids, width) for ids in tool.encode(group, end))
 
 
-def train_dictionary(docs: DataFrame, path: str) -> bytes:
-    """A dictionary for short documents, fitted on a bounded sample of serialized id arrays.
+def train_dictionary(docs: DataFrame, path: str, n: int) -> bytes:
+    """A dictionary for short documents, fitted on a bounded sample of the serialized id arrays of ``n`` documents.
 
     zstandard cannot fit one to a handful of samples: with fewer than DICT_LEAST of them, or where it
     refuses, there is none, with a warning, and the frames stand without it.
     """
-    n = docs.count()
     limit = 1 << 30
     chosen = docs.where((F.length("text") <= DICT_CHARS) & (F.pmod(F.xxhash64("doc_id"), F.lit(limit)) < int(limit * min(1.0, DICT_DOCS / max(n, 1)))))
 
@@ -191,17 +212,19 @@ class ShardReader:
         return [self.ids(nulls + i) for i in range(int(np.searchsorted(known, doc_id)), int(np.searchsorted(known, doc_id, "right")))]
 
 
-def write_shards(docs: DataFrame, where: str, tokenizer: str = TOKENIZER) -> bytes:
-    """Write all of ``docs`` (doc_id, text) as shards under ``where``, ascending by doc_id, and return the dictionary.
+def write_shards(docs: DataFrame, where: str, tokenizer: str = TOKENIZER) -> None:
+    """Write all of ``docs`` (doc_id, text) as shards in ``where``/shards, ascending by doc_id, and their dictionary in ``where``/dictionary.
 
-    Rows are range-partitioned by doc_id (null first) and, where many share one, by a hash of the text; each task writes its
-    shards one after the other and holds one.
+    Rows are range-partitioned by doc_id (null first) and, where many share one, by a hash of the text, into as many tasks as their bytes ask for; each
+    task writes its shards one after the other and holds one.
     """
-    path = public_tokenizers.path(tokenizer)
+    path, spark = public_tokenizers.path(tokenizer), docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dictionary = train_dictionary(docs, path)
+    about = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
+    dictionary = train_dictionary(docs, path, about["n"])
     digest = hashlib.sha256(dictionary).digest()
-    shared = docs.sparkSession.sparkContext.broadcast(dictionary)
+    spark.createDataFrame([(digest.hex(), dictionary)], "sha256 string, data binary").coalesce(1).write.parquet(f"{where}/dictionary")
+    shared = spark.sparkContext.broadcast(dictionary)  # at most DICT_BYTES
 
     def rows(batches: Batches):
         part, shard = TaskContext.get().partitionId(), 0
@@ -237,52 +260,52 @@ def write_shards(docs: DataFrame, where: str, tokenizer: str = TOKENIZER) -> byt
         if entries:
             yield flush()
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((about["bytes"] or 0) / TASK_BYTES))
     order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     ordered = docs.repartitionByRange(n, *order).sortWithinPartitions(*order)
     cells = ordered.mapInArrow(rows, "part int, shard int, first_id long, last_id long, docs long, ids long, data binary")
-    cells.write.option("compression", "none").option("parquet.block.size", GROUP_BYTES).parquet(where)
-    return dictionary
+    cells.write.option("compression", "none").option("parquet.block.size", GROUP_BYTES).parquet(f"{where}/shards")
+
+
+def read_dictionary(spark: SparkSession, where: str) -> bytes:
+    """The dictionary of the shards in ``where``."""
+    row = spark.read.parquet(f"{where}/dictionary").first()
+    data = bytes(row["data"])
+    if hashlib.sha256(data).hexdigest() != row["sha256"]:
+        raise ValueError("the dictionary is damaged")
+    return data
 
 
-def read_document(where: str, dictionary: bytes, spark: SparkSession, doc_id: int) -> list[np.ndarray]:
+def read_document(where: str, spark: SparkSession, doc_id: int) -> list[np.ndarray]:
     """The ids of each document of one id.  The filter reaches the scan, whose statistics skip all row groups but those with the id."""
-    cells = spark.read.parquet(where).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("part", "shard").select("data")
+    cells = spark.read.parquet(f"{where}/shards").where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("part", "shard").select("data")
+    dictionary = read_dictionary(spark, where)
     return [ids for cell in cells.toLocalIterator() for ids in ShardReader(io.BytesIO(cell["data"]), dictionary).documents(doc_id)]
 
 
 def export(where: str, folder: str, spark: SparkSession) -> DataFrame:
-    """Write each shard as a file of its own in ``folder``, which all executors must see; returns (part, shard, path).
+    """Write each shard as a file of its own below ``folder``, the dictionary too; returns (part, shard, path) of the shards.
 
-    A file gets its name when it is whole, and a task that runs again writes the same bytes under the same name.
+    Spark's text writer writes and commits the files, so any store that it can write to will do, and tasks that run again
+    leave one file each.  It ends a file with a line end, which no reader comes to, since the index knows where frames end.
     """
-
-    def rows(batches: Batches):
-        os.makedirs(folder, exist_ok=True)
-        for batch in batches:
-            paths = []
-            for part, shard, data in zip(*(batch.column(c).to_pylist() for c in ("part", "shard", "data")), strict=True):
-                path = f"{folder}/tokens-{part:06d}-{shard:06d}.cltk"
-                unfinished = f"{path}.{uuid.uuid4().hex}"
-                with open(unfinished, "wb") as file:
-                    file.write(data)
-                os.replace(unfinished, path)
-                paths.append(path)
-            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("shard"), pa.array(paths, pa.string())], names=["part", "shard", "path"])
-
-    return materialize(spark.read.parquet(where).select("part", "shard", "data").mapInArrow(rows, "part int, shard int, path string"), "token-paths")
+    cells = spark.read.parquet(f"{where}/shards").select("part", "shard", F.col("data").cast("string").alias("value"))  # the same bytes
+    cells.write.mode("overwrite").partitionBy("part", "shard").text(f"{folder}/shards")
+    held = spark.read.parquet(f"{where}/dictionary").select("sha256", F.col("data").cast("string").alias("value"))
+    held.write.mode("overwrite").partitionBy("sha256").text(f"{folder}/dictionary")
+    return spark.read.format("binaryFile").load(f"{folder}/shards").select(F.col("part").cast("int").alias("part"), F.col("shard").cast("int").alias("shard"), "path")
 
 
-def read_shards(docs_at: str, dictionary: bytes, spark: SparkSession, with_ids: bool = True) -> DataFrame:
+def read_shards(where: str, spark: SparkSession, with_ids: bool = True) -> DataFrame:
     """One row per document, from the shards alone: doc_id, start, n_tokens, ids_crc32 and (with_ids) the ids themselves."""
-    shards = spark.read.parquet(docs_at)
+    shards = spark.read.parquet(f"{where}/shards")
     sums = shards.groupBy("part").agg(F.sum("ids").alias("ids")).orderBy("part").toPandas()  # a row for each writing task
     starts = np.concatenate([[0], np.cumsum(sums["ids"].to_numpy(np.int64))])[:-1] if len(sums) else np.zeros(0, np.int64)
     first = spark.createDataFrame([(int(p), int(s)) for p, s in zip(sums["part"], starts, strict=True)], "part int, part_start long")
     before = F.coalesce(F.sum("ids").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = shards.select("part", "shard", before.alias("shard_start")).join(small_side(first, len(sums), 16), "part").select("part", "shard", (F.col("shard_start") + F.col("part_start")).alias("start"))
     placed = materialize(placed, "token-starts")
-    shared = spark.sparkContext.broadcast(dictionary)
+    shared = spark.sparkContext.broadcast(read_dictionary(spark, where))
 
     def rows(batches: Batches):
         for batch in batches:
@@ -312,5 +335,5 @@ def encoded(docs: DataFrame, tokenizer: str = TOKENIZER, with_ids: bool = True)
     first.  Texts of any length are encoded whole.  Other columns of ``docs`` are not looked at.  An empty table gives an empty result.
     """
     where = scratch_path(docs.sparkSession, "token-shards")
-    dictionary = write_shards(docs, where, tokenizer)
-    return read_shards(where, dictionary, docs.sparkSession, with_ids)
+    write_shards(docs, where, tokenizer)
+    return read_shards(where, docs.sparkSession, with_ids)
