@@ -91,7 +91,9 @@ def naive(word, v):
     return s
 
 
-def test_the_index_against_one_word_at_a_time(tool):
+@pytest.mark.parametrize("many", [1, 10**9])
+def test_the_index_against_one_word_at_a_time(tool, monkeypatch, many):
+    monkeypatch.setattr(bpe, "MANY", many)
     rng = random.Random(3)
     words = [bytes(rng.choices(b"aaabet nors\xc3\xa9", k=rng.randint(1, 25))) for _ in range(3000)]
     assert [np.frombuffer(x, np.int32).tolist() for x in tool.vocabulary.encode_words(words)] == [naive(w, tool.vocabulary) for w in words]
