@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from typing import TypeVar
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +24,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+Made = TypeVar("Made")
+
+
+def built_once(make: Callable[..., Made]) -> Callable[..., Made]:
+    """``make``, whose Columns are built once for each choice of arguments.
+
+    A large expression is thousands of calls to the JVM, some seconds; it names columns and holds no data, so every plan can share it.
+    """
+    held: dict[tuple, Made] = {}
+
+    @wraps(make)
+    def get(*args) -> Made:
+        key = (id(SparkContext._gateway), *args)
+        if key not in held:
+            held[key] = make(*args)
+        return held[key]
+
+    return get
+
+
+def quoted(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def trim_space(text: Column) -> Column:
     return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import block_id, let
+from ..functions.text import block_id, built_once, let
 
 
 #: Numbers that ``prefix_sums`` adds up in one fold; three layers of such runs hold 16 million.
@@ -27,6 +27,10 @@ def prefix_sums(values: Column, layers: int = 3) -> Column:
         return F.aggregate(values, start, lambda acc, n: F.struct((acc["sum"] + n).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")), lambda acc: acc["out"])
 
     def over(v: Column) -> Column:
+        # most arrays are one run
+        return F.when(F.size(v) <= RUN, prefix_sums(v, 1)).otherwise(in_runs(v))
+
+    def in_runs(v: Column) -> Column:
         starts = F.when(F.size(v) > 0, F.sequence(F.lit(0), F.size(v) - 1, F.lit(RUN))).otherwise(F.expr("cast(array() as array<int>)"))
         runs = F.transform(starts, lambda s: prefix_sums(F.slice(v, s + 1, RUN), 1))
         totals = F.transform(starts, lambda s: F.aggregate(F.slice(v, s + 1, RUN), F.lit(0).cast("long"), lambda acc, n: acc + n))
@@ -48,12 +52,33 @@ def headings(pieces: Column) -> Column:
         lambda h: h["level"].isNotNull(),
     )
 
-    def climb(heads: Column, k: Column) -> Column:
-        start = F.struct(F.lit(7).alias("level"), F.expr("cast(array() as array<string>)").alias("texts"))
-        up = lambda acc, h: F.when(h["level"] < acc["level"], F.struct(h["level"].alias("level"), F.concat(acc["texts"], F.array(h["text"])).alias("texts"))).otherwise(acc)
-        return F.aggregate(F.reverse(F.slice(heads, 1, k + 1)), start, up, lambda acc: acc["texts"])
+    # one fold over the headings: the last one of each level that no later one of a lower level has closed, nearest first
+    def step(acc: Column, h: Column) -> Column:
+        open_ = F.concat(F.array(h), F.filter(acc["open"], lambda x: x["level"] < h["level"]))
+        texts = F.transform(open_, lambda x: x["text"])
+        return F.struct(open_.alias("open"), F.concat(acc["out"], F.array(texts)).alias("out"))
+
+    def run(heads: Column, before: Column) -> Column:
+        """The open headings after each of a run, which ``before`` are open at its start."""
+        start = F.struct(before.alias("open"), F.expr("cast(array() as array<array<string>>)").alias("out"))
+        return F.aggregate(heads, start, step)
+
+    def after(heads: Column, before: Column) -> Column:
+        return F.aggregate(heads, before, lambda acc, h: F.concat(F.array(h), F.filter(acc, lambda x: x["level"] < h["level"])))
 
-    return let(marked, lambda heads: F.transform(heads, lambda h, k: F.struct(h["at"].alias("at"), h["html_id"].alias("html_id"), climb(heads, k).alias("hierarchy"))))
+    def hierarchies(heads: Column) -> Column:
+        # a fold that grows an array copies it at every step, so it grows in runs, and only what is open is carried from run to run
+        starts = F.when(F.size(heads) > 0, F.sequence(F.lit(0), F.size(heads) - 1, F.lit(RUN))).otherwise(F.expr("cast(array() as array<int>)"))
+        none = F.slice(heads, 1, F.lit(0))
+        opened = F.aggregate(
+            starts,
+            F.struct(none.alias("open"), F.slice(F.array(none), 1, F.lit(0)).alias("out")),
+            lambda acc, s: F.struct(after(F.slice(heads, s + 1, RUN), acc["open"]).alias("open"), F.concat(acc["out"], F.array(acc["open"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+        return let(opened, lambda o: F.flatten(F.transform(starts, lambda s, k: run(F.slice(heads, s + 1, RUN), F.get(o, k))["out"])))
+
+    return let(marked, lambda heads: let(hierarchies(heads), lambda texts: F.transform(heads, lambda h, k: F.struct(h["at"].alias("at"), h["html_id"].alias("html_id"), F.get(texts, k).alias("hierarchy")))))
 
 
 def headings_before(pieces: Column) -> Column:
@@ -61,8 +86,9 @@ def headings_before(pieces: Column) -> Column:
     return prefix_sums(F.transform(pieces, lambda p: heading_level(p["block_type"]).isNotNull().cast("long")))
 
 
-def page_blocks(pages: DataFrame) -> DataFrame:
-    """One row per block of ``pages`` (id, pieces): index, id, block_type, text, paths, text_offset, text_length, parent_heading_id, html_id."""
+@built_once
+def _placed_pieces() -> Column:
+    """Each piece with its offset and the place of its parent; not the arrays of the page, which would be copied into each block's row."""
     offsets = prefix_sums(F.transform("pieces", lambda p: (F.length(p["text"]) + 1).cast("long")))
     heads = F.filter(F.transform("pieces", lambda p, i: F.when(heading_level(p["block_type"]).isNotNull(), i)), lambda i: i.isNotNull())
 
@@ -70,9 +96,12 @@ def page_blocks(pages: DataFrame) -> DataFrame:
         # the last heading before a block is its parent, whatever its level
         return F.transform("pieces", lambda p, i: F.struct(p.alias("p"), F.get(offset, i).cast("int").alias("offset"), F.get(head, (F.get(before, i) - 1).cast("int")).alias("parent")))
 
-    # a block's row holds its own numbers only: arrays of the page would be copied into each
-    each = let(offsets, lambda offset: let(headings_before(F.col("pieces")), lambda before: let(heads, lambda head: placed(offset, before, head))))
-    rows = pages.select(F.col("id").alias("page_id"), F.posexplode(each).alias("index", "b"))
+    return let(offsets, lambda offset: let(headings_before(F.col("pieces")), lambda before: let(heads, lambda head: placed(offset, before, head))))
+
+
+def page_blocks(pages: DataFrame) -> DataFrame:
+    """One row per block of ``pages`` (id, pieces): index, id, block_type, text, paths, text_offset, text_length, parent_heading_id, html_id."""
+    rows = pages.select(F.col("id").alias("page_id"), F.posexplode(_placed_pieces()).alias("index", "b"))
     return rows.select(
         "page_id",
         "index",

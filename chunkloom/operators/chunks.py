@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.bins import bin_starts, cut_at, part_starts, split_units
-from ..functions.text import block_id, chunk_id, count_tokens, embedding_text, let, navigation_url, sentences, tag_tokens, trim_space
+from ..functions.text import block_id, built_once, chunk_id, count_tokens, embedding_text, let, navigation_url, sentences, tag_tokens, trim_space
 from ..schema import FRAGMENT
 from .blocks import heading_level, headings, headings_before, prefix_sums
 
@@ -42,29 +42,29 @@ def rooms(title: Column, heads: Column, config: Config) -> Column:
 
 
 def units(pieces: Column, room: Column) -> Column:
-    """Sentences of all blocks in order: structs (p, part, t, n, cap, first, last, under).
+    """Sentences of all blocks in order: structs (p, part, t, n, cap, first, last, under, total).
 
     ``p`` is the piece, ``part`` the block that an oversized piece was cut into; first and last tell a block's ends; ``under`` is the
-    place in ``room`` of the heading that the piece stands under.
+    place in ``room`` of the heading that the piece stands under, and ``total`` the whole piece's tokens.
     Headings are never cut, nor is any sentence that its block's room can hold.
     """
 
-    def block(run: Column, i: Column, part: Column, cap: Column, under: Column) -> Column:
+    def block(run: Column, i: Column, part: Column, cap: Column, under: Column, total: Column) -> Column:
         return F.transform(
             run,
             lambda u, k: F.struct(
-                i.alias("p"), part.alias("part"), u["t"].alias("t"), u["n"].alias("n"), cap.alias("cap"), (k == 0).alias("first"), (k == F.size(run) - 1).alias("last"), under.alias("under")
+                i.alias("p"), part.alias("part"), u["t"].alias("t"), u["n"].alias("n"), cap.alias("cap"), (k == 0).alias("first"), (k == F.size(run) - 1).alias("last"), under.alias("under"), total.alias("total")
             ),
         )
 
     def whole(text: Column, n: Column, i: Column, heading: Column, r: Column, under: Column) -> Column:
         one = F.array(F.struct(trim_space(text).alias("t"), n.alias("n")))
         cut = F.transform(sentences(text), lambda s: F.struct(s.alias("t"), count_tokens(s).alias("n")))
-        return let(F.when(heading, one).otherwise(cut), lambda run: block(run, i, F.lit(0), r["cap"], under))
+        return let(F.when(heading, one).otherwise(cut), lambda run: block(run, i, F.lit(0), r["cap"], under, n))
 
-    def parts(text: Column, i: Column, r: Column, under: Column) -> Column:
+    def parts(text: Column, n: Column, i: Column, r: Column, under: Column) -> Column:
         cap = r["block_cap"]
-        return let(split_units(text, cap), lambda u: let(part_starts(u, cap), lambda s: F.flatten(F.transform(cut_at(u, s), lambda run, k: block(run, i, k, r["cap"], under)))))
+        return let(split_units(text, cap), lambda u: let(part_starts(u, cap), lambda s: F.flatten(F.transform(cut_at(u, s), lambda run, k: block(run, i, k, r["cap"], under, n)))))
 
     def of(p: Column, i: Column, before: Column) -> Column:
         heading = heading_level(p["block_type"]).isNotNull()
@@ -72,7 +72,7 @@ def units(pieces: Column, room: Column) -> Column:
         place = (F.get(before, i) + heading.cast("long")).cast("int")
         return let(
             F.struct(F.get(room, place).alias("r"), count_tokens(p["text"]).alias("n"), place.alias("under")),
-            lambda x: F.when(heading | (x["n"] <= x["r"]["block_cap"]), whole(p["text"], x["n"], i, heading, x["r"], x["under"])).otherwise(parts(p["text"], i, x["r"], x["under"])),
+            lambda x: F.when(heading | (x["n"] <= x["r"]["block_cap"]), whole(p["text"], x["n"], i, heading, x["r"], x["under"])).otherwise(parts(p["text"], x["n"], i, x["r"], x["under"])),
         )
 
     return let(headings_before(pieces), lambda before: F.flatten(F.transform(pieces, lambda p, i: of(p, i, before))))
@@ -87,7 +87,7 @@ def parts_of(run: Column, pieces: Column) -> Column:
         complete = F.get(own, F.lit(0))["first"] & F.element_at(own, -1)["last"]
         n = F.aggregate(own, F.lit(0).cast("long"), lambda acc, u: acc + u["n"])
         # a block that is whole keeps its inner white space; a cut one is joined from its sentences
-        return F.when(complete & (count_tokens(raw) == n), raw).otherwise(joined)
+        return F.when(complete & (F.get(own, F.lit(0))["total"] == n), raw).otherwise(joined)
 
     def of(b: Column) -> Column:
         own = F.filter(run, lambda u: (u["p"] == b["p"]) & (u["part"] == b["part"]))
@@ -112,24 +112,42 @@ def page_rows(pages: DataFrame) -> DataFrame:
     return given.where(F.size("pieces") > 0)
 
 
-def packed(rows: DataFrame, config: Config) -> DataFrame:
-    """``rows`` with ``held`` in place of ``pieces``."""
-    roomy = rows.withColumn("room", rooms(F.col("title"), headings(F.col("pieces")), config))
-    split = roomy.withColumn("units", units(F.col("pieces"), F.col("room")))
-    runs = split.withColumn("runs", let(F.col("units"), lambda u: let(bin_starts(u), lambda s: cut_at(u, s))))
+@built_once
+def _room_column(config: Config) -> Column:
+    return rooms(F.col("title"), headings(F.col("pieces")), config)
+
+
+@built_once
+def _unit_column() -> Column:
+    return units(F.col("pieces"), F.col("room"))
+
+
+@built_once
+def _held_column() -> tuple[Column, Column]:
+    """The runs of units that chunks are, and from these what a chunk holds."""
 
     def chunk(run: Column) -> Column:
         under = F.get(F.col("room"), F.get(run, F.lit(0))["under"])
         none = F.expr("cast(array() as array<struct<k:int,text:string>>)")
         return let(under, lambda r: F.struct(r["html_id"].alias("html_id"), r["hierarchy"].alias("hierarchy"), parts_of(run, F.col("pieces")).alias("f"), none.alias("prev"), none.alias("next")))
 
-    return runs.select(*PAGE_COLUMNS, F.transform("runs", chunk).alias("held"))
+    return let(F.col("units"), lambda u: let(bin_starts(u), lambda s: cut_at(u, s))), F.transform("runs", chunk)
+
+
+def with_units(rows: DataFrame, config: Config) -> DataFrame:
+    """``rows`` with ``room`` and ``units``, the sentences of all blocks in order."""
+    return rows.withColumn("room", _room_column(config)).withColumn("units", _unit_column())
+
+
+def packed(rows: DataFrame, config: Config) -> DataFrame:
+    """``rows`` with ``held`` in place of ``pieces``."""
+    runs, held = _held_column()
+    return with_units(rows, config).withColumn("runs", runs).select(*PAGE_COLUMNS, held.alias("held"))
 
 
 def block_splits(pages: DataFrame, config: Config) -> DataFrame:
     """(page_id, splits): how many blocks more each of ``pages`` has because some are too long for a chunk."""
-    rows = page_rows(pages)
-    split = rows.select("page_id", units(F.col("pieces"), rooms(F.col("title"), headings(F.col("pieces")), config)).alias("units"))
+    split = with_units(page_rows(pages), config)
     return split.select("page_id", F.size(F.filter("units", lambda u: u["first"] & (u["part"] > 0))).cast("long").alias("splits"))
 
 
@@ -146,8 +164,9 @@ def chunk_pages(pages: DataFrame, config: Config) -> DataFrame:
     return unfold(packed(rows, config), config)
 
 
-def unfold(held: DataFrame, config: Config) -> DataFrame:
-    """Number the parts of a page's chunks, and give each chunk a row."""
+@built_once
+def _numbered_columns() -> tuple[Column, Column]:
+    """The numbered parts of a page's chunks, and from these the chunks with what they show of their neighbours."""
     lengths = F.transform("held", lambda c: F.aggregate(c["f"], F.lit(0), lambda n, f: n + F.length(f["text"]) + 1))
     sizes = F.transform("held", lambda c: F.size(c["f"]))
 
@@ -168,13 +187,18 @@ def unfold(held: DataFrame, config: Config) -> DataFrame:
         prefix_sums(sizes),
         lambda first: let(prefix_sums(lengths), lambda offset: F.transform("held", lambda c, i: F.transform(c["f"], lambda f, k: fragment(c, f, k, F.get(first, i), F.get(offset, i)).cast(FRAGMENT)))),
     )
-    numbered = held.withColumn("cores", cores)
     shown = lambda of, i: F.transform(of, lambda x: F.get(F.get(F.col("cores"), i), x["k"]).withField("text", x["text"]))
     chunks = F.transform(
         "held",
         lambda c, i: F.struct(c["html_id"].alias("html_id"), c["hierarchy"].alias("hierarchy"), F.get(F.col("cores"), i).alias("core"), shown(c["prev"], i - 1).alias("prev"), shown(c["next"], i + 1).alias("next")),
     )
-    exploded = numbered.select(*PAGE_COLUMNS, F.posexplode(chunks).alias("chunk_no", "c"))
+    return cores, chunks
+
+
+def unfold(held: DataFrame, config: Config) -> DataFrame:
+    """Number the parts of a page's chunks, and give each chunk a row."""
+    cores, chunks = _numbered_columns()
+    exploded = held.withColumn("cores", cores).select(*PAGE_COLUMNS, F.posexplode(chunks).alias("chunk_no", "c"))
     joined = lambda of: F.array_join(F.transform(of, lambda f: f["text"]), " ")
     opened = exploded.select(*PAGE_COLUMNS, "chunk_no", "c", joined("c.core").alias("text"), joined("c.prev").alias("before"), joined("c.next").alias("after"), F.slice("c.hierarchy", 1, config.max_heading_levels).alias("shown"))
     whole = F.array_join(F.filter(F.array("before", "text", "after"), lambda t: t != ""), " ")
@@ -183,6 +207,11 @@ def unfold(held: DataFrame, config: Config) -> DataFrame:
 
 def finish(opened: DataFrame, config: Config) -> DataFrame:
     """The columns of ``schema.CHUNK``."""
+    return opened.select(*_final_columns(config.page_tag, config.section_tag))
+
+
+@built_once
+def _final_columns(page_tag: bool, section_tag: bool) -> list[Column | str]:
     core = F.col("c.core")
     first = F.get(core, F.lit(0))
     index = lambda of: F.transform(of, lambda f: f["block_index"])
@@ -200,7 +229,7 @@ def finish(opened: DataFrame, config: Config) -> DataFrame:
         own_id.alias("chunk_id_base"),
         F.when(F.size("c.next") > 0, F.col("c.next")).alias("overlap_next_fragments"),
     )
-    return opened.select(
+    return [
         own_id.alias("chunk_id"),
         "page_id",
         "space_key",
@@ -218,7 +247,7 @@ def finish(opened: DataFrame, config: Config) -> DataFrame:
         F.col("before").alias("overlap_prev_text"),
         F.col("after").alias("overlap_next_text"),
         "full_text",
-        embedding_text(F.col("title"), F.col("shown"), F.col("full_text"), config.page_tag, config.section_tag).alias("embedding_text"),
+        embedding_text(F.col("title"), F.col("shown"), F.col("full_text"), page_tag, section_tag).alias("embedding_text"),
         first["xpath"].alias("xpath_start"),
         first["css_selector"].alias("css_selector_start"),
         first["text_offset"].alias("text_offset_start"),
@@ -226,4 +255,4 @@ def finish(opened: DataFrame, config: Config) -> DataFrame:
         navigation_url(F.col("url"), first["html_id"], F.col("c.html_id"), F.col("text")).alias("navigation_url"),
         highlight.alias("highlight_metadata"),
         "chunk_no",
-    )
+    ]

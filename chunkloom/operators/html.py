@@ -11,10 +11,11 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.text import quoted
 from ..schema import PIECES
 
 # Elements without content, those that a new block ends, and those that end others of their kind.
@@ -224,20 +225,40 @@ PIECE_TYPE = pa.list_(pa.struct([(n, pa.string()) for n in ("block_type", "text"
 def with_pieces(pages: DataFrame, config: Config, html: str = "body_html") -> DataFrame:
     """``pages`` with ``pieces`` and ``error`` in place of its HTML; a page that cannot be read has an error and no pieces."""
     rest = [c for c in pages.columns if c not in (html, "pieces", "error")]
-    given = pages.select(*rest, F.col(html).cast("string").alias(html))
+    # plain names on the way, whatever names the columns have
+    given = pages.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(rest)], quoted(html).cast("string").alias("html"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, errors = [], []
-            for text in batch.column(html).to_pylist():
+            for text in batch.column("html").to_pylist():
                 try:
                     found.append(pieces(text, config))
                     errors.append(None)
                 except Exception as problem:  # one bad page must not end the job; it goes on as an error row
                     found.append([])
                     errors.append(f"{type(problem).__name__}: {problem}")
-            kept = batch.drop_columns([html])
+            kept = batch.drop_columns(["html"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(found, PIECE_TYPE), pa.array(errors, pa.string())], names=[*kept.schema.names, "pieces", "error"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name != html)
-    return given.mapInArrow(rows, f"{kinds}, pieces {PIECES}, error string")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema if f.name != "html")
+    return given.mapInArrow(rows, f"{kinds}, pieces {PIECES}, error string").toDF(*rest, "pieces", "error")
+
+
+def register_parse_blocks(spark: SparkSession, config: Config, name: str = "parse_blocks") -> None:
+    """Make ``name(html)`` known to SQL: a row (index, block_type, text, xpath, css_selector, html_id) for each piece of a page, by LATERAL for a table of them.
+
+    A null page has no rows, and neither has one that cannot be read; ``with_pieces`` tells why.
+    """
+
+    class ParseBlocks:
+        def eval(self, html: str):
+            try:
+                found = pieces(html, config)
+            except Exception:  # as in with_pieces, one bad page must not end the query
+                found = []
+            for i, p in enumerate(found):
+                yield i, p["block_type"], p["text"], p["xpath"], p["css_selector"], p["html_id"]
+
+    kind = "index int, block_type string, text string, xpath string, css_selector string, html_id string"
+    spark.udtf.register(name, F.udtf(ParseBlocks, returnType=kind, useArrow=True))

@@ -12,13 +12,16 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..config import Config
-from ..functions.text import SENTENCE_END, SPACE, TOKEN
+from ..functions.text import SENTENCE_END, SPACE, TOKEN, quoted
 from .chunks import HELD, LEAST_ROOM, PAGE_COLUMNS
 
 _TOKEN, _END, _SPACE = regex.compile(TOKEN), regex.compile(SENTENCE_END), regex.compile(f"[{SPACE}]+")
 _HEADING = regex.compile("h[1-6]")
+#: Counts by a tokenizer that a worker remembers, and texts that are encoded together.
+KEPT_COUNTS, BATCH_TEXTS = 1 << 15, 256
 #: Characters shown of a neighbour of which not one sentence or run of words fits.
 SHOWN_CHARS = 200
 
@@ -35,7 +38,30 @@ def tokenizer_count(path: str) -> Callable[[str], int]:
     except ImportError as problem:
         raise RuntimeError("the strategy 'tokenizer' needs the tokenizers library") from problem
     tokenizer = Tokenizer.from_file(path)
-    return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+    # a block's sentences are looked at several times, alone and as beginnings of what is left of it
+    return lru_cache(KEPT_COUNTS)(lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids))
+
+
+def tokenizer_counts(rows: DataFrame, path: str, text: str = "text", into: str = "n_tokens") -> DataFrame:
+    """``rows`` with the number of their text's tokens by a tokenizer file in column ``into``; null texts have none.
+
+    Texts are encoded a batch at a time, so the library may use what it has for many; a column named ``into`` is replaced.
+    """
+    kept = [c for c in rows.columns if c != into]
+    place = kept.index(text)
+    given = rows.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(kept)])  # plain names on the way
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        for batch in batches:
+            for start in range(0, batch.num_rows, BATCH_TEXTS):
+                own = batch.slice(start, BATCH_TEXTS)
+                found = tokenizer.encode_batch_fast([t or "" for t in own.column(place).to_pylist()], add_special_tokens=False)
+                yield own.append_column("n", pa.array([len(e.ids) for e in found], pa.int64()))
+
+    return given.mapInArrow(counted, StructType([*given.schema.fields, StructField("n", LongType())])).toDF(*kept, into)
 
 
 def sentences(text: str) -> list[str]:
