@@ -14,7 +14,7 @@ from chunkloom.streaming.stream import run_from
 
 
 def main(env: Mapping[str, str] = os.environ, **how) -> int:
-    """0 after a run, whatever pages failed; 1 for wrong settings or a run that broke off."""
+    """0 after a run that wrote every page that it could read; 1 for wrong settings, a run that broke off, or pages that were not written."""
     log = to_stderr()
     try:
         config = Config.from_env(env).validate()
@@ -31,6 +31,9 @@ def main(env: Mapping[str, str] = os.environ, **how) -> int:
         return 1
     for name, n in stats.items():
         log.info("%s: %d", name, n)
+    if stats["pages_write_failed"]:
+        log.error("%d pages were not written; they are set aside in %s", stats["pages_write_failed"], f"{config.output_dir}/{config.output_prefix}_dead_letters_*")
+        return 1
     return 0
 
 

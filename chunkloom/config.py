@@ -27,6 +27,8 @@ class Config:
     page_size: int = 100
     timeout_s: int = 30
     max_retries: int = 3
+    max_concurrent_requests: int = 10
+    max_ids_per_batch: int = 10_000
     # chunks
     chunk_size: int = 512
     chunk_overlap: int = 0
@@ -49,6 +51,8 @@ class Config:
     output_dir: str = "output"
     output_prefix: str = "chunks"
     table_name: str = "chunks"
+    replace_pages: bool = False
+    extra_sinks: tuple[str, ...] = ()
 
     @classmethod
     def from_env(cls, env: Mapping[str, str], prefix: str = "CHUNKLOOM_") -> Config:
@@ -70,7 +74,7 @@ class Config:
 
     def validate(self) -> Config:
         """This object, or a ValueError that names every wrong option."""
-        wrong = [f"{n} must be positive" for n in ("page_size", "timeout_s", "max_retries", "chunk_size", "max_heading_levels") if getattr(self, n) < 1]
+        wrong = [f"{n} must be positive" for n in ("page_size", "timeout_s", "max_retries", "max_concurrent_requests", "max_ids_per_batch", "chunk_size", "max_heading_levels") if getattr(self, n) < 1]
         if self.chunk_overlap < 0 or self.chunk_overlap >= self.chunk_size:
             wrong.append("chunk_overlap must be 0 or more and less than chunk_size")
         if self.strategy not in STRATEGIES:
@@ -79,7 +83,7 @@ class Config:
             wrong.append("strategy tokenizer needs tokenizer_path")
         if self.sentence_backend not in SENTENCE_BACKENDS:
             wrong.append(f"sentence_backend must be one of {', '.join(SENTENCE_BACKENDS)}")
-        if not self.json_enabled and not self.table_enabled:
+        if not self.json_enabled and not self.table_enabled and not self.extra_sinks:
             wrong.append("no sink is enabled")
         if self.table_enabled and not is_identifier(self.table_name):
             wrong.append("table_name must be an identifier")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..config import Config
-from ..functions.text import absolute_url, trim_space
+from ..functions.text import absolute_url, quoted, trim_space
 from ..operators.html import with_pieces
 
 #: A list of ids at most this long becomes a filter that the scan can take; longer ones are joined.
@@ -92,31 +93,59 @@ def conversation_pages(turns: DataFrame) -> DataFrame:
     )
 
 
+def as_type(text: str | Column, kind: DataType) -> Column:
+    """A text as a value of a column's type, so that a filter compares the column as it is stored and reaches the scan; null if it is none."""
+    return (F.lit(text) if isinstance(text, str) else text).try_cast(kind)
+
+
 def only_ids(pages: DataFrame, ids: Sequence[str] | DataFrame | None, column: str = "id") -> DataFrame:
-    """The pages of ``ids`` (a list, or a table with a column ``id``), one for each time an id is named; all for None or an empty list."""
+    """The pages of ``ids`` (a list, or a table with a column ``id``), one for each time an id is named; all for None or an empty list.
+
+    ``column`` may be of any type, and a short list becomes a filter that a scan takes, if ``pages`` is a table as it is read.
+    """
     if ids is None:
         return pages
+    kind, own = pages.schema[column].dataType, quoted(column)
     if isinstance(ids, DataFrame):
-        return pages.join(ids.select(F.col("id").cast("string").alias("_wanted")), F.col(column) == F.col("_wanted")).drop("_wanted")
-    if not ids:
+        wanted = ids.select(as_type(F.col("id").cast("string"), kind).alias("_wanted"))
+    elif not ids:
         return pages
-    found = pages.where(F.col(column).isin(*dict.fromkeys(ids))) if len(ids) <= ID_FILTER else pages
-    named = pages.sparkSession.createDataFrame([(x,) for x in ids], "_wanted string")
-    return found.join(named, F.col(column) == F.col("_wanted")).drop("_wanted")
+    else:
+        wanted = pages.sparkSession.createDataFrame([(x,) for x in ids], "_wanted string").select(as_type(F.col("_wanted"), kind).alias("_wanted"))
+        if len(ids) <= ID_FILTER:
+            pages = pages.where(own.isin(*[as_type(x, kind) for x in dict.fromkeys(ids)]))
+    return pages.join(wanted, own == F.col("_wanted")).drop("_wanted")
 
 
 API_PAGE = "struct<id:string,title:string,space:struct<key:string,name:string>,version:struct<number:int,when:string>,body:struct<view:struct<value:string>,storage:struct<value:string>>,_links:struct<webui:string>>"
 
 
+#: What is said of an answer that is no page: a body that was cut, a gateway's HTML, JSON without an id.
+UNREADABLE = "unreadable page"
+
+
+def _parsed(column: str) -> Column:
+    kind = API_PAGE.removesuffix(">") + ",_wrong:string>"
+    return F.from_json(quoted(column), kind, {"columnNameOfCorruptRecord": "_wrong"})
+
+
+def judged(raw: DataFrame, column: str = "json") -> DataFrame:
+    """``raw`` (id, json, error) with an error, and without JSON, where the JSON cannot be read or has no id."""
+    good = F.col("_p._wrong").isNull() & (F.coalesce("_p.id", F.lit("")) != "")
+    bad = quoted(column).isNotNull() & ~F.coalesce(good, F.lit(False))
+    seen = raw.withColumn("_p", _parsed(column)).withColumn("_bad", bad).drop("_p")
+    return seen.withColumns({column: F.when(~F.col("_bad"), quoted(column)), "error": F.when(F.col("_bad"), UNREADABLE).otherwise(F.col("error"))}).drop("_bad")
+
+
 def from_json_pages(raw: DataFrame, base_url: str = "", column: str = "json") -> DataFrame:
     """Pages from the JSON of a content API: missing fields get defaults, an empty rendered body falls back to the stored one.
 
-    Rows without JSON are pages that could not be fetched: they are left out, and ``fetch_failures`` has them.
+    Rows without JSON, or with JSON that is no page, could not be fetched: they are left out, and ``fetch_failures`` has them.
     """
-    p = raw.where(F.col(column).isNotNull()).select(F.from_json(F.col(column), API_PAGE).alias("p")).select("p.*")
+    p = raw.where(quoted(column).isNotNull()).select(_parsed(column).alias("p")).where(F.col("p._wrong").isNull() & (F.col("p.id") != "")).select("p.*")
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     return p.select(
-        text("id").alias("id"),
+        F.col("id"),
         text("title").alias("title"),
         text("space.key").alias("space_key"),
         text("space.name").alias("space_name"),
@@ -128,8 +157,8 @@ def from_json_pages(raw: DataFrame, base_url: str = "", column: str = "json") ->
 
 
 def fetch_failures(raw: DataFrame, column: str = "json") -> DataFrame:
-    """(id, error) of the pages that could not be fetched."""
-    return raw.where(F.col(column).isNull()).select("id", "error")
+    """(id, error) of the pages that could not be fetched or read."""
+    return judged(raw, column).where(quoted(column).isNull()).select("id", "error")
 
 
 def page_info(pages: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from chunkloom.operators.chunks import chunk_pages
 from chunkloom.sinks.core import Composite, JsonSink, TableSink, chosen_sinks, upsert
 from chunkloom.sources.rest import Client, ContentApi, ContentReader, ContentStreamReader, StatusError, load_pages, options_of, stream_pages
 from chunkloom.sources.tables import fetch_failures, from_json_pages, only_ids, text_pages
-from chunkloom.streaming.stream import COUNTERS, Timer, Timers, page_stream, run, run_from, start
+from chunkloom.sinks.retry import DeadLetters, WriteBroken
+from chunkloom.streaming.stream import COUNTERS, Timer, Timers, finish, page_stream, run, run_from, start
 
 CONFIG = Config(chunk_size=24)
 
@@ -69,9 +70,19 @@ def test_retries():
 
 def test_json_pages(spark):
     raw = spark.createDataFrame([('{"id":"5","title":"T","space":{"key":"K"},"body":{"view":{"value":""},"storage":{"value":"S"}},"_links":{"webui":"/w"}}',), ("{}",), (None,)], "json string")
-    full, empty = from_json_pages(raw, "http://b").collect()  # the row without JSON is no page
+    (full,) = from_json_pages(raw, "http://b").collect()  # neither the row without JSON nor the one without an id is a page
     assert (full["body_html"], full["url"], full["space_key"], full["version"]) == ("S", "http://b/w", "K", 1)
-    assert empty["id"] == "" == empty["body_html"]
+
+
+def test_answers_that_are_no_page(spark):
+    """Cut JSON, a gateway's page, JSON without an id: failures with an error, not pages."""
+    good = '{"id":"5","title":"T","body":{"view":{"value":"x"}}}'
+    rows = [("5", good, None), ("6", good[:30], None), ("7", "<html>502</html>", None), ("8", '{"title":"T"}', None), ("9", '{"id":""}', None), ("10", None, "not found"), ("11", "", None)]
+    raw = spark.createDataFrame(rows, "id string, json string, error string")
+    assert [r["id"] for r in from_json_pages(raw).collect()] == ["5"]
+    assert sorted(map(tuple, fetch_failures(raw).collect())) == sorted([(i, "unreadable page") for i in ("6", "7", "8", "9", "11")] + [("10", "not found")])
+    stats = run_from(spark, CONFIG.with_(output_dir=folder()), raw).first()["stats"]
+    assert (stats["page_ids"], stats["pages_fetched"], stats["pages_fetch_failed"], stats["pages_processed"]) == (7, 1, 6, 1)
 
 
 def test_only_ids_keeps_duplicates(spark):
@@ -227,69 +238,309 @@ def test_filters_narrow_what_is_fetched(spark, api):
     assert reader.partitions()[0].ids == []
 
 
-def test_api_stream_deals_each_page_once():
-    reader = ContentStreamReader({"url": "http://x", "pagesize": "10", "idspertask": "4"}, Client("http://x", transport=wiki))
-    start, end = reader.initialOffset(), reader.latestOffset()
-    assert end == {"n": 25} and [x for p in reader.partitions(start, end) for x in p.ids] == list(PAGES)
-    reader.commit(end)
-    assert reader.latestOffset() == end and reader.partitions(end, end) == []
-    fresh = ContentStreamReader({"url": "http://x", "pagesize": "10"}, Client("http://x", transport=wiki))
-    assert [x for p in fresh.partitions({"n": 20}, {"n": 23}) for x in p.ids] == ["20", "21", "22"]
+def test_an_api_stream_in_batches():
+    options = {"url": "http://x", "pagesize": "10", "idspertask": "4", "maxidspertrigger": "7"}
+    reader, at, seen = ContentStreamReader(options, Client("http://x", transport=wiki)), None, []
+    at = reader.initialOffset()
+    while (end := reader.latestOffset()) != at:
+        ids = [x for p in reader.partitions(at, end) for x in p.ids]
+        assert 0 < len(ids) <= 7 and reader.latestOffset() is not None
+        # another process plans the same batch
+        again = ContentStreamReader(options, Client("http://x", transport=wiki))
+        assert [x for p in again.partitions(at, end) for x in p.ids] == ids and again.latestOffset() == reader.latestOffset()
+        seen, at = seen + ids, end
+    assert seen == list(PAGES) and reader.partitions(at, at) == []
+
+
+@pytest.mark.parametrize("gone", [[], [2], [9], [8, 9], list(range(10)), [11], [5, 12, 13]])
+def test_pages_deleted_between_batches_cost_no_other(gone):
+    site = [str(i) for i in range(30)]
+
+    def transport(url, headers, timeout):
+        from urllib.parse import parse_qs, urlparse
+
+        q = {k: int(v[0]) for k, v in parse_qs(urlparse(url).query).items() if k in ("start", "limit")}
+        return 200, json.dumps({"results": [{"id": i} for i in site[q["start"] : q["start"] + q["limit"]]]}).encode()
+
+    reader = ContentStreamReader({"url": "http://x", "pagesize": "5", "maxidspertrigger": "10"}, Client("http://x", transport=transport))
+    first = reader.latestOffset()
+    seen = [x for p in reader.partitions(reader.initialOffset(), first) for x in p.ids]
+    for x in gone:
+        site.remove(str(x))
+    site.append("30")
+    at = first
+    while (end := reader.latestOffset()) != at:
+        ids = [x for p in reader.partitions(at, end) for x in p.ids]
+        assert len(ids) <= 10
+        seen, at = seen + ids, end
+    assert seen == [str(i) for i in range(31) if i < 10 or i not in gone]
 
 
 def test_api_stream_runs(spark, api):
     at = folder()
     config = wiki_config(at + "/out")
-    counted = Counter()
-    sink = JsonSink(config)
-    query = start(stream_pages(spark, "http://wiki", source=api, pageSize="10"), "api", config, sink, at + "/checkpoint", counted)
-    query.awaitTermination(120)
-    assert query.exception() is None and counted["pages_processed"] == 23 == spark.read.text(f"{sink.path}/pages").count()
+    sink, counted = JsonSink(config), Counter()
+    source = lambda: stream_pages(spark, "http://wiki", source=api, pageSize="10", maxIdsPerTrigger="9")
+    finish(start(source(), "api", config, sink, at + "/checkpoint", counted))
+    assert counted["pages_processed"] == 23 == spark.read.text(f"{sink.path}/pages").count()
+    assert (counted["page_ids"], counted["pages_fetched"], counted["pages_fetch_failed"]) == (25, 23, 2)
+    assert spark.read.text(f"{at}/checkpoint/counters").count() == 3
+    later = Counter()
+    finish(start(source(), "api", config, sink, at + "/checkpoint", later))  # nothing is new
+    assert spark.read.text(f"{sink.path}/pages").count() == 23
 
 
-def test_a_failed_write_is_counted_and_the_stream_goes_on(spark):
-    at = folder()
-    documents(spark).repartition(3).write.parquet(at + "/in")
-    config, counted = CONFIG.with_(output_dir=at + "/out"), Counter()
-    good = JsonSink(config)
+def site_of(n):
+    calls = []
 
-    class Failing:
-        path, totals = "x", Counter()
+    def transport(url, headers, timeout):
+        from urllib.parse import parse_qs, urlparse
 
-        def write(self, chunks, pages, blocks, batch=0):
-            if batch == 1:
-                raise RuntimeError("disk full")
-            good.write(chunks, pages, blocks, batch)
+        q = {k: int(v[0]) for k, v in parse_qs(urlparse(url).query).items() if k in ("start", "limit")}
+        calls.append((q["start"], q["limit"]))
+        return 200, json.dumps({"results": [{"id": i} for i in range(q["start"], min(n, q["start"] + q["limit"]))]}).encode()
 
-    query = start(page_stream(spark, at + "/in", "documents", 1), "documents", config, Failing(), at + "/checkpoint", counted)
-    query.awaitTermination(120)
+    return transport, calls
+
+
+@pytest.mark.parametrize("n", [0, 1, 99, 100, 101, 1234, 99_950, 100_000])
+def test_listing_is_dealt_out_in_ranges(n):
+    transport, calls = site_of(n)
+    reader = ContentReader({"url": "http://x"}, Client("http://x", transport=transport))
+    parts = reader.partitions()
+    assert len(calls) < 40
+    # tasks list their ranges: no id twice or lost, in order
+    found = [x for p in parts for x in reader.client.ids(reader.size, p.start, p.stop)]
+    assert found == [str(i) for i in range(n)] and len(parts) == max(1, -(-n // 200))
+    transport, _ = site_of(n + 150)  # pages that are added meanwhile come with the last range
+    reader.client.transport = transport
+    assert len([x for p in parts for x in reader.client.ids(reader.size, p.start, p.stop)]) == n + 150
+
+
+def test_ranges_of_a_large_site_grow(monkeypatch):
+    from chunkloom.sources import rest
+
+    monkeypatch.setattr(rest, "MOST_TASKS", 20)
+    transport, _ = site_of(50_000)
+    parts = ContentReader({"url": "http://x"}, Client("http://x", transport=transport)).partitions()
+    assert len(parts) <= 20 and parts[0].stop % 100 == 0
+
+
+def test_requests_run_beside_each_other_over_kept_connections():
+    import threading
+    import time
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    opened, tries = [], Counter()
+
+    class Wiki(BaseHTTPRequestHandler):
+        protocol_version, disable_nagle_algorithm = "HTTP/1.1", True
+
+        def setup(self):
+            super().setup()
+            opened.append(self.client_address)
+
+        def log_message(self, *_):
+            pass
+
+        def do_GET(self):  # noqa: N802
+            time.sleep(0.05)
+            page_id = self.path.split("?")[0].rsplit("/", 1)[1]
+            tries[page_id] += 1
+            status = 404 if page_id == "7" else 503 if page_id == "8" and tries["8"] == 1 else 302 if page_id == "9" else 200
+            body = json.dumps({"id": page_id, "auth": self.headers.get("Authorization")}).encode()
+            self.send_response(status)
+            if status == 302:
+                self.send_header("Location", "/rest/api/content/90?x=1")
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Wiki)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        ids = [str(i) for i in range(1000)]
+        reader = ContentReader({"url": f"http://127.0.0.1:{server.server_port}", "token": "t", "ids": ",".join(ids), "idspertask": "1000"})
+        reader.client.sleep = lambda s: None
+        begun = time.monotonic()
+        rows = list(reader.read(reader.partitions()[0]))
+        assert time.monotonic() - begun < 8
+        assert [r[0] for r in rows] == ids and rows[7][1:] == (None, "not found") and json.loads(rows[8][1])["id"] == "8" and json.loads(rows[9][1])["id"] == "90"
+        assert json.loads(rows[5][1])["auth"] == "t" and len(opened) <= 10
+    finally:
+        server.shutdown()
+
+
+class Picky:
+    """Writes JSON, but refuses any part with a page of ``bad``; counts its calls."""
+
+    def __init__(self, config, bad=(), broken=lambda batch: False):
+        self.inner, self.bad, self.broken, self.calls = JsonSink(config), list(bad), broken, 0
+        self.path, self.totals = "picky " + self.inner.path, self.inner.totals
+
+    def write(self, chunks, pages, blocks, batch=0, part="all"):
+        self.calls += 1
+        if self.broken(batch) or pages.where(F.col("id").isin(self.bad)).count():
+            raise RuntimeError("refused")
+        self.inner.write(chunks, pages, blocks, batch, part)
+
+    def close(self, metadata):
+        self.inner.close(metadata)
+
+
+def test_one_bad_page_costs_no_other(spark):
+    config = CONFIG.with_(output_dir=folder(), include_blocks=True)
+    pages, sink = text_pages(documents(spark, 1000).coalesce(2)), Picky(config, ["417"])
+    letters = DeadLetters(spark, config.output_dir + "/letters")
+    stats = run(pages, config, sink, letters=letters).first()["stats"]
+    chunks = chunk_pages(pages.where("id <> '417'"), config).count()
+    assert (stats["pages_processed"], stats["pages_write_failed"], stats["chunks_written"], stats["blocks_written"]) == (1000, 1, chunks, 999)
+    written = [json.loads(r["value"])["page_id"] for r in spark.read.text(f"{sink.inner.path}/pages").collect()]
+    assert len(written) == 999 == len(set(written)) and "417" not in written and sink.calls < 30
+    assert spark.read.text(f"{sink.inner.path}/chunks").count() == chunks
+    (letter,) = letters.read().collect()
+    assert letter["id"] == "417" and letter["errors"] == [(sink.path, "RuntimeError: refused")]
+    # what was set aside can be run again
+    again = run(letters.pages(), config, JsonSink(config.with_(output_prefix="again"))).first()["stats"]
+    assert (again["pages_processed"], again["pages_write_failed"]) == (1, 0) and again["chunks_written"] > 0
+
+
+def test_several_sinks_refuse_different_pages(spark):
+    config = CONFIG.with_(output_dir=folder())
+    pages = text_pages(documents(spark, 40))
+    first, second = Picky(config, ["3", "9"]), Picky(config.with_(output_prefix="other"), ["9", "20"])
+    letters = DeadLetters(spark, config.output_dir + "/letters")
+    stats = run(pages, config, Composite([first, second]), letters=letters).first()["stats"]
+    assert stats["pages_write_failed"] == 3 and stats["chunks_written"] == chunk_pages(pages.where("id not in ('3', '9', '20')"), config).count()
+    assert {r["id"]: len(r["errors"]) for r in letters.read().collect()} == {"3": 1, "9": 2, "20": 1}
+    assert spark.read.text(f"{first.inner.path}/pages").count() == 38 == spark.read.text(f"{second.inner.path}/pages").count()
+
+
+def test_a_page_that_cannot_be_cut_is_set_aside(spark, monkeypatch):
+    """A fault in cutting, as of a tokenizer that refuses a text, fails the table of chunks for all sinks; its page is found all the same."""
+    from chunkloom.sinks import retry
+
+    fails = F.when(F.col("page_id") == "7", F.raise_error(F.lit("no"))).otherwise(F.col("chunk_id"))
+    monkeypatch.setattr(retry, "chunk_pages", lambda pages, config: chunk_pages(pages, config).withColumn("chunk_id", fails))
+    config = CONFIG.with_(output_dir=folder(), table_enabled=True)
+    sink, letters = chosen_sinks(spark, config), DeadLetters(spark, config.output_dir + "/letters")
+    stats = run(text_pages(documents(spark, 12)), config, sink, letters=letters).first()["stats"]
+    (letter,) = letters.read().collect()
+    assert letter["id"] == "7" and len(letter["errors"]) == 2 and stats["pages_write_failed"] == 1
+    assert stats["chunks_written"] == sink.sinks[1].read().count() == spark.read.text(f"{sink.sinks[0].path}/chunks").count() > 11
+
+
+def test_a_broken_sink_ends_the_run_and_the_stream(spark):
+    at = folder()
+    config = CONFIG.with_(output_dir=at + "/out")
+    with pytest.raises(WriteBroken, match="refused"):
+        run(text_pages(documents(spark, 50)), config, Picky(config, broken=lambda batch: True))
+    # a stream stops at the batch, and goes on from it when the sink is well again, with all counters
+    for n in range(3):
+        documents(spark, 30).where(F.col("doc_id") % 3 == n).coalesce(1).write.mode("append").parquet(at + "/in")
+    counted, ok = Counter(), Picky(config, ["4"])
+    ill = Picky(config, ["4"], broken=lambda batch: batch == 1)
+    ill.inner, ill.totals = ok.inner, ok.totals
+    query = start(page_stream(spark, at + "/in", "documents", 1), "documents", config, ill, at + "/checkpoint", counted)
+    with pytest.raises(Exception, match="takes no page"):
+        query.awaitTermination(180)
+    assert counted["pages_processed"] == 10
+    later = Counter()
+    query = start(page_stream(spark, at + "/in", "documents", 1), "documents", config, ok, at + "/checkpoint", later)
+    query.awaitTermination(180)
     assert query.exception() is None
-    assert counted["pages_processed"] == 6 and 0 < counted["pages_write_failed"] < 6
-    assert spark.read.text(f"{good.path}/pages").count() == 6 - counted["pages_write_failed"]
+    assert (later["pages_processed"], later["pages_write_failed"], later["pages_fetched"]) == (30, 1, 30)
+    assert later["chunks_written"] == chunk_pages(text_pages(documents(spark, 30).where("doc_id <> 4")), config).count()
+    assert spark.read.text(f"{ok.inner.path}/pages").count() == 29
+    assert [r["id"] for r in DeadLetters(spark, at + "/checkpoint/dead_letters").read().collect()] == ["4"]
 
 
-def test_a_batch_rewrites_only_its_buckets(spark):
-    sink = TableSink(spark, folder() + "/t", buckets=8)
-    pages = text_pages(documents(spark, 20))
-    chunks = chunk_pages(pages, CONFIG).persist()
-    sink.write(chunks, pages)
-    before = sink.manifest()["folders"]
-    one = chunks.orderBy("chunk_id").limit(1)
-    changed = one.withColumn("normalized_text", F.lit("changed"))
-    sink.write(changed, pages)
-    after = sink.manifest()["folders"]
-    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
-    assert sink.read().count() == chunks.count()
-    key = one.first()["chunk_id"]
-    (row,) = sink.lookup(key).collect()
-    assert "changed" in row["payload"] and len(sink.lookup(key).inputFiles()) == 1 and sink.lookup("EDU:no:0-0").count() == 0
-    # the version before can still be read; older folders are gone
-    assert "changed" not in "".join(r["payload"] for r in sink.read(sink.versions()[0]).collect())
-    sink.write(changed, pages)
+def test_a_batch_of_one_bad_page_does_not_end_the_stream(spark):
+    at = folder()
+    config = CONFIG.with_(output_dir=at + "/out")
+    for n in range(3):
+        documents(spark, 3).where(F.col("doc_id") == n).coalesce(1).write.mode("append").parquet(at + "/in")
+    counted = Counter()
+    query = start(page_stream(spark, at + "/in", "documents", 1), "documents", config, Picky(config, ["1"]), at + "/checkpoint", counted)
+    query.awaitTermination(180)
+    assert query.exception() is None and (counted["pages_processed"], counted["pages_write_failed"]) == (3, 1)
+
+
+def test_nothing_is_left_or_computed_to_be_counted(spark):
+    """The tables between steps are deleted, and a run has one job for each table that is written, besides those of the metadata."""
     from pathlib import Path
 
-    folders = {f"{x.parent.name}/{x.name}" for x in Path(sink.path, "data").glob("*/bucket=*")}
-    assert folders == set(after.values()) | set(sink.manifest()["folders"].values())
+    config = CONFIG.with_(output_dir=folder())
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:").replace("//", "/")
+    before = set(Path(root).glob("chunkloom-pages-*"))
+    spark.sparkContext.setJobGroup("counted", "jobs of a run")
+    stats = run(text_pages(documents(spark)), config, JsonSink(config)).first()["stats"]
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    spark.sparkContext.setJobGroup("", "")
+    assert stats["chunks_written"] > 6 and set(Path(root).glob("chunkloom-pages-*")) == before
+    assert len(jobs) <= 6  # parsed pages, chunks, pages, metadata; the table's schema and the first row of the result
+
+
+def test_a_batch_rewrites_only_its_parts(spark, monkeypatch):
+    from pathlib import Path
+
+    from chunkloom.sinks import core
+
+    monkeypatch.setattr(core, "PART_PAGES", 10)
+    sink = TableSink(spark, folder() + "/t")
+    pages = text_pages(documents(spark, 1000))
+    chunks = chunk_pages(pages, CONFIG)
+    sink.write(chunks, pages)
+    files = lambda: {str(x): (x.stat().st_mtime_ns, x.stat().st_size) for x in Path(sink.path).glob("part=*/*.parquet")}
+    before = files()
+    assert len({p.split("part=")[1].split("/")[0] for p in before}) == 100 and sink.totals["chunks"] == chunks.count()
+    few = pages.where(F.col("id").cast("int").between(500, 509))
+    changed = chunk_pages(few, CONFIG).withColumn("normalized_text", F.lit("changed"))
+    sink.write(changed, few)
+    after = files()
+    new = [p for p in after if before.get(p) != after[p]]
+    assert 0 < sum(after[p][1] for p in new) < 0.05 * sum(size for _, size in after.values())
+    assert sink.read().count() == chunks.count() and sink.read().where("payload like '%\"changed\"%'").count() == changed.count()
+    key = changed.first()["chunk_id"]
+    found = sink.lookup(key)
+    assert "changed" in found.first()["payload"] and len(found.collect()) == 1 and sink.lookup("EDU:no:0-0").count() == 0 == sink.lookup("odd").count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and f"EqualTo(chunk_id,{key})" in plan
+    sink.write(changed, few)  # a batch that is repeated
+    assert sink.read().count() == chunks.count()
+    text = few.withColumn("id", F.concat(F.lit("t"), F.col("id")))
+    sink.write(chunk_pages(text, CONFIG), text)
+    assert sink.read().where("part like 't%'").select("page_id").distinct().count() == 10
+
+
+def test_replaced_pages_lose_their_stale_chunks(spark):
+    at = folder() + "/t"
+    long, short = text_pages(documents(spark, 5)), text_pages(documents(spark, 5).withColumn("text", F.when(F.col("doc_id") < 2, F.lit("One.")).when(F.col("doc_id") == 2, F.lit("")).otherwise(F.col("text"))))
+    keeping, replacing = TableSink(spark, at), TableSink(spark, at, replace_pages=True)
+    keeping.write(chunk_pages(long, CONFIG), long)
+    stale = keeping.read().count()
+    keeping.write(chunk_pages(short, CONFIG), short)
+    assert keeping.read().count() > chunk_pages(short, CONFIG).count() and stale == chunk_pages(long, CONFIG).count()
+    replacing.write(chunk_pages(short, CONFIG), short)
+    want = {r["chunk_id"] for r in chunk_pages(short, CONFIG).collect()}
+    assert {r["chunk_id"] for r in replacing.read().collect()} == want
+    blank = text_pages(documents(spark, 5).withColumn("text", F.lit("")))
+    replacing.write(chunk_pages(blank, CONFIG), blank)
+    assert replacing.read().count() == 0
+
+
+def test_a_sink_of_ones_own(spark):
+    from chunkloom.sinks.core import SINKS, register_sink
+
+    register_sink("picky", lambda s, config: Picky(config))
+    try:
+        config = CONFIG.with_(output_dir=folder(), json_enabled=False, extra_sinks=("picky",))
+        (sink,) = chosen_sinks(spark, config).sinks
+        assert run(text_pages(documents(spark)), config, sink).first()["stats"]["chunks_written"] == sink.totals["chunks"] > 0
+        with pytest.raises(ValueError, match="unknown sinks: no"):
+            chosen_sinks(spark, config.with_(extra_sinks=("no",)))
+    finally:
+        del SINKS["picky"]
 
 
 def test_command_line(spark, api, monkeypatch):
@@ -300,6 +551,10 @@ def test_command_line(spark, api, monkeypatch):
     raw = load_pages(spark, "http://wiki", source=api)
     assert cli.main({"CHUNKLOOM_OUTPUT_DIR": at, "CHUNKLOOM_CHUNK_SIZE": "24"}, raw=raw) == 0
     assert cli.main({"CHUNKLOOM_OUTPUT_DIR": at}, raw=raw.drop("json")) == 1
+    # pages that were not written
+    config = CONFIG.with_(output_dir=folder())
+    assert cli.main({"CHUNKLOOM_OUTPUT_DIR": config.output_dir}, raw=raw, sink=Picky(config, ["7"])) == 1
+    assert cli.main({"CHUNKLOOM_OUTPUT_DIR": config.output_dir}, raw=raw, sink=Picky(config, broken=lambda batch: True)) == 1
 
 
 def test_timers():
