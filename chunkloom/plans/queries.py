@@ -11,9 +11,13 @@ from ..config import Config
 from ..functions import bins
 from ..functions import text as T
 from ..operators.blocks import heading_hierarchy, page_blocks, parent_headings
-from ..operators.chunks import block_splits, chunk_pages
-from ..sinks.core import chunk_of, payloads, upsert
-from ..sources.tables import conversation_pages, from_json_pages, html_pages, only_ids, page_info, parsed_pages, spread, table, text_pages
+from ..operators.chunks import block_splits, chunk_pages, page_rows, with_units
+from ..operators.html import register_parse_blocks
+from ..operators.long_pages import chunk_texts as long_chunk_texts
+from ..operators.overlap import tokenizer_counts
+from ..sinks.core import TableSink, chunk_of, payloads, upsert
+from ..sources.tables import conversation_pages, fetch_failures, from_json_pages, html_pages, only_ids, page_info, parsed_pages, spread, table, text_pages
+from ..staging import scratch_path
 from ..streaming.stream import run_stats
 from . import sql
 
@@ -53,6 +57,13 @@ def html_blocks(spark, folder):
     return page_blocks(_pages(spark, folder))
 
 
+@query
+def lateral_blocks(spark, folder):
+    """The same by SQL, with the reader as a table function."""
+    register_parse_blocks(spark, CONFIG)
+    return spark.sql("SELECT CAST(p.page_id AS STRING) AS page_id, b.* FROM {pages} AS p, LATERAL parse_blocks(p.html) AS b", pages=spread(table(spark, folder, "pages")))
+
+
 @query
 def block_counts(spark, folder):
     return page_blocks(_pages(spark, folder)).groupBy("block_type").agg(F.count("*").alias("n_blocks"), F.sum("text_length").alias("n_chars"))
@@ -71,9 +82,9 @@ def empty_pages(spark, folder):
     return parsed_pages(bare, CONFIG).where((F.size("pieces") == 0) & F.col("error").isNull()).select(F.col("id").alias("page_id"))
 
 
-@query
-def json_page_rows(spark, folder):
-    """Pages as a content API's JSON, every other one with its body in the stored form, every third without a space, read back."""
+def _answers(spark, folder):
+    """Pages as a content API's JSON, every other one with its body in the stored form, every third without a space; every
+    eleventh is missing, and others are cut, stand in a gateway's HTML or have no id."""
     body = F.when(F.col("page_id") % 2 == 0, F.struct(F.struct(F.col("html").alias("value")).alias("view"))).otherwise(F.struct(F.struct(F.lit("").alias("value")).alias("view")))
     stored = F.when(F.col("page_id") % 2 == 1, F.struct(F.col("html").alias("value")))
     page = F.struct(
@@ -84,9 +95,22 @@ def json_page_rows(spark, folder):
         body.withField("storage", stored).alias("body"),
         F.struct(F.concat(F.lit("/pages/"), F.col("page_id")).alias("webui")).alias("_links"),
     )
-    raw = table(spark, folder, "pages").select(F.when(F.col("page_id") % 11 > 0, F.to_json(page)).alias("json"))
-    read = from_json_pages(raw, "http://wiki.example.com")
-    return read.select(F.col("id").alias("page_id"), "title", "space_key", "space_name", "version", "last_modified", F.md5("body_html").alias("body_md5"), "url")
+    sent = F.to_json(page)
+    p = F.col("page_id")
+    json = F.when(p % 11 == 0, None).when(p % 13 == 0, F.substring(sent, F.lit(1), F.length(sent) - 40)).when(p % 17 == 0, F.col("html")).when(p % 19 == 0, F.to_json(F.struct(F.lit("x").alias("title")))).otherwise(sent)
+    return table(spark, folder, "pages").select(p.cast("string").alias("id"), json.alias("json"), F.when(p % 11 == 0, "not found").alias("error"))
+
+
+@query
+def json_page_rows(spark, folder):
+    """The answers that are pages, read back."""
+    return from_json_pages(_answers(spark, folder), "http://wiki.example.com").select(F.col("id").alias("page_id"), "title", "space_key", "space_name", "version", "last_modified", F.md5("body_html").alias("body_md5"), "url")
+
+
+@query
+def json_fetch_failures(spark, folder):
+    """The answers that are none."""
+    return fetch_failures(_answers(spark, folder))
 
 
 @query
@@ -188,10 +212,10 @@ def hierarchy_rows(spark, folder):
 
 
 def _tagged(spark, folder):
-    """Pages with the labels of their host as headings, nearest first, on every third page none; and the start of their HTML as text."""
+    """Pages with the labels of their host as headings, nearest first, on every third page none; and their HTML as text."""
     pages = html_pages(table(spark, folder, "pages"))
     labels = F.when(F.col("id").cast("long") % 3 > 0, F.split("space_key", r"\.")).otherwise(F.expr("cast(array() as array<string>)"))
-    return pages.select(F.col("id").alias("page_id"), "title", labels.alias("headings"), F.concat(F.lit("  "), F.substring("body_html", 1, 200)).alias("text"))
+    return pages.select(F.col("id").alias("page_id"), "title", labels.alias("headings"), F.concat(F.lit("  "), F.coalesce("body_html", F.lit(""))).alias("text"))
 
 
 @query
@@ -242,6 +266,36 @@ def chunks_overlapping(spark, folder):
     return chunks.select("chunk_id", "page_id", "chunk_no", "normalized_text", "overlap_prev_text", "overlap_next_text")
 
 
+@query
+def chunks_overlapping_wide(spark, folder):
+    chunks = chunk_pages(_documents(spark, folder), CONFIG.with_(chunk_overlap=64))
+    return chunks.select("chunk_id", "page_id", "chunk_no", "normalized_text", "overlap_prev_text", "overlap_next_text")
+
+
+@query
+def long_page_chunks(spark, folder):
+    """Chunks of documents as pages of any length are packed: from a table of sentences, in stretches short enough that most documents have several."""
+    units = with_units(page_rows(_documents(spark, folder)), SMALL).select("page_id", F.posexplode("units").alias("k", "u"))
+    return long_chunk_texts(units.select("page_id", "k", "u.n", "u.cap", "u.t"), stretch=128)
+
+
+@query
+def tokenizer_token_counts(spark, folder):
+    """Tokens of each document by a tokenizer file."""
+    import public_tokenizers
+
+    return tokenizer_counts(_texts(spark, folder).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
+@query
+def tokenizer_chunks(spark, folder):
+    """Chunks bounded by a tokenizer's tokens."""
+    import public_tokenizers
+
+    config = CONFIG.with_(strategy="tokenizer", tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"), chunk_size=256, chunk_overlap=32)
+    return chunk_pages(_documents(spark, folder), config).select("chunk_id", "page_id", "chunk_no", "normalized_text", "overlap_prev_text")
+
+
 @query
 def chunk_payloads(spark, folder):
     return payloads(chunk_pages(_documents(spark, folder), CONFIG))
@@ -273,9 +327,21 @@ def chunk_upsert(spark, folder):
     return upsert(old, new, order=["doc_id"])
 
 
+@query
+def stored_table(spark, folder):
+    """The stored table after two batches: all documents, then every tenth, and one in a hundred, with another text; the pages' stale chunks are gone."""
+    docs = table(spark, folder, "documents")
+    at = scratch_path(spark, "stored-table")
+    sink = TableSink(spark, at, replace_pages=True)
+    for batch in (docs, docs.where("doc_id % 10 = 0").withColumn("text", F.when(F.col("doc_id") % 100 == 0, F.lit("")).otherwise(F.concat(F.lit("New. "), F.substring_index("text", "\n", 1))))):
+        pages = text_pages(batch)
+        sink.write(chunk_pages(pages, CONFIG), pages)
+    return sink.read().select("chunk_id", "page_id", F.md5(F.get_json_object("payload", "$.normalized_text")).alias("text_md5"))
+
+
 @query
 def chunk_lookup(spark, folder):
-    return chunk_of(text_pages(table(spark, folder, "documents")), "EDU:7:0-5", CONFIG).select("chunk_id", "normalized_text")
+    return chunk_of(table(spark, folder, "documents"), "doc_id", text_pages, "EDU:7:0-5", CONFIG).select("chunk_id", "normalized_text")
 
 
 @query
@@ -285,8 +351,8 @@ def chunk_count(spark, folder):
 
 @query
 def explicit_ids(spark, folder):
-    pages = html_pages(table(spark, folder, "pages"))
-    return only_ids(pages, ["3", "5", "3", "8"]).select(F.col("id").alias("page_id"), "url")
+    pages = html_pages(only_ids(table(spark, folder, "pages"), ["3", "5", "3", "8", "none"], "page_id"))
+    return pages.select(F.col("id").alias("page_id"), "url")
 
 
 @query

@@ -39,11 +39,15 @@ y1 AS (SELECT *, row_number() OVER (PARTITION BY page_id, block_type ORDER BY po
 z AS (SELECT page_id, block_type, ad, text, place, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS index FROM y1 WHERE text <> '')
 """
 _HTML_BLOCKS = f"WITH {_BLOCKS}"
-_LINES = f"""
-a AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+def _lines(source: str = "documents") -> str:
+    return f"""
+a AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM {source}),
 l0 AS (SELECT doc_id, unnest(l) AS text, generate_subscripts(l, 1) AS pos FROM a),
 l AS (SELECT doc_id, text, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS i FROM l0 WHERE {_trim('text')} <> '')
 """
+
+
+_LINES = _lines()
 _DOC_BLOCKS = f"""
 WITH {_LINES}
 SELECT doc_id::VARCHAR AS page_id, i::INT AS index, 'EDU:' || doc_id || '-' || i AS id, text,
@@ -90,10 +94,10 @@ c AS (SELECT doc_id, chunk_no, string_agg(p.t[k], ' ' ORDER BY k) AS text, sum(p
 """
 
 
-def _parts(size: int) -> str:
+def _parts(size: int, source: str = "documents") -> str:
     """Blocks as chunks see them: b (doc_id, k: unit, i: line, part, t, n, first, last, raw), oversized lines in parts of whole sentences or runs of words."""
     return f"""
-{_LINES},
+{_lines(source)},
 s0 AS (SELECT doc_id, i, text AS raw, {_tokens('text')} AS lt, {_sentences('text')} AS s FROM l),
 s AS (SELECT row_number() OVER () AS sid, doc_id, i, j, raw, lt, t, {_tokens('t')} AS n FROM (SELECT doc_id, i, raw, lt, unnest(s) AS t, generate_subscripts(s, 1) AS j FROM s0)),
 big AS (SELECT sid, t FROM s WHERE n > {size}),
@@ -113,10 +117,10 @@ b AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, k) AS k,
 """
 
 
-def _fragments(size: int) -> str:
+def _fragments(size: int, source: str = "documents") -> str:
     """What each chunk holds of each block: g (doc_id, chunk_no, block_index, text, text_offset)."""
     return f"""
-{_parts(size)},
+{_parts(size, source)},
 p AS (SELECT doc_id, list(n ORDER BY k) AS n FROM b GROUP BY doc_id),
 f AS (SELECT doc_id, 1 AS k, 0 AS chunk_no, n[1] AS used FROM p
       UNION ALL
@@ -131,6 +135,62 @@ h AS (SELECT doc_id, chunk_no, 'EDU:' || doc_id || ':' || min(block_index) || '-
 """
 
 
+def _shown(side: str, overlap: int) -> str:
+    """What a neighbour shows of a core of words s to e of a document's words w (their running tokens c; first words of blocks b, and of units u): from its end or
+    its start whole blocks while they fit, and of the next block the bins of sentences, or of words of longer sentences, that fit; as columns text and n."""
+    end = side == "end"
+    sums = "c[e] - coalesce(c[x - 1], 0)" if end else "c[x] - coalesce(c[s - 1], 0)"
+    # x: the last (first) word of the run of whole blocks; from, upto: the block that is cut
+    edges = "list_filter(list_concat([s], b), lambda x: x >= s AND x <= e)" if end else "list_append(list_transform(list_filter(b, lambda x: x > s AND x <= e), lambda x: x - 1), e)"
+    fitting = f"list_filter({edges}, lambda x: {sums} <= {overlap})"
+    x = f"coalesce(list_min({fitting}), e + 1)" if end else f"coalesce(list_max({fitting}), s - 1)"
+    done = "x <= s" if end else "x >= e"
+    cut = (
+        "list_max(list_filter(list_concat([s], b), lambda y: y >= s AND y < x)) AS a, x - 1 AS z"
+        if end
+        else "x + 1 AS a, least(e, coalesce(list_min(list_filter(b, lambda y: y > x + 1)) - 1, e)) AS z"
+    )
+    spare = f"{overlap} - (c[e] - coalesce(c[x - 1], 0))" if end else f"{overlap} - (coalesce(c[x], 0) - coalesce(c[s - 1], 0))"
+    unit_n = "c[least(z, coalesce(list_min(list_filter(u, lambda y: y > v)) - 1, z))] - coalesce(c[v - 1], 0)"
+    atoms = f"""flatten(list_transform(list_filter(list_distinct(list_concat([a], u)), lambda v: v >= a AND v <= z), lambda v: CASE WHEN {unit_n} <= spare
+      THEN [{{'s': v, 'n': {unit_n}, 'k': 0}}]
+      ELSE list_transform(range(v, least(z, coalesce(list_min(list_filter(u, lambda y: y > v)) - 1, z)) + 1), lambda j: {{'s': j, 'n': c[j] - coalesce(c[j - 1], 0), 'k': v}}) END))"""
+    start = "{'s': 0, 'n': 0::BIGINT, 'k': -1, 'used': 0::BIGINT, 'starts': []::BIGINT[], 'sums': []::BIGINT[]}"
+    bins = f"""list_reduce(list_transform(list_sort({atoms}), lambda t: {{'s': t.s::BIGINT, 'n': t.n::BIGINT, 'k': t.k::BIGINT, 'used': 0::BIGINT, 'starts': []::BIGINT[], 'sums': []::BIGINT[]}}),
+      lambda acc, t: CASE WHEN len(acc.starts) = 0 OR t.k <> acc.k OR acc.used + t.n > spare
+        THEN {{'s': t.s, 'n': t.n, 'k': t.k, 'used': t.n, 'starts': list_append(acc.starts, t.s), 'sums': list_append(acc.sums, t.n)}}
+        ELSE {{'s': t.s, 'n': t.n, 'k': t.k, 'used': acc.used + t.n, 'starts': acc.starts, 'sums': list_append(acc.sums[:len(acc.sums) - 1], acc.used + t.n)}} END, {start.replace("'s': 0", "'s': 0::BIGINT").replace("-1", "-1::BIGINT")})"""
+    m = "len(list_filter(range(1, len(f.sums) + 1), lambda i: list_sum({}) <= spare))".format("f.sums[len(f.sums) - i + 1:]" if end else "f.sums[:i]")
+    piece = (
+        "CASE WHEN m = 0 THEN substr(array_to_string(w[f.starts[len(f.starts)]:z], ' '), 1, 200) ELSE array_to_string(w[f.starts[len(f.starts) - m + 1]:z], ' ') END"
+        if end
+        else "CASE WHEN m = 0 THEN substr(array_to_string(w[a:coalesce(f.starts[2] - 1, z)], ' '), 1, 200) ELSE array_to_string(w[a:coalesce(f.starts[m + 1] - 1, z)], ' ') END"
+    )
+    whole = "CASE WHEN x <= e THEN array_to_string(w[x:e], ' ') END" if end else "CASE WHEN x >= s THEN array_to_string(w[s:x], ' ') END"
+    order = f"concat_ws(' ', piece, {whole})" if end else f"concat_ws(' ', {whole}, piece)"
+    return f"""(SELECT {order} AS text FROM (SELECT x, CASE WHEN {done} OR spare <= 0 THEN NULL ELSE {piece} END AS piece FROM (
+      SELECT *, {m} AS m FROM (SELECT *, CASE WHEN {done} OR spare <= 0 THEN NULL ELSE {bins} END AS f FROM (
+      SELECT *, {cut} FROM (SELECT *, {spare} AS spare FROM (SELECT {x} AS x)))))))"""
+
+
+def _overlapping(size: int, overlap: int) -> str:
+    """Chunks of documents that show up to ``overlap`` tokens of their neighbours: chain (doc_id, no, s, e: first and last word, before)."""
+    fill = lambda s, room: f"""coalesce(list_max(list_filter(ends, lambda y: y >= {s} AND c[y] - coalesce(c[{s} - 1], 0) <= {room})),
+      list_max(list_filter(range({s}, least(len(w), {s} + {size}) + 1), lambda y: c[y] - coalesce(c[{s} - 1], 0) <= {room})), {s})"""
+    return f"""
+{_parts(max(10, size - 2 * overlap))},
+n0 AS (SELECT doc_id, k, i, part, first, {_words('t')} AS t FROM b),
+n1 AS (SELECT doc_id, k, i, part, first, unnest(t) AS t, generate_subscripts(t, 1) AS j FROM n0),
+n2 AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) AS p, {_tokens('t')} AS n FROM n1),
+n3 AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY p)::BIGINT AS c, lead(j) OVER (PARTITION BY doc_id ORDER BY p) IS DISTINCT FROM j + 1 AS final FROM n2),
+d AS MATERIALIZED (SELECT doc_id, list(t ORDER BY p) AS w, list(c ORDER BY p) AS c, coalesce(list(p ORDER BY p) FILTER (first AND j = 1), []) AS b, list(p ORDER BY p) FILTER (j = 1) AS u, list(p ORDER BY p) FILTER (final) AS ends FROM n3 GROUP BY doc_id),
+chain AS (SELECT doc_id, 0 AS no, 1::BIGINT AS s, {fill("1", size - overlap)}::BIGINT AS e, '' AS before FROM d
+      UNION ALL
+      SELECT doc_id, no + 1, e + 1, {fill("(e + 1)", f"CASE WHEN free > 0 THEN free ELSE {size - overlap} END")}::BIGINT, CASE WHEN free > 0 THEN shown ELSE '' END
+      FROM (SELECT *, {size - overlap} - {_tokens('shown')} AS free FROM (SELECT chain.*, d.* EXCLUDE (doc_id), {_shown("end", overlap)} AS shown FROM chain JOIN d USING (doc_id) WHERE chain.e < len(d.w))))
+"""
+
+
 def _page_chunks(size: int) -> str:
     """Chunks of the provided pages, whose only heading is one h1: room depends on the title's and the heading's tokens."""
     return f"""
@@ -182,6 +242,14 @@ def _quote(x: str) -> str:
     return f"replace(url_encode({x}), '%2F', '/')"
 
 
+def _overlapping_rows(size: int, overlap: int) -> str:
+    return f"""WITH RECURSIVE {_overlapping(size, overlap)},
+links AS (SELECT chain.*, d.* EXCLUDE (doc_id), 1 + len(list_filter(b, lambda x: x > s AND x <= e)) AS parts FROM chain JOIN d USING (doc_id)),
+h AS (SELECT *, {_shown("start", overlap)} AS opening, sum(parts) OVER (PARTITION BY doc_id ORDER BY no) AS upto FROM links)
+SELECT 'EDU:' || doc_id || ':' || (upto - parts) || '-' || (upto - 1) AS chunk_id, doc_id::VARCHAR AS page_id, no::INT AS chunk_no, array_to_string(w[s:e], ' ') AS normalized_text,
+       before AS overlap_prev_text, coalesce(lead(opening) OVER (PARTITION BY doc_id ORDER BY no), '') AS overlap_next_text FROM h"""
+
+
 ORACLES = {
     "page_info_rows": f"SELECT page_id, title AS page_title, host AS space_key, 1::INT AS page_version, '' AS last_modified FROM ({_PAGES})",
     "block_counts": f"{_HTML_BLOCKS} SELECT block_type, count(*) AS n_blocks, sum(length(text))::BIGINT AS n_chars FROM z GROUP BY block_type",
@@ -192,10 +260,14 @@ ORACLES = {
 coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS text_offset, length(text)::INT AS text_length,
 last_value(CASE WHEN block_type = 'h1' THEN 'EDU:' || page_id || '-' || index END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS parent_heading_id,
 NULL::VARCHAR AS html_id FROM z WINDOW w AS (PARTITION BY page_id ORDER BY index)""",
+    "lateral_blocks": f"""{_HTML_BLOCKS} SELECT page_id, index::INT AS index, block_type, text, '/body[1]/' || CASE WHEN ad THEN '' ELSE 'article[1]/' END || block_type || '[' || place || ']' AS xpath,
+'body:nth-of-type(1) > ' || CASE WHEN ad THEN 'div.ad' ELSE 'article:nth-of-type(1) > ' || block_type || ':nth-of-type(' || place || ')' END AS css_selector, NULL::VARCHAR AS html_id FROM z""",
     "empty_pages": "SELECT page_id::VARCHAR AS page_id FROM pages WHERE page_id % 5 = 0",
     "json_page_rows": """SELECT page_id::VARCHAR AS page_id, 'Page ' || page_id AS title, CASE WHEN page_id % 3 > 0 THEN 'K' ELSE '' END AS space_key, CASE WHEN page_id % 3 > 0 THEN 'Name' ELSE '' END AS space_name,
 CASE WHEN page_id % 4 > 0 THEN page_id % 7 ELSE 1 END::INT AS version, CASE WHEN page_id % 4 > 0 THEN '2024-01-01' ELSE '' END AS last_modified, md5(html) AS body_md5, 'http://wiki.example.com/pages/' || page_id AS url
-FROM pages WHERE page_id % 11 > 0""",
+FROM pages WHERE page_id % 11 > 0 AND page_id % 13 > 0 AND page_id % 17 > 0 AND page_id % 19 > 0""",
+    "json_fetch_failures": """SELECT page_id::VARCHAR AS id, CASE WHEN page_id % 11 = 0 THEN 'not found' ELSE 'unreadable page' END AS error FROM pages
+WHERE page_id % 11 = 0 OR page_id % 13 = 0 OR page_id % 17 = 0 OR page_id % 19 = 0""",
     "made_page_blocks": """WITH n AS (SELECT n_regionkey AS r, n_nationkey AS k, n_name AS name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, count(*) OVER (PARTITION BY n_regionkey) AS c FROM nation),
 x AS (SELECT r_regionkey AS r, 0 AS index, 'h1' AS block_type, r_name AS text, '/body[1]/h1[1]' AS xpath, 'top' AS html_id FROM region WHERE r_regionkey IN (SELECT r FROM n)
       UNION ALL SELECT DISTINCT r, 1, 'h3', 'Table', '/body[1]/h3[1]', NULL FROM n
@@ -262,13 +334,19 @@ SELECT a.doc_id, coalesce(prefix, '') AS prefix, length(CASE WHEN prefix IS NULL
     "tag_token_rows": f"""WITH t AS (SELECT page_id, title, CASE WHEN page_id::BIGINT % 3 > 0 THEN array_to_string(string_split(host, '.'), ' > ') END AS heads FROM ({_PAGES})),
 n AS (SELECT page_id, CASE WHEN title <> '' THEN {_tokens("'[PAGE] ' || title")} ELSE 0 END + CASE WHEN heads IS NOT NULL THEN {_tokens("'[SECTION] ' || heads")} ELSE 0 END AS n FROM t)
 SELECT page_id, CASE WHEN n > 0 THEN n + 3 ELSE 0 END::BIGINT AS n_tokens FROM n""",
-    "embedding_rows": f"""WITH t AS (SELECT page_id, title, CASE WHEN page_id::BIGINT % 3 > 0 THEN array_to_string(string_split(host, '.'), ' > ') END AS heads, {_trim("substr(html, 1, 200)")} AS text FROM ({_PAGES}))
+    "embedding_rows": f"""WITH t AS (SELECT page_id, title, CASE WHEN page_id::BIGINT % 3 > 0 THEN array_to_string(string_split(host, '.'), ' > ') END AS heads, {_trim("coalesce(html, '')")} AS text FROM ({_PAGES}))
 SELECT page_id, CASE WHEN title = '' AND heads IS NULL THEN text ELSE concat_ws(chr(10), CASE WHEN title <> '' THEN '[PAGE] ' || title END, '[SECTION] ' || heads, '[TEXT] ' || text) END AS embedding_text FROM t""",
     "navigation_rows": f"""SELECT doc_id, 'http://example.com/x#' || CASE WHEN doc_id % 3 = 0 THEN 'b' || doc_id WHEN doc_id % 2 = 0 THEN 'h' || doc_id ELSE ':~:text=' || {_quote(_trim('substr(text, 1, 80)'))} END AS navigation_url FROM documents""",
     "chunk_texts": f"WITH RECURSIVE {_chunks(SIZE)} SELECT doc_id::VARCHAR AS page_id, chunk_no::INT AS chunk_no, text AS normalized_text, length(text)::INT AS text_length, '#:~:text=' || {_quote(_trim('substr(text, 1, 80)'))} AS navigation_url, text AS embedding_text FROM c",
+    "long_page_chunks": f"WITH RECURSIVE {_chunks(SIZE)} SELECT doc_id::VARCHAR AS page_id, chunk_no::BIGINT AS chunk_no, count(*) AS n_sentences, sum(p.n[k])::BIGINT AS n_tokens, string_agg(p.t[k], ' ' ORDER BY k) AS normalized_text FROM f JOIN p USING (doc_id) GROUP BY doc_id, chunk_no",
     "chunk_bounds": f"WITH RECURSIVE {_chunks(512)} SELECT doc_id::VARCHAR AS page_id, chunk_no::INT AS chunk_no, length(text)::INT AS text_length, n AS n_tokens FROM c",
     "chunk_count": f"WITH RECURSIVE {_chunks(SIZE)} SELECT count(*) AS n_chunks FROM c",
     "chunk_lookup": f"WITH RECURSIVE {_chunks(512)} SELECT 'EDU:7:0-5' AS chunk_id, text AS normalized_text FROM c WHERE doc_id = 7 AND chunk_no = 0",
+    "stored_table": f"""WITH RECURSIVE
+changed AS (SELECT doc_id, CASE WHEN doc_id % 100 = 0 THEN '' WHEN doc_id % 10 = 0 THEN 'New. ' || string_split(text, chr(10))[1] ELSE text END AS text FROM documents),
+{_fragments(512, "changed")} SELECT chunk_id, doc_id::VARCHAR AS page_id, md5(text) AS text_md5 FROM h""",
+    "chunks_overlapping": _overlapping_rows(SIZE, 16),
+    "chunks_overlapping_wide": _overlapping_rows(512, 64),
     "chunk_upsert": """WITH new AS (SELECT doc_id // 10 AS chunk_id, arg_max(doc_id || '/' || quality || '/' || toxic, doc_id) AS payload FROM labels GROUP BY 1)
 SELECT chunk_id, payload FROM new UNION ALL SELECT doc_id // 10, 'old ' || min(source) FROM documents WHERE doc_id // 10 NOT IN (SELECT chunk_id FROM new) GROUP BY 1""",
     "explicit_ids": "SELECT page_id::VARCHAR AS page_id, url FROM pages JOIN (VALUES (3), (5), (3), (8)) AS v(i) ON page_id = i",
