@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, replace
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
-STRATEGIES = ("simple", "tokenizer")
+#: Names of the ways of counting tokens; ``operators.overlap.register_strategy`` adds to them.
+STRATEGIES = {"simple", "tokenizer"}
 SENTENCE_BACKENDS = ("regex",)
 
 
@@ -78,7 +79,7 @@ class Config:
         if self.chunk_overlap < 0 or self.chunk_overlap >= self.chunk_size:
             wrong.append("chunk_overlap must be 0 or more and less than chunk_size")
         if self.strategy not in STRATEGIES:
-            wrong.append(f"strategy must be one of {', '.join(STRATEGIES)}")
+            wrong.append(f"strategy must be one of {', '.join(sorted(STRATEGIES))}")
         if self.strategy == "tokenizer" and not self.tokenizer_path:
             wrong.append("strategy tokenizer needs tokenizer_path")
         if self.sentence_backend not in SENTENCE_BACKENDS:

@@ -14,6 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..config import STRATEGIES as known_strategies
 from ..config import Config
 from ..functions.text import SENTENCE_END, SPACE, TOKEN, quoted
 from .chunks import HELD, LEAST_ROOM, PAGE_COLUMNS
@@ -73,12 +74,22 @@ def words(text: str) -> list[str]:
     return [w for w in _SPACE.split(text) if w]
 
 
+#: How texts are counted, by the name that the setting ``strategy`` has; each makes a function from text to tokens in a worker.
+STRATEGIES: dict[str, Callable[[Config], Callable[[str], int]]] = {"simple": lambda config: simple_count, "tokenizer": lambda config: tokenizer_count(config.tokenizer_path)}
+
+
+def register_strategy(name: str, build: Callable[[Config], Callable[[str], int]]) -> None:
+    """Make a way of counting known by a name.  ``build`` goes to the workers, so it must be picklable."""
+    known_strategies.add(name)
+    STRATEGIES[name] = build
+
+
 class Packer:
     """The chunks of one page at a time."""
 
-    def __init__(self, config: Config):
+    def __init__(self, config: Config, build: Callable[[Config], Callable[[str], int]] | None = None):
         self.c = config
-        self.count = simple_count if config.strategy == "simple" else tokenizer_count(config.tokenizer_path)
+        self.count = (build or STRATEGIES[config.strategy])(config)
 
     def fitting(self, texts: list[str], cap: int) -> int:
         """How many of the first texts fit together."""
@@ -194,8 +205,10 @@ _HELD = pa.list_(pa.struct([("html_id", pa.string()), ("hierarchy", pa.list_(pa.
 def packed_overlapping(rows: DataFrame, config: Config) -> DataFrame:
     """``rows`` with ``held`` in place of ``pieces``."""
 
+    build = STRATEGIES[config.strategy]  # workers know those of the library alone
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(config)
+        packer = Packer(config, build)
         for batch in batches:
             held = [packer(p, t) for p, t in zip(batch.column("pieces").to_pylist(), batch.column("title").to_pylist(), strict=True)]
             kept = batch.drop_columns(["pieces"])

@@ -15,10 +15,10 @@ from ..operators.chunks import block_splits, chunk_pages, page_rows, with_units
 from ..operators.html import register_parse_blocks
 from ..operators.long_pages import chunk_texts as long_chunk_texts
 from ..operators.overlap import tokenizer_counts
-from ..sinks.core import TableSink, chunk_of, payloads, upsert
+from ..sinks.core import ALL, Composite, JsonSink, TableSink, chunk_of, payloads, upsert
 from ..sources.tables import conversation_pages, fetch_failures, from_json_pages, html_pages, only_ids, page_info, parsed_pages, spread, table, text_pages
 from ..staging import scratch_path
-from ..streaming.stream import run_stats
+from ..streaming.stream import run_from, run_stats
 from . import sql
 
 CONFIG = Config()
@@ -133,6 +133,14 @@ def made_page_blocks(spark, folder):
     return heading_hierarchy(page_blocks(parsed_pages(pages, CONFIG))).withColumn("hierarchy", F.array_join("hierarchy", " > ")).drop("id", "css_selector")
 
 
+@query
+def mixed_page_blocks(spark, folder):
+    """A page for each nation: text beside blocks in one element, and an element that is left out by its id."""
+    html = F.concat(F.lit("<body><div>Intro "), "n_name", F.lit("<p>Para "), F.col("n_nationkey").cast("string"), F.lit("</p>More <b>of</b> "), "n_name", F.lit("</div><p id='ad-"), F.col("n_nationkey").cast("string"), F.lit("'>gone</p><section id='s'><p>kept</p></section>"))
+    pages = table(spark, folder, "nation").select(F.col("n_nationkey").cast("long").alias("page_id"), F.lit("http://x.com/y").alias("url"), html.alias("html"))
+    return page_blocks(parsed_pages(pages, CONFIG.with_(excluded_ids=("ad",)))).select("page_id", "index", "block_type", "text", "xpath", "text_offset")
+
+
 @query
 def conversation_blocks(spark, folder):
     return page_blocks(conversation_pages(table(spark, folder, "conversations"))).select("page_id", "index", "id", "text", "xpath", "text_offset", "text_length")
@@ -327,6 +335,40 @@ def chunk_upsert(spark, folder):
     return upsert(old, new, order=["doc_id"])
 
 
+class _Refusing(JsonSink):
+    """Writes JSON, but takes no part that holds a page whose number ends with 50."""
+
+    def write(self, chunks, pages, blocks, batch=0, part=ALL):
+        if not pages.where(F.col("id").endswith("50")).isEmpty():
+            raise RuntimeError("refused")
+        super().write(chunks, pages, blocks, batch, part)
+
+
+def _ran(spark, folder) -> tuple[DataFrame, Config, list]:
+    """A run from an API's answers to JSON and the table, where one sink refuses some pages."""
+    config = CONFIG.with_(output_dir=scratch_path(spark, "run"), include_blocks=True, table_enabled=True, base_url="http://wiki.example.com")
+    sinks = [_Refusing(config), TableSink(spark, f"{config.output_dir}/table")]
+    return run_from(spark, config, spread(_answers(spark, folder)), Composite(sinks)), config, sinks
+
+
+@query
+def run_counters(spark, folder):
+    """Counters of a run, chunks aside."""
+    about, _, _ = _ran(spark, folder)
+    names = ("page_ids", "pages_fetched", "pages_fetch_failed", "pages_processed", "pages_process_failed", "pages_with_errors", "pages_write_failed", "blocks_written")
+    return about.select(*[F.col(f"stats.{n}").alias(n) for n in names])
+
+
+@query
+def run_sections(spark, folder):
+    """What a run has written of pages and blocks as JSON."""
+    _, _, (sink, _) = _ran(spark, folder)
+    field = lambda path: F.get_json_object("value", path)
+    pages = spark.read.text(f"{sink.path}/pages").select(F.lit("page").alias("section"), field("$.page_id").alias("page_id"), field("$.page_title").alias("text"))
+    blocks = spark.read.text(f"{sink.path}/blocks").select(F.lit("block").alias("section"), field("$.page_id").alias("page_id"), field("$.text").alias("text"))
+    return pages.unionByName(blocks)
+
+
 @query
 def stored_table(spark, folder):
     """The stored table after two batches: all documents, then every tenth, and one in a hundred, with another text; the pages' stale chunks are gone."""

@@ -250,6 +250,8 @@ SELECT 'EDU:' || doc_id || ':' || (upto - parts) || '-' || (upto - 1) AS chunk_i
        before AS overlap_prev_text, coalesce(lead(opening) OVER (PARTITION BY doc_id ORDER BY no), '') AS overlap_next_text FROM h"""
 
 
+_READ = "page_id % 11 > 0 AND page_id % 13 > 0 AND page_id % 17 > 0 AND page_id % 19 > 0"
+
 ORACLES = {
     "page_info_rows": f"SELECT page_id, title AS page_title, host AS space_key, 1::INT AS page_version, '' AS last_modified FROM ({_PAGES})",
     "block_counts": f"{_HTML_BLOCKS} SELECT block_type, count(*) AS n_blocks, sum(length(text))::BIGINT AS n_chars FROM z GROUP BY block_type",
@@ -265,7 +267,8 @@ NULL::VARCHAR AS html_id FROM z WINDOW w AS (PARTITION BY page_id ORDER BY index
     "empty_pages": "SELECT page_id::VARCHAR AS page_id FROM pages WHERE page_id % 5 = 0",
     "json_page_rows": """SELECT page_id::VARCHAR AS page_id, 'Page ' || page_id AS title, CASE WHEN page_id % 3 > 0 THEN 'K' ELSE '' END AS space_key, CASE WHEN page_id % 3 > 0 THEN 'Name' ELSE '' END AS space_name,
 CASE WHEN page_id % 4 > 0 THEN page_id % 7 ELSE 1 END::INT AS version, CASE WHEN page_id % 4 > 0 THEN '2024-01-01' ELSE '' END AS last_modified, md5(html) AS body_md5, 'http://wiki.example.com/pages/' || page_id AS url
-FROM pages WHERE page_id % 11 > 0 AND page_id % 13 > 0 AND page_id % 17 > 0 AND page_id % 19 > 0""",
+FROM pages WHERE """
+    + _READ,
     "json_fetch_failures": """SELECT page_id::VARCHAR AS id, CASE WHEN page_id % 11 = 0 THEN 'not found' ELSE 'unreadable page' END AS error FROM pages
 WHERE page_id % 11 = 0 OR page_id % 13 = 0 OR page_id % 17 = 0 OR page_id % 19 = 0""",
     "made_page_blocks": """WITH n AS (SELECT n_regionkey AS r, n_nationkey AS k, n_name AS name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, count(*) OVER (PARTITION BY n_regionkey) AS c FROM nation),
@@ -281,6 +284,14 @@ SELECT r::VARCHAR AS page_id, x.index::INT AS index, block_type, text, xpath, ht
        CASE WHEN x.index > 0 THEN 'EDU:' || r || '-' || CASE WHEN x.index > 3 + m.c THEN 3 + m.c WHEN x.index > 1 THEN 1 ELSE 0 END END AS parent_heading_id,
        CASE WHEN x.index = 0 THEN '' WHEN x.index >= 3 + m.c THEN 'List > ' ELSE 'Table > ' END || m.top AS hierarchy
 FROM x JOIN (SELECT r_regionkey AS r, r_name AS top, count(*) AS c FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL) AS m USING (r) WINDOW w AS (PARTITION BY r ORDER BY x.index)""",
+    "mixed_page_blocks": """WITH x AS (SELECT n_nationkey AS k, unnest([0, 1, 2, 3]) AS i, unnest(['div', 'p', 'div', 'p']) AS t, unnest(['Intro ' || n_name, 'Para ' || n_nationkey, 'More of ' || n_name, 'kept']) AS text,
+       unnest(['/body[1]/div[1]', '/body[1]/div[1]/p[1]', '/body[1]/div[1]', '/body[1]/section[1]/p[1]']) AS xpath FROM nation)
+SELECT k::VARCHAR AS page_id, i::INT AS index, t AS block_type, text, xpath, coalesce(sum(length(text) + 1) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS text_offset FROM x""",
+    "run_counters": f"""WITH {_BLOCKS}, g AS (SELECT page_id::VARCHAR AS page_id, page_id % 100 = 50 AS refused FROM pages WHERE {_READ})
+SELECT (SELECT count(*) FROM pages) AS page_ids, count(*) AS pages_fetched, (SELECT count(*) FROM pages WHERE NOT ({_READ})) AS pages_fetch_failed, count(*) AS pages_processed, 0::BIGINT AS pages_process_failed, 0::BIGINT AS pages_with_errors,
+       count_if(refused)::BIGINT AS pages_write_failed, (SELECT count(*) FROM z WHERE page_id IN (SELECT page_id FROM g WHERE NOT refused)) AS blocks_written FROM g""",
+    "run_sections": f"""WITH {_BLOCKS}, g AS (SELECT page_id::VARCHAR AS page_id FROM pages WHERE {_READ} AND page_id % 100 <> 50)
+SELECT 'page' AS section, page_id, 'Page ' || page_id AS text FROM g UNION ALL SELECT 'block', page_id, text FROM z WHERE page_id IN (SELECT page_id FROM g)""",
     "conversation_blocks": """WITH t AS (SELECT conv_id, text, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations)
 SELECT conv_id::VARCHAR AS page_id, i::INT AS index, 'EDU:' || conv_id || '-' || i AS id, coalesce(text, '') AS text, concat_ws('/', '/turn', role) AS xpath,
        coalesce(sum(length(coalesce(text, '')) + 1) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS text_offset, length(coalesce(text, ''))::INT AS text_length FROM t""",

@@ -37,3 +37,25 @@ def test_chunks(spark):
     rows = [r for r in QUERIES["tokenizer_chunks"](spark, FOLDER).collect() if r["page_id"] in ids]
     assert {(r["page_id"], r["chunk_no"]): (r["normalized_text"], r["overlap_prev_text"]) for r in rows} == want
     assert max(packer.count(r["normalized_text"]) for r in rows) <= 256
+
+
+def test_a_strategy_of_ones_own(spark):
+    from chunkloom import config as settings
+    from chunkloom.operators import overlap
+    from chunkloom.operators.chunks import chunk_pages
+    from chunkloom.sources.tables import text_pages
+
+    overlap.register_strategy("letters", lambda config: len)
+    try:
+        docs = spark.createDataFrame([(1, "One two three. Four five six. Seven eight.", "s")], "doc_id long, text string, source string")
+        config = Config(strategy="letters", chunk_size=20).validate()
+        texts = [r["normalized_text"] for r in chunk_pages(text_pages(docs), config).orderBy("chunk_no").collect()]
+        assert texts == ["One two three.", "Four five six.", "Seven eight."]
+    finally:
+        overlap.STRATEGIES.pop("letters")
+        settings.STRATEGIES.discard("letters")
+    try:
+        config.validate()
+        raise AssertionError("an unknown strategy passed")
+    except ValueError as wrong:
+        assert "strategy must be one of simple, tokenizer" in str(wrong)
