@@ -12,8 +12,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from .common import Batches, remainder
+from .common import Batches, quoted, remainder
 
 MODULUS, HELD_OUT = 3, 1
 BUCKETS = 1 << 15
@@ -139,21 +140,23 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score (that language's share) and lang_shares (all languages of the chosen set).
+    """``docs`` without its text, with lang_pred, score (that language's share) and lang_shares (all languages of the chosen set).
 
+    Other columns are kept, whatever their names, but for those made here.
     Null texts, texts without a letter, and all texts if nothing was learned, are ``und`` with score 0.
     Ties go to the language first in the alphabet.
     """
     names, logs = model
     shared = docs.sparkSession.sparkContext.broadcast((names, logs))
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score", "lang_shares")]
-    keep = docs.select(*[F.col(f"`{c}`") for c in columns if c != text], F.col(text).cast("string").alias("_text"))
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "lang_shares", text)]
+    # plain names on the way, whatever names the columns have
+    given = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(kept)], quoted(text).cast("string").alias("text"))
 
     def rows(batches: Batches):
         names, logs = shared.value
         for batch in batches:
             best, score, shares = [], [], []
-            for data in batch.column("_text").to_pylist():
+            for data in batch.column("text").to_pylist():
                 if data is None or not names or not _LETTER.search(data):
                     best.append(UNKNOWN), score.append(0.0), shares.append([])
                     continue
@@ -161,17 +164,24 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
                 top = int(np.argmax(share))
                 best.append(names[top]), score.append(min(1.0, float(share[top])))
                 shares.append([(names[i], float(share[i])) for i in np.flatnonzero(share)])
-            out = batch.drop_columns(["_text"])
+            out = batch.drop_columns(["text"])
             found = pa.StructArray.from_arrays([pa.array([n for x in shares for n, _ in x], pa.string()), pa.array([s for x in shares for _, s in x], pa.float64())], ["lang", "share"])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in shares])]).astype(np.int32)), found)
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(best), pa.array(score), lists], names=[*out.schema.names, "lang_pred", "score", "lang_shares"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema if f.name != "_text"] + ["lang_pred string", "score double", "lang_shares array<struct<lang:string,share:double>>"])
-    return keep.mapInArrow(rows, schema)
+    shares = ArrayType(StructType([StructField("lang", StringType()), StructField("share", DoubleType())]))
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("lang_shares", shares)]
+    schema = StructType([*[f for f in given.schema.fields if f.name != "text"], *added])
+    return given.mapInArrow(rows, schema).toDF(*kept, "lang_pred", "score", "lang_shares")
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, lang_shares of all ``docs``, learned from those not held out that have a language."""
+    """doc_id, held_out, lang_pred, score, lang_shares of all ``docs`` (doc_id, text, lang), learned from those not held out that have a language.
+
+    Null texts, texts without a letter, and all texts if nothing was learned, are ``und`` with score 0; null ids are not held out.  Repeated rows
+    count as often as they stand there when the model is learned, and are predicted alike.  Texts of any length are read whole, in blocks.  Other columns
+    are not looked at, whatever their names.  An empty table gives an empty result.  ValueError if there are more languages than a model holds.
+    """
     marked = docs.withColumn("held_out", remainder(F.col("doc_id"), MODULUS) == HELD_OUT)
     model = train(marked.where("not held_out"))
     return predict(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text"), model)

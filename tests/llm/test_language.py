@@ -76,3 +76,14 @@ def test_too_many_languages_raise(spark, monkeypatch):
     with pytest.raises(ValueError, match="3 languages"):
         language_id.train(docs)
     assert len(language_id.train(docs, buckets=1 << 10)[0]) == 3
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "some words here", "en", "k", "v", "w", "old"), (2, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string, `a``b` string, `c.d` string, score string")
+    out = language_id.predict(docs, language_id.train(docs))
+    assert out.columns == ["doc_id", "lang", "_text", "a`b", "c.d", "lang_pred", "score", "lang_shares"]
+    first, second = sorted(out.collect())
+    assert tuple(first[:6]) == (1, "en", "k", "v", "w", "en") and (second["lang_pred"], second["score"], second["lang_shares"]) == ("und", 0.0, [])
+    assert language_id.identify(docs).columns == ["doc_id", "held_out", "lang_pred", "score", "lang_shares"]
+    assert language_id.identify(docs.where("false")).count() == 0
