@@ -32,11 +32,11 @@ from .common import Batches, quoted, texts
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Bytes of texts that are encoded, and whose new words are indexed, at a time.
-BLOCK_TEXT = 4 << 20
+BLOCK_TEXT = 2 << 20
 #: A pair with so many places is merged at all of them by array operations, which cost some 50 places otherwise.
 MANY = 48
 #: Bytes of words and ids that a worker remembers, about; beyond it forgets all.
-CACHE_BYTES = 112 << 20
+CACHE_BYTES = 96 << 20
 # Fixed value: how words of ASCII characters are cut before merging.
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 # Fixed value: Unicode's white space.  Runs of three, and of two at the end of a text, may be no place to cut at.
