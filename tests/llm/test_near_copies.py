@@ -76,3 +76,50 @@ def test_rows_that_share_an_id_stay_or_go_by_their_texts(spark):
     kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert sorted(map(tuple, kept), key=str) == sorted((rows[i] for i in slow_kept(rows)), key=str)
     assert len(kept) == 6 and near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").where("false")).count() == 0
+
+
+def group_of_edited_copies(texts=60, words=120, edits=12):
+    """Copies of one text, each with some words of its own and some that it shares with a few others: most are apart, some alike."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(words)]
+    families = [{int(at): f"f{f}x{at}" for at in rng.choice(words, edits, replace=False)} for f in range(12)]
+    rows = []
+    for i in range(texts):
+        own = list(base)
+        for at, word in families[i % 12].items():
+            own[at] = word
+        own[int(rng.integers(0, words))] = f"o{i}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_golay_keys_find_copies_without_the_bands(spark, monkeypatch):
+    """The stage's named keys find near copies of few differing bits by themselves."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for base in range(4):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 400)]
+        rows += [(2 * base, " ".join(words)), (2 * base + 1, " ".join([*words, "more"]))]
+    prints = [near_copies.fingerprint(near_copies.shingles(t.encode())) for _, t in rows]
+    assert all((prints[i] ^ prints[i + 1]).bit_count() <= 4 for i in range(0, 8, 2))
+    monkeypatch.setattr(near_copies, "bands", lambda own: np.zeros(0, np.int64))
+    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 2, 4, 6]
+
+
+def test_shingles_of_a_text_are_listed_once_for_a_pivot(spark, monkeypatch):
+    """In a large group of copies that are apart, work at the end does not grow with the keys in which two texts meet."""
+    rows, listed = group_of_edited_copies(), []
+    plain = near_copies.materialize
+
+    def seen(df, label):
+        made = plain(df, label)
+        if label == "near-held":
+            listed.extend(made.selectExpr("node", "pivot", "n", "size(other) lists").collect())
+        return made
+
+    monkeypatch.setattr(near_copies, "materialize", seen)
+    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(r["doc_id"] for r in kept) == slow_kept(rows) and 1 < len(kept) < len(rows)
+    assert listed and len({(r["node"], r["pivot"]) for r in listed}) == len(listed)
+    assert all(r["lists"] <= r["n"] // 5 + 1 for r in listed if r["node"] != r["pivot"])
