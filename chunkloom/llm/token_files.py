@@ -53,6 +53,9 @@ DICT_DOCS, DICT_CHARS, DICT_BYTES, DICT_LEAST = 2000, 4000, 64 << 10, 8
 CACHE_WORDS = 1_500_000
 #: A-Z before the first byte of a character that may be a mark to be composed with it.
 MARKED = re.compile(rb"[A-Z](?:[\xcc\xcd\xd2\xd6-\xe1\xe3-\xf4]|\xe2\x83)")
+#: The pieces that a text is cut to by a tokenizer whose words end before their marks, and those marks: ASCII's without "'", which begins pieces like 's.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
 #: Bytes of the texts whose words it learns at once.
 GROUP_TEXT = 1 << 20
 
@@ -75,6 +78,7 @@ class WordEncoder:
         self.added = [t.content.encode().lower() for t in added]
         spaceless = all(not (t.lstrip or t.rstrip) and len(t.content.split()) == 1 for t in added)
         self.by_word, self.lowers = spaceless and self.drops_space(), self.lowers_case()
+        self.cuts = self.lowers and self.cuts_marks()
 
     def drops_space(self) -> bool:
         """Whether probes in which words meet in every way have the ids of their words."""
@@ -91,6 +95,21 @@ class WordEncoder:
         before = steps[: kinds.index("Lowercase")] if "Lowercase" in kinds else []
         return "Lowercase" in kinds and all(s["type"] == "NFC" or s["type"] == "Replace" and s["pattern"] == {"Regex": "\\s+"} for s in before)
 
+    def cuts_marks(self) -> bool:
+        """Whether the tokenizer cuts a word between an ASCII letter and marks that end it, and gives its model words of a-z as they are."""
+        cutter = json.loads(self.tokenizer.to_str()).get("pre_tokenizer") or {}
+        first, *more = cutter.get("pretokenizers", [cutter])
+        splits = first.get("type") == "Split" and first["pattern"] == {"Regex": PIECES} and first["behavior"] == "Removed" and first["invert"]
+        plain = all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in more)
+        return splits and plain and not any(t.isalpha() for t in self.added)
+
+    def parted(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """A word without the marks that end it, and these, if the ids of both in turn are the word's."""
+        head = word.rstrip(MARKS)
+        if len(head) == len(word) or not head[-1:].isalpha() or any(t in word.lower() for t in self.added):
+            return None
+        return head, word[len(head) :]
+
     def words(self, data: bytes) -> list[bytes]:
         """The words of a text, with A-Z made small if that changes no id.
 
@@ -105,11 +124,22 @@ class WordEncoder:
         return low.split()
 
     def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of ``words``; those of a word that marks end are put together from its parts', which other words have too."""
         kind = "I" if self.wide else "H"
-        for start in range(0, len(words), 20_000):
-            part = words[start : start + 20_000]
+        parts = {w: p for w in words if (p := self.parted(w))} if self.cuts else {}
+        whole = {w for w in words if w not in parts} | set(chain.from_iterable(parts.values()))
+        new = []
+        for word in whole.difference(self.known):
+            if self.cuts and word.isalpha() and word.islower():  # both are of ASCII
+                self.known[word] = array(kind, [t.id for t in self.tokenizer.model.tokenize(word.decode())]).tobytes()
+            else:
+                new.append(word)
+        for start in range(0, len(new), 20_000):
+            part = new[start : start + 20_000]
             for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
                 self.known[word] = array(kind, e.ids).tobytes()
+        for word, (head, marks) in parts.items():
+            self.known[word] = self.known[head] + self.known[marks]
 
     def encode(self, group: list[bytes], end: bytes) -> Iterator[bytes]:
         """The serialized ids of each text and the end id; the words of all of them are learned at once."""
