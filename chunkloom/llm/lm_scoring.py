@@ -38,7 +38,7 @@ LEAF_WORDS, MAX_LEVELS = 1 << 13, 4
 #: Rows of the weight table, all of WIDTH weights: 8 MB, which each task holds beside its sums.
 ROWS = 1 << 16
 ENDINGS, ENDING_BITS = 1 << 10, 10
-BATCH = 1 << 17
+BATCH = 1 << 15
 #: Rows of a run that are added one by one.
 SHORT_RUN = 6
 #: Shares of the rounds, by which the training rows are dealt to them by hash.
@@ -239,24 +239,33 @@ def _begins(ordered: np.ndarray) -> np.ndarray:
 def gather(model: Model, leaf: np.ndarray, hashed: list[np.ndarray], seen: np.ndarray, expected: np.ndarray) -> None:
     """Add to each row of the table how often each class was seen and expected with it."""
     shares = [np.exp(b) for b in model.bias]
+    one = np.int32(1)  # of the tables' type, or numpy adds some 30 times as slowly
+    counted = np.zeros(model.rows * WIDTH, np.int32)  # how often each class was seen with each row
+    # without weights all tokens after the same classes have the same distribution, so for the first levels it is enough to count those with each row
+    after = [np.zeros(model.rows * WIDTH**level, np.int32) for level in (0, 1)] if model.weights is None else []
     for s in range(0, len(leaf), BATCH):
         for level, node, digit, rows in steps(model, leaf[s : s + BATCH], [h[s : s + BATCH] for h in hashed]):
             p = None if model.weights is None else probabilities(logits(model, level, node, rows))
             for at in rows:
-                order = np.argsort(at if p is not None else at << (WIDTH_BITS * level) | node)
-                ordered = at[order]
-                begins = _begins(ordered)
-                met, run = ordered[begins], np.zeros(len(at), np.int64)
-                run[begins[1:]] = 1
-                seen[met] += np.bincount(np.cumsum(run) * WIDTH + digit[order], minlength=len(met) * WIDTH).reshape(-1, WIDTH)
+                np.add.at(counted, at * WIDTH + digit, one)
+                if p is None and level < len(after):
+                    np.add.at(after[level], (at << (WIDTH_BITS * level)) + node, one)
+                    continue
                 if p is not None:
-                    expected[met] += _run_sums(np.take(p, order, axis=0), begins)
+                    order = np.argsort(at.astype(np.uint16), kind="stable") if model.rows <= 1 << 16 else np.argsort(at)  # two bytes are sorted by their digits
+                    ordered = at[order]
+                    begins = _begins(ordered)
+                    expected[ordered[begins]] += _run_sums(np.take(p, order, axis=0), begins)
                     continue
-                # without weights all tokens after the same classes have the same distribution
-                nodes = node[order]
+                order = np.argsort(at << (WIDTH_BITS * level) | node)
+                ordered, nodes = at[order], node[order]
+                begins = _begins(ordered)
                 pairs = np.union1d(begins, _begins(nodes))
                 n = np.diff(np.append(pairs, len(at)))
-                expected[met] += _run_sums(np.take(shares[level], nodes[pairs], axis=0) * n[:, None].astype(np.float32), np.searchsorted(pairs, begins))
+                expected[ordered[begins]] += _run_sums(np.take(shares[level], nodes[pairs], axis=0) * n[:, None].astype(np.float32), np.searchsorted(pairs, begins))
+    seen += counted.reshape(seen.shape)
+    for level, times in enumerate(after):
+        expected += times.reshape(model.rows, -1) @ shares[level].astype(np.float64)
 
 
 def joined_ids(batch_texts: list[bytes | None], known: Words, limit: int = 1 << 18):
