@@ -15,7 +15,7 @@ from ..operators.chunks import block_splits, chunk_pages, page_rows, with_units
 from ..operators.html import register_parse_blocks
 from ..operators.long_pages import chunk_texts as long_chunk_texts
 from ..operators.overlap import tokenizer_counts
-from ..sinks.core import ALL, Composite, JsonSink, TableSink, chunk_of, payloads, upsert
+from ..sinks.core import ALL, Composite, JsonSink, Refused, TableSink, chunk_of, payloads, upsert
 from ..sources.tables import conversation_pages, fetch_failures, from_json_pages, html_pages, only_ids, page_info, parsed_pages, spread, table, text_pages
 from ..staging import scratch_path
 from ..streaming.stream import run_from, run_stats
@@ -336,11 +336,12 @@ def chunk_upsert(spark, folder):
 
 
 class _Refusing(JsonSink):
-    """Writes JSON, but takes no part that holds a page whose number ends with 50."""
+    """Writes JSON, but takes no part that holds a page whose number ends with 50, and says so."""
 
     def write(self, chunks, pages, blocks, batch=0, part=ALL):
-        if not pages.where(F.col("id").endswith("50")).isEmpty():
-            raise RuntimeError("refused")
+        wrong = lambda page_id: page_id.endswith("50")
+        if not pages.where(wrong(F.col("id"))).isEmpty():
+            raise Refused("refused", wrong)
         super().write(chunks, pages, blocks, batch, part)
 
 

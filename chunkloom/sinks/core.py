@@ -29,7 +29,7 @@ class Sink(Protocol):
     """Takes batches, whole (``part`` is ALL) or in parts.
 
     A write of the whole replaces what an earlier attempt at that batch left.  A write that raises leaves nothing of its part behind, or
-    nothing that writing the same rows again would not replace.
+    nothing that writing the same rows again would not replace.  If it raises ``Refused``, the part comes again without the pages that this names.
     """
 
     path: str
@@ -41,6 +41,17 @@ class Sink(Protocol):
     def close(self, metadata: DataFrame) -> None: ...
 
 
+class Refused(RuntimeError):
+    """Raised by a write that knows which pages the sink does not take: ``holds`` tells it of a column of ids.
+
+    The others are written at once; after any other error the pages that fail have to be searched for.
+    """
+
+    def __init__(self, error: str, holds: Callable[[Column], Column]):
+        super().__init__(error)
+        self.holds = holds
+
+
 class Counting:
     """Counts rows as they are written, without a job of its own."""
 

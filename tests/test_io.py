@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.config import Config, is_identifier
 from chunkloom.operators.chunks import chunk_pages
-from chunkloom.sinks.core import Composite, JsonSink, TableSink, chosen_sinks, upsert
+from chunkloom.sinks.core import Composite, JsonSink, Refused, TableSink, chosen_sinks, upsert
 from chunkloom.sources.rest import Client, ContentApi, ContentReader, ContentStreamReader, StatusError, load_pages, options_of, stream_pages
 from chunkloom.sources.tables import fetch_failures, from_json_pages, only_ids, text_pages
 from chunkloom.sinks.retry import DeadLetters, WriteBroken
@@ -416,6 +416,41 @@ def test_several_sinks_refuse_different_pages(spark):
     assert spark.read.text(f"{first.inner.path}/pages").count() == 38 == spark.read.text(f"{second.inner.path}/pages").count()
 
 
+class Naming(Picky):
+    """Names the pages of ``bad`` that it refuses, the first three of them at once; others of them it does not name."""
+
+    def __init__(self, config, bad, silent=()):
+        super().__init__(config, silent)
+        self.named = list(bad)
+
+    def write(self, chunks, pages, blocks, batch=0, part="all"):
+        for some in (self.named[:3], self.named[3:]):
+            if some and pages.where(F.col("id").isin(some)).count():
+                self.calls += 1
+                raise Refused("named", lambda page_id: page_id.isin(some))
+        super().write(chunks, pages, blocks, batch, part)
+
+
+def test_pages_that_a_sink_names_are_not_searched_for(spark):
+    config = CONFIG.with_(output_dir=folder(), include_blocks=True, table_enabled=True)
+    bad = [str(i) for i in range(0, 2000, 7)]  # more than would be searched for one by one
+    pages = text_pages(documents(spark, 2000))
+    sink, letters = Naming(config, bad), DeadLetters(spark, config.output_dir + "/letters")
+    stats = run(pages, config, Composite([sink, TableSink(spark, config.output_dir + "/table")]), letters=letters).first()["stats"]
+    left = pages.where(~F.col("id").isin(bad))
+    assert sink.calls == 3 and (stats["pages_write_failed"], stats["blocks_written"], stats["chunks_written"]) == (len(bad), 2000 - len(bad), chunk_pages(left, config).count())
+    assert sorted(r["id"] for r in letters.read().collect()) == sorted(bad)
+    assert spark.read.text(f"{sink.inner.path}/chunks").count() == stats["chunks_written"]
+    # others that it does not name are searched for in what is left
+    sink, letters = Naming(config.with_(output_prefix="more"), ["3", "9"], ["5"]), DeadLetters(spark, config.output_dir + "/more")
+    stats = run(text_pages(documents(spark, 40)), config, sink, letters=letters).first()["stats"]
+    assert stats["pages_write_failed"] == 3 and spark.read.text(f"{sink.inner.path}/pages").count() == 37
+    assert {r["id"]: [e["error"] for e in r["errors"]] for r in letters.read().collect()} == {"3": ["Refused: named"], "9": ["Refused: named"], "5": ["RuntimeError: refused"]}
+    # one that names all pages is broken
+    with pytest.raises(WriteBroken, match="named"):
+        run(text_pages(documents(spark, 9)), config, Naming(config.with_(output_prefix="none"), [str(i) for i in range(9)]))
+
+
 def test_a_page_that_cannot_be_cut_is_set_aside(spark, monkeypatch):
     """A fault in cutting, as of a tokenizer that refuses a text, fails the table of chunks for all sinks; its page is found all the same."""
     from chunkloom.sinks import retry
