@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.bins import bin_starts, cut_at, part_starts, split_units
 from ..functions.text import block_id, built_once, chunk_id, count_tokens, embedding_text, let, navigation_url, sentences, tag_tokens, trim_space
-from ..schema import FRAGMENT
+from ..schema import FRAGMENT, PIECES
 from .blocks import heading_level, headings, headings_before, prefix_sums
 
 LEAST_ROOM = 10
@@ -106,10 +106,13 @@ PAGE_COLUMNS = ("page_id", "title", "url", "space_key", "version", "last_modifie
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
-    """Pages with the columns that chunks need; blank pieces are dropped, and pages without pieces."""
+    """Pages with the columns that chunks need; blank pieces are dropped.
+
+    Pages without pieces stay: they have no chunks, and a filter would be moved to the scan and there cut every text once more.
+    """
     filled = lambda c: F.coalesce(c, F.lit("")).alias(c)
-    given = pages.select(F.col("id").alias("page_id"), filled("title"), filled("url"), "space_key", "version", "last_modified", F.filter("pieces", lambda p: trim_space(p["text"]) != "").alias("pieces"))
-    return given.where(F.size("pieces") > 0)
+    own = F.coalesce(F.filter("pieces", lambda p: trim_space(p["text"]) != ""), F.expr(f"cast(array() as {PIECES})"))
+    return pages.select(F.col("id").alias("page_id"), filled("title"), filled("url"), "space_key", "version", "last_modified", own.alias("pieces"))
 
 
 @built_once
@@ -119,7 +122,8 @@ def _room_column(config: Config) -> Column:
 
 @built_once
 def _unit_column() -> Column:
-    return units(F.col("pieces"), F.col("room"))
+    # where nothing else uses the rooms, Spark would put their expression in place of the column, and so find all rooms anew for each piece
+    return let(F.col("room"), lambda room: units(F.col("pieces"), room))
 
 
 @built_once
@@ -148,7 +152,9 @@ def packed(rows: DataFrame, config: Config) -> DataFrame:
 def block_splits(pages: DataFrame, config: Config) -> DataFrame:
     """(page_id, splits): how many blocks more each of ``pages`` has because some are too long for a chunk."""
     split = with_units(page_rows(pages), config)
-    return split.select("page_id", F.size(F.filter("units", lambda u: u["first"] & (u["part"] > 0))).cast("long").alias("splits"))
+    splits = F.when(F.size("units") > 0, F.size(F.filter("units", lambda u: u["first"] & (u["part"] > 0))).cast("long"))
+    # a condition on a generator's rows stays above it; one on a plain column is moved to the scan, and all that the column is made of is done twice
+    return split.select("page_id", F.explode_outer(F.array(splits)).alias("splits")).where("splits is not null")
 
 
 def chunk_pages(pages: DataFrame, config: Config) -> DataFrame:

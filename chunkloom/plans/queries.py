@@ -283,7 +283,8 @@ def chunks_overlapping_wide(spark, folder):
 @query
 def long_page_chunks(spark, folder):
     """Chunks of documents as pages of any length are packed: from a table of sentences, in stretches short enough that most documents have several."""
-    units = with_units(page_rows(_documents(spark, folder)), SMALL).select("page_id", F.posexplode("units").alias("k", "u"))
+    # not posexplode, whose filter of empty arrays is moved to the scan and there makes all sentences once more
+    units = with_units(page_rows(_documents(spark, folder)), SMALL).select("page_id", F.posexplode_outer("units").alias("k", "u")).where("k is not null")
     return long_chunk_texts(units.select("page_id", "k", "u.n", "u.cap", "u.t"), stretch=128)
 
 

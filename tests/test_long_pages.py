@@ -1,6 +1,7 @@
 """Packing of pages from tables of their sentences, against the fold over one row and a plain loop."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,28 @@ def test_starts_against_a_loop(spark, stretch):
     assert {p: sorted(v) for p, v in got.items()} == {p: plain(v) for p, v in pages.items()}
 
 
+def test_runs_of_stretches_in_levels(spark, monkeypatch):
+    """Pages of up to 55 stretches, whose jumps are combined two at a time."""
+    monkeypatch.setattr("chunkloom.operators.long_pages.RUN", 1)
+    rng = random.Random(2)
+    pages = {p: [(rng.choice([1, 1, 2, 9, 40]), rng.choice([1, 12, 31])) for _ in range(n)] for p, n in (("a", 1777), ("b", 64), ("c", 33), ("d", 7), (None, 300))}
+    units = spark.createDataFrame([(p, k, n, cap, f"{p}{k}") for p, sizes in pages.items() for k, (n, cap) in enumerate(sizes)], KIND + ", t string")
+    want = []
+    for p, sizes in pages.items():
+        starts = [k for k, _ in plain(sizes)]
+        for no, (a, z) in enumerate(zip(starts, [*starts[1:], len(sizes)], strict=True)):
+            want.append((str(p), no, z - a, sum(n for n, _ in sizes[a:z]), " ".join(f"{p}{k}" for k in range(a, z))))
+    assert sorted((str(r[0]), *r[1:]) for r in chunk_texts(units, 32).collect()) == sorted(want)
+
+
+def test_many_stretches_do_not_take_a_call_each(spark):
+    """A stretch took a Python group of its own, twice, and its sentences three joins."""
+    units = spark.range(400_000).select((F.col("id") / 20).cast("long").cast("string").alias("page_id"), (F.col("id") % 20).alias("k"), F.lit(5).cast("long").alias("n"), F.lit(15).cast("long").alias("cap"), F.lit("x").alias("t"))
+    begun = time.monotonic()
+    assert chunk_texts(units, 16).agg(F.count("*"), F.sum("n_sentences"), F.max("chunk_no"), F.max("normalized_text")).first() == (140_000, 400_000, 6, "x x x")
+    assert time.monotonic() - begun < 40
+
+
 def test_an_empty_table_and_too_short_stretches(spark):
     none = spark.createDataFrame([], KIND)
     assert chunk_starts(none).count() == 0
