@@ -34,6 +34,14 @@ def test_query(spark, duck, name):
         assert got
 
 
+@pytest.mark.parametrize("name", ["block_split_counts", "chunk_texts", "chunks_overlapping"])
+def test_texts_are_not_cut_for_a_filter(spark, name):
+    """A condition on what is made of a text would be moved below the dealing out, to the scan, and make it all once more."""
+    plan = plans.QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan or "explode" in plan
+    assert not [line for line in plan.split("\n") if "Filter (" in line and "regexp" in line.split("Filter (", 1)[1]]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(plans.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
