@@ -6,8 +6,10 @@ ids, texts and links are made by the same expressions as for other chunks.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import pyarrow as pa
 import regex
@@ -16,19 +18,37 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..config import STRATEGIES as known_strategies
 from ..config import Config
-from ..functions.text import SENTENCE_END, SPACE, TOKEN, quoted
+from ..functions.text import SENTENCE_END, SPACE, TOKEN, WORD, quoted
 from .chunks import HELD, LEAST_ROOM, PAGE_COLUMNS
 
-_TOKEN, _END, _SPACE = regex.compile(TOKEN), regex.compile(SENTENCE_END), regex.compile(f"[{SPACE}]+")
+_TOKEN, _END = regex.compile(TOKEN), regex.compile(SENTENCE_END)
+#: Characters below this, among them all white space, are looked up in classes that are written out, by Python's own and faster engine.
+COMMON = 0x3001
+
+
+def _written_out(kind: str) -> str:
+    """The characters of a class below COMMON as ranges."""
+    found = [c for c in range(COMMON) if regex.fullmatch(f"[{kind}]", chr(c))]
+    runs = [[c for _, c in run] for _, run in groupby(enumerate(found), lambda x: x[1] - x[0])]
+    return "".join(f"\\u{run[0]:04x}-\\u{run[-1]:04x}" for run in runs)
+
+
+_WORD_CHARS, _SPACE_CHARS = _written_out(WORD), _written_out(SPACE)
+_COMMON_TOKEN = re.compile(f"[{_WORD_CHARS}]+|[^{_WORD_CHARS}{_SPACE_CHARS}]")
+_RARE = re.compile(f"[^\\u0000-\\u{COMMON - 1:04x}]")
+_SPACE = re.compile(f"[{_SPACE_CHARS}]+")
+_BLANK = "".join(chr(c) for c in range(COMMON) if _SPACE.fullmatch(chr(c)))
 _HEADING = regex.compile("h[1-6]")
-#: Counts by a tokenizer that a worker remembers, and texts that are encoded together.
+#: Counts that a worker remembers, and texts that are encoded together.
 KEPT_COUNTS, BATCH_TEXTS = 1 << 15, 256
 #: Characters shown of a neighbour of which not one sentence or run of words fits.
 SHOWN_CHARS = 200
 
 
+# a block's sentences are looked at several times, alone and as beginnings of what is left of it
+@lru_cache(KEPT_COUNTS)
 def simple_count(text: str) -> int:
-    return len(_TOKEN.findall(text))
+    return len((_TOKEN if not text.isascii() and _RARE.search(text) else _COMMON_TOKEN).findall(text))
 
 
 @lru_cache(maxsize=2)
@@ -39,8 +59,7 @@ def tokenizer_count(path: str) -> Callable[[str], int]:
     except ImportError as problem:
         raise RuntimeError("the strategy 'tokenizer' needs the tokenizers library") from problem
     tokenizer = Tokenizer.from_file(path)
-    # a block's sentences are looked at several times, alone and as beginnings of what is left of it
-    return lru_cache(KEPT_COUNTS)(lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids))
+    return lru_cache(KEPT_COUNTS)(lambda text: len(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]))
 
 
 def tokenizer_counts(rows: DataFrame, path: str, text: str = "text", into: str = "n_tokens") -> DataFrame:
@@ -66,8 +85,7 @@ def tokenizer_counts(rows: DataFrame, path: str, text: str = "text", into: str =
 
 
 def sentences(text: str) -> list[str]:
-    cut = [_SPACE.sub(" ", s) if s.isspace() else s for s in _END.sub(lambda m: m[1] + "\x01", text).split("\x01")]
-    return [s for s in (regex.sub(f"^[{SPACE}]+|[{SPACE}]+$", "", s) for s in cut) if s]
+    return [s for s in (s.strip(_BLANK) for s in _END.sub("\\1\x01", text).split("\x01")) if s]
 
 
 def words(text: str) -> list[str]:

@@ -154,3 +154,27 @@ def test_overlap_shows_as_much_as_fits(spark):
             if shown or way == 1:  # what comes before is left out for want of room
                 assert [(s["block_index"], s["text"]) for s in shown] == expected
     assert whole_blocks > 100 and cut_blocks > 50
+
+
+def test_counts_by_written_out_classes():
+    """The fast classes say the same as Unicode's, and what a block holds is counted once, not each time that it is looked at."""
+    import random
+
+    import regex
+
+    from chunkloom.functions.text import SPACE, TOKEN
+    from chunkloom.operators import overlap
+
+    chars = [chr(c) for c in range(0x11000) if not 0xD800 <= c < 0xE000]
+    for text in [*("".join(chars[i : i + 64]) for i in range(0, len(chars), 64)), *(f"a{c}b {c}" for c in chars[:0x3100])]:
+        assert simple_count(text) == len(regex.findall(TOKEN, text)), text
+    rng = random.Random(3)
+    for _ in range(500):
+        text = "".join(rng.choices("ab.!? \t\n\x1c\x85\xa0\u2003\u3000\u200b»…)漢é", k=30))
+        assert overlap.words(text) == [w for w in regex.split(f"[{SPACE}]+", text) if w]
+        assert overlap.sentences(text) == [s for s in (regex.sub(f"^[{SPACE}]+|[{SPACE}]+$", "", x) for x in regex.sub(overlap._END, lambda m: m[1] + "\x01", text).split("\x01")) if s]
+    simple_count.cache_clear()
+    line = " ".join(f"Word{i} of a sentence." for i in range(400))
+    overlap.Packer(Config(chunk_size=96, chunk_overlap=16))([{"block_type": "p", "text": line, "xpath": "", "css_selector": None, "html_id": None}], "")
+    seen = simple_count.cache_info()
+    assert seen.hits > seen.misses
