@@ -20,6 +20,8 @@ from ..staging import remove
 PART_PAGES, TEXT_PARTS = 1000, 256
 #: A batch with pages of so many parts names them when it reads the table.
 PART_FILTER = 1000
+#: Ids of so many bytes are sent to all tasks.
+BROADCAST_BYTES = 8 << 20
 COLUMNS = ("chunk_id", "page_id", "payload", "part")
 #: The name of a part of a batch that is all of it.
 ALL = "all"
@@ -177,15 +179,21 @@ class TableSink:
         names = [r["part"] for r in touched.limit(PART_FILTER + 1).collect()]
         # names of parts prune the scan; a batch of more of them has pages of most of the table
         old = self._rows().where(F.col("part").isin(names)) if len(names) <= PART_FILTER else self._rows().join(touched, "part", "left_semi")
-        if self.replace_pages:
-            old = old.join(own.select("page_id").distinct(), "page_id", "left_anti")
-        merged = upsert(old.select(*COLUMNS), new)
+        old = old.select(*COLUMNS)
         if self.replace_pages:
             # a part whose last chunk goes is overwritten too: by a row without a key, which readers do not see
             empty = touched.select(*[F.lit(None).cast("string").alias(c) for c in COLUMNS[:3]], "part")
-            merged = merged.where("chunk_id is not null").unionByName(empty)
-        # a part is written by one task, or by several if it is large
-        merged.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(self.path)
+            ids = own.select("page_id").distinct()
+            # ids of few MB go to the stored rows, which are not shuffled to meet them
+            size = ids.agg(F.sum(F.octet_length("page_id") + 16)).first()[0] or 0
+            ids = F.broadcast(ids) if size < BROADCAST_BYTES else ids
+            old = old.where("chunk_id is not null").join(ids, "page_id", "left_anti").select(*COLUMNS).unionByName(empty)
+            new = new.where("chunk_id is not null")
+        arrived = old.withColumn("_arrival", F.lit(-1).cast("long")).unionByName(new.withColumn("_arrival", F.monotonically_increasing_id()))
+        # payloads are shuffled once, by part: there the last row of each key is found, and a part is written by one task
+        last = arrived.repartition("part").groupBy("part", "chunk_id").agg(F.max_by(F.struct("page_id", "payload"), "_arrival").alias("_last")).select("chunk_id", "_last.*", "part")
+        # a payload has its text several times, which zstandard's window sees
+        last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("part").parquet(self.path)
         self.totals.update(counting.counted())
 
     def close(self, metadata: DataFrame) -> None:

@@ -603,3 +603,18 @@ def test_timers():
     with Timer() as t:
         assert t.elapsed() >= 0
     assert t.ms >= 0
+
+
+def test_the_stored_table_is_shuffled_once_and_compressed(spark):
+    """A batch shuffled all payloads to find the last of each key, to meet the stored rows, and again by part."""
+    import re
+    from pathlib import Path
+
+    at = folder()
+    sink = TableSink(spark, at, replace_pages=True)
+    for _ in range(2):
+        pages = text_pages(documents(spark, 2500))
+        sink.write(chunk_pages(pages, CONFIG), pages)
+    files = [p for p in Path(re.sub("^file:/*", "/", at)).rglob("*.parquet")]
+    assert len(files) == 3 and all(p.name.endswith(".zstd.parquet") for p in files)
+    assert sink.read().count() == chunk_pages(text_pages(documents(spark, 2500)), CONFIG).count()
